@@ -98,7 +98,7 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is None:
                         fs.create_dir(temp, recursive=True)
                         files.append(f"{uuid.uuid4().hex}.warc.gz")
-                        out, size = fs.open_output_stream(f"{temp}/{files[-1]}"), 0
+                        out, size = fs.open_output_stream(f"{temp}/{files[-1]}", compression=None), 0
                     data = member(record(kind, rid, uri, refers, payload or b""))
                     out.write(data)
                     size += len(data)
