@@ -1,10 +1,10 @@
 """Quality rules under weak supervision.
 
 Each rule votes that a text is good (1) or bad (-1) or abstains (0). The number
-of texts with each pattern of votes is all that expectation-maximisation needs
-to estimate how often each rule votes which way on good and on bad texts (Dawid
-and Skene, 1979); there are at most 3^rules patterns. A text is kept if its
-posterior probability of being good reaches ``KEEP``.
+of texts with each pattern of votes, of which there are at most 3^rules, is all
+that expectation-maximisation needs to estimate the rules' accuracies (as in
+data programming; Ratner et al., 2016). A text is kept if its posterior
+probability of being good reaches ``KEEP``.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from .storage import fresh, materialize
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED = 50, 50
-KEEP, PRIOR, ROUNDS, SMOOTH = 0.5, 0.85, 50, 1.0
+KEEP, PRIOR, ROUNDS = 0.5, 0.6, 100
+START, SMOOTH, BOUNDS = 0.8, 10.0, (0.55, 0.99)
 #: Fields of the features, in order.
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_digits", "n_marks")
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_digits", "n_marks", "n_letters")
 
 
 def _repeat_words(grams: Column) -> Column:
@@ -46,7 +47,7 @@ def features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     chars = lambda pattern: F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
     parts = (
         F.size(ws), F.length(F.array_join(ws, "")), chars(f"{SYMBOLS}+"), F.size(lines) - F.size(F.array_distinct(lines)), _repeat_words(F.col(grams)),
-        F.size(lines), F.size(F.array_distinct(ws)), chars("\\p{Lu}+"), chars("[0-9]+"), chars("[!?]+"),
+        F.size(lines), F.size(F.array_distinct(ws)), chars("\\p{Lu}+"), chars("[0-9]+"), chars("[!?]+"), F.length(F.regexp_replace(text, "\\P{L}+", "")),
     )
     return rows.withColumn(name, F.struct(*(p.cast("long").alias(n) for p, n in zip(parts, FEATURES, strict=True)))).drop(text, ws, lines, grams), name
 
@@ -57,73 +58,82 @@ def base_failed(f: Column) -> Column:
 
 @dataclass(frozen=True)
 class Vote:
-    """Bad from ``bad`` on, good up to ``good``, between them no vote; the measure is a ratio of features."""
+    """A rule over the ratio of two features: bad on one side of ``bad``, good on the other side of ``good``, between them no vote.
+
+    Without ``good`` it looks for a defect alone and abstains where it finds
+    none. ``low`` says that low ratios are the bad ones.
+    """
 
     name: str
     over: str
     under: str
-    good: float
     bad: float
+    good: float | None = None
+    low: bool = False
 
     def column(self, f: Column) -> Column:
         ratio = f[self.over] / F.greatest(f[self.under], F.lit(1))
-        return F.when(ratio >= self.bad, -1).when(ratio <= self.good, 1).otherwise(0)
+        out = F.when(ratio <= self.bad if self.low else ratio >= self.bad, -1)
+        if self.good is not None:
+            out = out.when(ratio >= self.good if self.low else ratio <= self.good, 1)
+        return out.otherwise(0)
 
 
 VOTES = (
-    Vote("symbols", "n_symbols", "n_words", 0.05, 0.3),
-    Vote("capitals", "n_upper", "word_chars", 0.15, 0.5),
-    Vote("marks", "n_marks", "n_words", 0.1, 0.5),
-    Vote("digits", "n_digits", "word_chars", 0.1, 0.3),
-    Vote("repeats", "n_repeat_words", "n_words", 0.15, 0.4),
-    Vote("lines", "n_dup_lines", "n_lines", 0.1, 0.4),
-    Vote("long_words", "word_chars", "n_words", 9.0, 15.0),
+    Vote("symbols", "n_symbols", "n_words", 0.3),
+    Vote("letters", "n_letters", "word_chars", 0.8, 0.94, low=True),
+    Vote("capitals", "n_upper", "n_letters", 0.5),
+    Vote("marks", "n_marks", "n_words", 0.5),
+    Vote("digits", "n_digits", "word_chars", 0.2),
+    Vote("repeats", "n_repeat_words", "n_words", 0.4),
+    Vote("variety", "n_distinct", "n_words", 0.15, low=True),
+    Vote("lines", "n_dup_lines", "n_lines", 0.4),
 )
 
 
-def fit(patterns: dict[tuple[int, ...], int]) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """By expectation-maximisation: the share of good texts, and for each rule and vote its chance on good and on bad texts.
+def fit(patterns: dict[tuple[int, ...], int]) -> list[float]:
+    """The rules' accuracies by expectation-maximisation: how often each is right where it votes.
 
-    Starts from rules that vote rightly four times in five, so that good stays
-    good; each chance is smoothed by ``SMOOTH`` texts in proportion to the
-    start, so a rule that never votes gets no weight of its own. Without texts
-    the start is returned.
+    A rule is taken to be as good at good texts as at bad ones, so a rule that
+    only ever finds defects is weighed by how often the others, as they are
+    weighed, find them too. Starts from four right votes in five, to which
+    ``SMOOTH`` votes are added; accuracies stay within ``BOUNDS``, so no rule
+    counts against itself and none decides alone. Without texts, or votes, the
+    start is returned.
     """
     k = len(next(iter(patterns), ()))
-    start = {1: (0.6, 0.15), 0: (0.25, 0.25), -1: (0.15, 0.6)}
-    prior, chance = PRIOR, [dict(start) for _ in range(k)]
-    n = sum(patterns.values())
-    for _ in range(ROUNDS if n else 0):
-        sums = [{v: [SMOOTH * c for c in start[v]] for v in start} for _ in range(k)]
-        good = SMOOTH * PRIOR
+    accuracy = [START] * k
+    for _ in range(ROUNDS):
+        right, cast = [SMOOTH * START] * k, [SMOOTH] * k
         for votes, times in patterns.items():
-            p = posterior(votes, prior, chance) * times
-            good += p
-            for s, v in zip(sums, votes, strict=True):
-                s[v][0] += p
-                s[v][1] += times - p
-        prior = good / (n + SMOOTH)
-        tops = [[sum(s[v][c] for v in s) for c in (0, 1)] for s in sums]
-        chance = [{v: tuple(s[v][c] / t[c] for c in (0, 1)) for v in s} for s, t in zip(sums, tops, strict=True)]
-    return prior, chance
+            p = posterior(votes, accuracy)
+            for j, v in enumerate(votes):
+                if v:
+                    cast[j] += times
+                    right[j] += times * (p if v > 0 else 1 - p)
+        accuracy = [min(BOUNDS[1], max(BOUNDS[0], r / c)) for r, c in zip(right, cast, strict=True)]
+    return accuracy
+
+
+def weight(accuracy: float) -> float:
+    return math.log(accuracy / (1 - accuracy))
 
 
-def posterior(votes: tuple[int, ...], prior: float, chance: list[dict[int, tuple[float, float]]]) -> float:
-    odds = math.log(prior / (1 - prior)) + sum(math.log(c[v][0] / c[v][1]) for c, v in zip(chance, votes, strict=True))
-    return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+def posterior(votes: tuple[int, ...], accuracy: list[float]) -> float:
+    """Probability that a text with these votes is good."""
+    return 1 / (1 + math.exp(-weight(PRIOR) - sum(v * weight(a) for v, a in zip(votes, accuracy, strict=True))))
 
 
 def judge(rows: DataFrame, features_col: str, votes: tuple[Vote, ...] = VOTES, prob_col: str = "quality") -> DataFrame:
-    """``rows`` with the posterior probability that each is good; the rules' chances are fitted on all of them."""
+    """``rows`` with the posterior probability that each is good; the rules' accuracies are fitted on all of them."""
     cast = [v.column(F.col(features_col)) for v in votes]
     names = [f"v{i}" for i in range(len(votes))]
     # at most 3 ** rules rows come to the driver
     counts = rows.select(*(c.alias(n) for c, n in zip(cast, names, strict=True))).groupBy(*names).count().collect()
-    prior, chance = fit({tuple(r[:-1]): r[-1] for r in counts})
-    odds = F.lit(math.log(prior / (1 - prior)))
-    for c, table in zip(cast, chance, strict=True):
-        weight = {v: math.log(table[v][0] / table[v][1]) for v in table}
-        odds = odds + F.when(c == 1, weight[1]).when(c == -1, weight[-1]).otherwise(weight[0])
+    accuracy = fit({tuple(r[:-1]): r[-1] for r in counts})
+    odds = F.lit(weight(PRIOR))
+    for c, a in zip(cast, accuracy, strict=True):
+        odds = odds + c * weight(a)
     return rows.withColumn(prob_col, 1 / (1 + F.exp(-odds)))
 
 
