@@ -1,3 +1,103 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Not here: op4, op7 and op10 (XXH64 fingerprints and their components, windows
+by fingerprint, expectation-maximisation), op6 (BPE) and the pipeline, which
+ends in it. Tests hold those against brute force.
+"""
+
+from __future__ import annotations
+
+from . import licenses, linededup, secrets, sharding, urlfilter
+
+
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _secrets() -> str:
+    parts = []
+    for k, r in enumerate(secrets.BASE + secrets.MORE):
+        p = _text(r.pattern)
+        parts.append(
+            f"SELECT doc_id, {k} AS number, '{r.kind}' AS kind, i, hits, vals[i] AS val, parts, {r.least} AS least FROM (SELECT doc_id, string_split_regex(t, {p}) AS parts, regexp_extract_all(t, {p}, 0) AS hits, regexp_extract_all(t, {p}, {r.group}) AS vals "
+            f"FROM docs_ WHERE regexp_matches(t, {p})), unnest(range(1, len(hits) + 1)) AS u(i)"
+        )
+    base = len(secrets.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    joined = "string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, number)"
+    return f"""WITH docs_ AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found_ AS ({" UNION ALL ".join(parts)}),
+ placed_ AS (SELECT doc_id, number, kind, CAST(list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s, length(hits[i]) AS n FROM found_ WHERE length(val) >= least),
+ spans_ AS (SELECT *, s + n AS e FROM placed_),
+ sums_ AS (SELECT doc_id, {counts}, {joined} FILTER (number < {base}) AS base, {joined} AS spans FROM spans_ GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs_ d LEFT JOIN sums_ s ON s.doc_id = d.doc_id"""
+
+
+def _sharding() -> str:
+    m, n = sharding.SIZE, sharding.SHARDS
+    frac = lambda x: f"CAST(concat('0x', substr(md5({x}), 1, 8)) AS BIGINT)"
+    return f"""WITH RECURSIVE shards_ AS (SELECT i, name, {frac("concat('offset:', name)")} % {m} AS o, {frac("concat('skip:', name)")} % {m - 1} + 1 AS k FROM (SELECT i, printf('shard%03d', i) AS name FROM range({n}) AS r(i))),
+ fill_ AS (SELECT CAST(0 AS BIGINT) AS turn, list_transform(range(0, {m}), lambda x: CAST(-1 AS BIGINT)) AS t UNION ALL
+ SELECT turn + 1, list_concat(list_concat(t[1:s], [i]), t[s + 2:]) FROM (SELECT turn, t, i, (o + k * list_filter(range(0, {m}), lambda j: t[(o + j * k) % {m} + 1] < 0)[1]) % {m} AS s FROM fill_ JOIN shards_ ON i = turn % {n} WHERE turn < {m})),
+ table_ AS (SELECT slot, t[slot + 1] AS i FROM fill_, unnest(range(0, {m})) AS u(slot) WHERE turn = {m})
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, name AS shard FROM (SELECT doc_id, {frac("coalesce(CAST(doc_id AS VARCHAR), '')")} % {m} AS slot FROM documents) d JOIN table_ USING (slot) JOIN shards_ USING (i)"""
+
+
+def _licenses() -> str:
+    values = ", ".join(f"({_text(k)}, {_text(t)})" for k, t in licenses.TEMPLATES.items())
+    words = lambda x: f"list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))"
+    return f"""WITH templates_ AS (SELECT license, {grams} AS g FROM (SELECT license, {words("t")} AS w FROM (VALUES {values}) AS v(license, t))),
+ units_ AS (SELECT DISTINCT doc_id, {words("unit")} AS w FROM (SELECT doc_id, unnest(list_concat(list_concat(string_split(lower(text), chr(10)), regexp_split_to_array(lower(text), '\\n\\s*\\n')), [lower(text)])) AS unit FROM documents WHERE text IS NOT NULL)),
+ grams_ AS (SELECT doc_id, w, {grams} AS g FROM units_ WHERE len(w) > 1),
+ dice_ AS (SELECT doc_id, w, license, 2.0 * len(list_intersect(d.g, t.g)) / CAST(len(d.g) + len(t.g) AS DOUBLE) AS dice FROM grams_ d JOIN templates_ t ON len(d.g) BETWEEN 0.66 * len(t.g) AND 1.51 * len(t.g))
+SELECT doc_id, license, round(max(CAST(dice AS DOUBLE)), 6) AS dice, count(*) AS n_units FROM dice_ WHERE dice >= {licenses.LEAST} GROUP BY doc_id, license"""
+
+
+def _warc() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    five = [f"CAST(concat('0x', substr(h, {5 * k + 1}, 5)) AS BIGINT)" for k in range(8)]
+    digest = ", ".join(f"substr('{letters}', CAST(({v} >> {s}) & 31 AS INTEGER) + 1, 1)" for v in five for s in (15, 10, 5, 0))
+    return f"""SELECT page_id, strlen(t) AS payload_bytes, concat({digest}) AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, t, sha1(t) AS h, min(page_id) OVER (PARTITION BY t) AS first FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))"""
+
+
+def _line_dedup() -> str:
+    if linededup.WINDOW != 2:
+        raise ValueError("the SQL is written for windows of two lines")
+    return f"""WITH split_ AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL),
+ lines_ AS (SELECT doc_id, i, x[i + 1] AS line, CAST(concat('0x', substr(md5(x[i + 1]), 1, 8)) AS BIGINT) AS h FROM split_, unnest(range(0, len(x))) AS u(i)),
+ cuts_ AS (SELECT *, CASE WHEN i = 0 OR (h * {linededup.FACTOR} + coalesce(lead(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {linededup.DIVISOR} = 0 THEN 1 ELSE 0 END AS cut FROM lines_),
+ marked_ AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM cuts_),
+ chunks_ AS (SELECT doc_id, chunk, min(i) AS pos, string_agg(line, chr(10) ORDER BY i) AS body FROM marked_ GROUP BY doc_id, chunk HAVING count(*) >= {linededup.LEAST_LINES}),
+ gone_ AS (SELECT doc_id, chunk, true AS gone FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS r FROM chunks_ WHERE regexp_matches(body, '[^ \\t\\n\\x0B\\f\\r]')) WHERE r > 1),
+ left_ AS (SELECT m.doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text, count(*) FILTER (gone) AS removed FROM marked_ m LEFT JOIN gone_ g ON g.doc_id = m.doc_id AND g.chunk = m.chunk GROUP BY m.doc_id)
+SELECT d.doc_id, coalesce(removed, 0) AS removed_lines, length(l.text) AS kept_chars, md5(l.text) AS kept_md5 FROM documents d LEFT JOIN left_ l ON l.doc_id = d.doc_id"""
+
+
+def _url_filter() -> str:
+    upper, lower = urlfilter.UPPER, urlfilter.LOWER
+    rest = lambda u: f"substr({u}, instr({u}, '://') + 3)"
+    host = lambda u: f"CASE WHEN instr({u}, '://') > 0 THEN translate(regexp_extract({rest(u)}, '(?s)^([^/?#]*)', 1), '{upper}', '{lower}') ELSE '' END"
+    path = lambda u: f"CASE WHEN instr({u}, '://') > 0 THEN regexp_extract({rest(u)}, '(?s)^[^/?#]*([^?#]*)', 1) ELSE '' END"
+    node = lambda u: f"CASE WHEN instr({u}, '://') > 0 THEN concat(translate(substr({u}, 1, instr({u}, '://') - 1), '{upper}', '{lower}'), '://', {host(u)}, regexp_extract({rest(u)}, '(?s)^[^/?#]*([^#]*)', 1)) END"
+    fits = [(f"(host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}')", r) for r in sorted(urlfilter.RULES, key=lambda r: -len(r.text))]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in fits) + " END"
+    own = "CASE " + " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in fits) + " END"
+    value = lambda name: f"""trim(replace(regexp_replace(regexp_extract(tag, '(?is)[\\s"'']{name}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)', 1), '^["'']|["'']$', '', 'g'), '&amp;', '&'))"""
+    return f"""WITH RECURSIVE tags_ AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\s[^>]*>')) AS tag FROM pages WHERE url LIKE '%://%' AND regexp_matches(html, '(?i)canonical|refresh')),
+ refs_ AS (SELECT url, trim(CASE WHEN list_contains(regexp_split_to_array(lower({value("rel")}), '\\s+'), 'canonical') THEN {value("href")}
+ WHEN lower({value("http-equiv")}) = 'refresh' THEN regexp_extract({value("content")}, '(?is)url\\s*=\\s*["'']?([^"'']+)', 1) END) AS ref FROM tags_),
+ targets_ AS (SELECT url, CASE WHEN ref IS NULL OR ref = '' OR starts_with(ref, '#') THEN NULL WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref WHEN starts_with(ref, '//') THEN concat(substr(url, 1, instr(url, '://') - 1), ':', ref)
+ WHEN starts_with(ref, '/') THEN concat(substr(url, 1, instr(url, '://') - 1), '://', {host("url")}, ref) WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+ ELSE concat(substr(url, 1, instr(url, '://') - 1), '://', {host("url")}, coalesce(nullif(regexp_extract({path("url")}, '(?s)^(.*/)', 1), ''), '/'), ref) END AS target FROM refs_),
+ links_ AS (SELECT DISTINCT {node("url")} AS a, {node("target")} AS b FROM targets_ WHERE target IS NOT NULL),
+ both_ AS (SELECT a, b FROM links_ WHERE a <> b UNION SELECT b, a FROM links_ WHERE a <> b),
+ reach_ AS (SELECT a AS node, a AS other FROM both_ UNION SELECT r.node, b FROM reach_ r JOIN both_ ON r.other = a),
+ judged_ AS (SELECT node, bool_or(verdict = 'allow') AS allowed, bool_or(verdict = 'block') AS blocked FROM (SELECT node, {own} AS verdict FROM (SELECT node, {host("other")} AS host, {path("other")} AS path FROM reach_)) GROUP BY node),
+ urls_ AS (SELECT page_id, {host("u")} AS host, {path("u")} AS path, {node("u")} AS node FROM (SELECT page_id, coalesce(url, '') AS u FROM pages))
+SELECT page_id, host, path, {rule} AS rule, coalesce({own}, CASE WHEN blocked AND NOT coalesce(allowed, false) THEN 'block' END, 'allow') AS verdict FROM urls_ u LEFT JOIN judged_ j ON j.node = u.node"""
+
+
+SQL: dict[str, str] = {
+    "op1_secrets": _secrets(), "op2_sharding": _sharding(), "op3_licenses": _licenses(), "op5_warc": _warc(), "op8_line_dedup": _line_dedup(), "op9_url_filter": _url_filter(),
+}
