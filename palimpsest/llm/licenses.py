@@ -4,8 +4,8 @@ A text's units are its lines, its paragraphs (parted by blank lines) and the
 whole of it. A unit is held against a template only if its number of bigrams
 allows the least coefficient: with |A| bigrams in the template, |B| must lie
 between t / (2 - t) * |A| and (2 - t) / t * |A|. Before that, a document is
-passed over unless it holds one of the templates' anchor words: a unit reaching
-the coefficient shares so many bigrams that one with an anchor is among them.
+passed over unless it holds one of the templates' anchors: a unit reaching the
+coefficient shares so many bigrams that an anchor is among them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from .expressions import let
 
 LEAST = 0.8
+_WORD = "[^\\p{L}\\p{N}]+"
+#: Letters from which on a word alone is an anchor.
+LONG = 6
 
 #: Public licence notices and texts.
 TEMPLATES = {
@@ -38,9 +41,6 @@ TEMPLATES = {
     "isc": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
 }
 
-_WORD = "[^\\p{L}\\p{N}]+"
-
-
 def normal(text: str) -> list[str]:
     """Words of a template: runs of letters and digits in lower case."""
     return re.findall(r"[^\W_]+", text.lower())
@@ -50,17 +50,24 @@ def bigrams_of(words: list[str]) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def anchor_words(templates: dict[str, str], least: float = LEAST) -> list[str]:
-    """Words of which any unit that reaches ``least`` holds one; longer words are taken first, as rarer."""
-    out: set[str] = set()
+def anchors(templates: dict[str, str], least: float = LEAST) -> tuple[list[str], list[str]]:
+    """Long words, and patterns of pairs of short ones, of which any text with a unit that reaches ``least`` holds one.
+
+    A match shares so many bigrams with its template that of the rest and one
+    more, whichever they are, it holds one; those with the longest words are
+    taken, as rarer. Tests are on lower-case text.
+    """
+    words, pairs = set(), set()
     for text in templates.values():
-        grams = [g.split(" ") for g in bigrams_of(normal(text))]
-        enough = math.ceil(least / (2 - least) * len(grams) - 1e-9)  # bigrams that a match shares at least
-        for word in sorted({w for g in grams for w in g}, key=lambda w: (w not in out, -len(w), w)):
-            if sum(not out & {*g} for g in grams) < enough:
-                break
-            out.add(word)
-    return sorted(out)
+        grams = sorted((g.split(" ") for g in bigrams_of(normal(text))), key=lambda g: (-max(map(len, g)), g))
+        shared = math.ceil(least / (2 - least) * len(grams) - 1e-9)
+        for g in grams[: len(grams) - shared + 1]:
+            longest = max(g, key=len)
+            if len(longest) >= LONG:
+                words.add(longest)
+            else:
+                pairs.add(f"(?<![\\p{{L}}\\p{{N}}]){g[0]}{_WORD}{g[1]}(?![\\p{{L}}\\p{{N}}])")
+    return sorted(words), sorted(pairs)
 
 
 def _bigrams(words: Column) -> Column:
@@ -75,10 +82,10 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     counts for both.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    anchors = anchor_words(templates, least)
-    some = let(F.lower("text"), lambda low: reduce(or_, (F.contains(low, F.lit(w)) for w in anchors), F.lit(False)))
+    words, pairs = anchors(templates, least)
+    some = let(F.lower("text"), lambda low: reduce(or_, [F.contains(low, F.lit(w)) for w in words] + [F.regexp_like(low, F.lit(p)) for p in pairs], F.lit(False)))
     units = let(F.lower("text"), lambda low: F.array_distinct(F.concat(F.split(low, "\n", -1), F.split(low, "\n\\s*\n", -1), F.array(low))))
-    split = rows.where(some).select("doc_id", F.explode_outer(units).alias("unit")).select("doc_id", F.array_remove(F.split("unit", _WORD), "").alias("words")).distinct()
+    split = rows.where(some).select("doc_id", F.explode_outer(units).alias("unit")).select("doc_id", F.array_remove(F.split("unit", _WORD), "").alias("words"))
     sets = {k: bigrams_of(normal(t)) for k, t in templates.items()}
 
     def tests(grams: Column) -> Column:
@@ -90,5 +97,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
         return F.array_compact(F.array(*out))
 
     # bound by let, so that the optimiser can't copy the bigrams into each test
-    found = split.select("doc_id", F.explode_outer(let(let(F.col("words"), _bigrams), tests)).alias("t")).where(F.col("t.dice") >= least).select("doc_id", "t.license", "t.dice")
+    tested = split.select("doc_id", "words", F.explode_outer(let(let(F.col("words"), _bigrams), tests)).alias("t")).where(F.col("t.dice") >= least)
+    found = tested.select("doc_id", "words", "t.license", "t.dice").distinct()
     return found.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
