@@ -17,6 +17,7 @@ from .storage import fresh, materialize
 
 WINDOW, DIVISOR, FACTOR = 2, 3, 31
 LEAST_LINES = 2
+BUCKETS, BUCKET_BITS = 4096, 32768
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
@@ -40,25 +41,49 @@ def _slice_text(lines: Column, pos: Column, n: Column) -> Column:
     return F.array_join(F.slice(lines, pos + 1, n), "\n")
 
 
+def _slot(key: Column) -> tuple[Column, Column]:
+    """Bucket and bit of a key in the bitmaps."""
+    at = F.pmod(F.xxhash64(key), F.lit(BUCKETS * BUCKET_BITS))
+    return F.floor(at / BUCKET_BITS).cast("int"), at % BUCKET_BITS
+
+
+def _maybe(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is in ``keys``, and by chance a few more.
+
+    The keys go out as bitmaps of 4 KB, ``BUCKETS`` at most, so what is
+    broadcast is bounded however many keys there are; as they fill up, more
+    rows pass that the exact join to come then drops.
+    """
+    bucket, bit = _slot(F.col("key"))
+    maps = keys.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bitmap"))
+    own = rows.withColumn("own_bucket", bucket).withColumn("own_bit", bit)
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(F.col("own_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.call_function("shiftright", byte, (F.col("own_bit") % 8).cast("int")).bitwiseAND(1) == 1
+    return own.join(F.broadcast(maps), F.col("own_bucket") == F.col("bucket")).where(there).select(*rows.columns)
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, spans)``: for each document with repeated chunks, ``(pos, n, text)`` of each but the first, by line; ``text`` is the first one's.
+    """``(doc_id, spans)``: for each document with repeated chunks, ``(pos, n, key)`` of each but the first, by line; ``key`` is the MD5 of its text.
 
     Chunks with no more than white space are let be. Rows of one id are rows of
-    one document, and rows without an id or text have none.
+    one document, and rows without an id or text have none. Texts are read
+    twice: once for the keys, and once for the texts of chunks whose key occurs
+    again, which alone are shuffled and compared.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
     cut = _chunks(rows.where(F.contains("text", F.lit("\n"))))
     # outer, or the optimiser copies all of this into a test before it
     multi = cut.select("doc_id", "lines", F.explode_outer(F.filter("chunks", lambda c: c["n"] >= LEAST_LINES)).alias("c")).where("c is not null").select("doc_id", "c.pos", "c.n", _slice_text(F.col("lines"), F.col("c.pos"), F.col("c.n")).alias("chunk"))
-    keys = materialize(multi.where(F.regexp_like("chunk", F.lit("\\S"))).select("doc_id", "pos", "n", F.unhex(F.md5("chunk")).alias("key")), "chunk_keys")
-    first = keys.groupBy("key").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "pos", "n")).alias("first")).where("times > 1")
-    first = materialize(first.select("key", "first"), "repeated")
-    marks = keys.join(first, "key").where("doc_id <> first.doc_id or pos <> first.pos").select("key", "doc_id", "pos", "n")
-    wanted = first.groupBy(F.col("first.doc_id").alias("of")).agg(F.collect_list(F.struct("key", F.col("first.pos").alias("pos"), F.col("first.n").alias("n"))).alias("wanted"))
-    # rows of one id with other texts may not reach the place; the comparison settles it
-    texts = rows.join(wanted, F.col("doc_id") == F.col("of")).select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w")).select("w.key", _slice_text(F.col("lines"), F.col("w.pos"), F.col("w.n")).alias("chunk"))
-    texts = texts.where(F.unhex(F.md5("chunk")) == F.col("key")).dropDuplicates(["key"])
-    return marks.join(texts, "key").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("pos", "n", F.col("chunk").alias("text")))).alias("spans"))
+    multi = multi.where(F.regexp_like("chunk", F.lit("\\S"))).withColumn("key", F.unhex(F.md5("chunk")))
+    keys = materialize(multi.select("doc_id", "pos", "n", "key"), "chunk_keys")
+    first = keys.groupBy("key").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "pos")).alias("first")).where("times > 1")
+    first = materialize(first.select("key", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos")), "repeated_keys")
+    again = materialize(_maybe(multi, first), "repeated_chunks")
+    texts = again.join(first.hint("merge"), ["key", "doc_id", "pos"]).select("key", F.col("doc_id").alias("of"), F.col("pos").alias("at"), F.col("chunk").alias("text"))
+    texts = materialize(texts.dropDuplicates(["key"]), "first_chunks")
+    # the comparison of bytes; the key alone decides nothing
+    same = again.join(texts.hint("merge"), "key").where((F.col("chunk") == F.col("text")) & ((F.col("doc_id") != F.col("of")) | (F.col("pos") != F.col("at"))))
+    return same.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("pos", "n", "key"))).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
@@ -69,9 +94,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of, spans, lines, gone, taken = fresh(docs.columns, "of_", "spans_", "lines_", "gone_", "removed_lines")
     found = repeats(docs, id_col, text_col).select(F.col("doc_id").alias(of), F.col("spans").alias(spans))
     text = F.col(text_col)
-    with_lines = docs.join(found, docs[id_col] == F.col(of), "left").withColumn(lines, F.when(F.col(spans).isNotNull(), F.split(text, "\n", -1)))
-    # the comparison of bytes
-    sure = F.filter(spans, lambda s: _slice_text(F.col(lines), s["pos"], s["n"]) == s["text"])
+    with_lines = docs.join(found.hint("merge"), docs[id_col] == F.col(of), "left").withColumn(lines, F.when(F.col(spans).isNotNull(), F.split(text, "\n", -1)))
+    # a row that shares its id with another may have another text
+    sure = F.filter(spans, lambda s: F.unhex(F.md5(_slice_text(F.col(lines), s["pos"], s["n"]))) == s["key"])
     checked = with_lines.withColumn(gone, F.when(F.col(spans).isNotNull(), sure))
     g, size = F.col(gone), F.size(gone)
     start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(g, k - 1)["pos"] + F.get(g, k - 1)["n"])
