@@ -115,7 +115,8 @@ def beam_exact(steps: np.ndarray, vocab: list[str], blank: int, width: int, bonu
                 extra = bonus("".join(vocab[k] for k in key)) if closes else 0.0
                 longer = fresh.setdefault((*key, c), [none, none])
                 longer[1] = log_add(longer[1], (b if key and c == key[-1] else total) + lp + extra)
-        beams = {k: tuple(v) for k, v in sorted(fresh.items(), key=lambda x: log_add(*x[1]), reverse=True)[:width]}
+        possible = ((k, tuple(v)) for k, v in fresh.items() if max(v) > none)
+        beams = dict(sorted(possible, key=lambda x: log_add(*x[1]), reverse=True)[:width])
     return [("".join(vocab[k] for k in key), log_add(*v), list(key)) for key, v in beams.items()]
 
 
@@ -124,9 +125,10 @@ def ctc_loss(steps: np.ndarray, target: list[int], blank: int) -> float:
     states = [blank, *(x for t in target for x in (t, blank))]
     skip = np.array([k >= 2 and s != blank and s != states[k - 2] for k, s in enumerate(states)])
     alpha = np.full(len(states), -np.inf)
-    alpha[0] = 0.0
     for n, row in enumerate(steps):
-        one = np.concatenate(([-np.inf], alpha[:-1])) if n else np.concatenate(([-np.inf], alpha[:1], np.full(max(0, len(states) - 2), -np.inf)))[: len(states)]
-        two = np.where(skip, np.concatenate(([-np.inf, -np.inf], alpha[:-2]))[: len(states)], -np.inf) if n else np.full(len(states), -np.inf)
-        alpha = np.logaddexp(np.logaddexp(alpha, one), two) + row[states]
+        if n:
+            before = np.concatenate((np.full(2, -np.inf), alpha))
+            alpha = np.logaddexp(np.logaddexp(alpha, before[1:-1]), np.where(skip, before[:-2], -np.inf)) + row[states]
+        else:
+            alpha[:2] = row[states[:2]]
     return float(-np.logaddexp.reduce(alpha[-2:]))
