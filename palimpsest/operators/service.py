@@ -53,4 +53,6 @@ estimate_skew = _missing("skew estimation", "an imaging library")
 rotate_page = _missing("page rotation", "an imaging library")
 transcribe = _missing("line recognition", "a neural-network runtime and a checkpoint")
 train = _missing("training", "a neural-network runtime")
+load_checkpoint = _missing("loading a checkpoint", "a neural-network runtime")
+save_checkpoint = _missing("saving a checkpoint", "a neural-network runtime")
 serve = _missing("the HTTP service", "a web framework")
