@@ -63,3 +63,8 @@ def split_counts(pages: DataFrame) -> DataFrame:
     """Rows per split and source, with subtotals; a total has ``(all)`` in place of what it sums over."""
     total = lambda c: F.when(F.grouping(c) == 1, "(all)").otherwise(F.col(c))
     return pages.rollup("split", "source_id").agg(total("split").alias("split_"), total("source_id").alias("source_"), F.count("*").alias("n")).select(F.col("split_").alias("split"), F.col("source_").alias("source_id"), "n")
+
+
+def split_sizes(pages: DataFrame) -> DataFrame:
+    """Pages and distinct sources per split."""
+    return pages.groupBy("split").agg(F.count("*").alias("pages"), F.count_distinct("source_id").alias("sources"))

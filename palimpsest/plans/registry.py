@@ -76,6 +76,19 @@ def split_counts(spark, sf):
     return splits.split_counts(splits.generate(inputs.pages(spark, sf)))
 
 
+@query("SELECT split, count(*) AS pages, count(DISTINCT source_id) AS sources FROM split_ GROUP BY split", inputs.PAGES, _SPLIT)
+def split_sizes(spark, sf):
+    return splits.split_sizes(splits.generate(inputs.pages(spark, sf)))
+
+
+@query("SELECT l.source_id, page_id, line_id, transcript FROM lines_ l JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS page_id FROM documents) d USING (doc_id)", inputs.LINES)
+def transcript_align(spark, sf):
+    pages = inputs.pages(spark, sf).select("source_id", "page_id", F.regexp_extract("image_path", "([0-9]+)[.]png$", 1).cast("long").alias("doc_id"))
+    texts = inputs.lines(spark, sf).drop("source_id").join(pages, "doc_id")
+    bare = texts.select("source_id", "page_id", "line_id", F.lit("").alias("transcript"))
+    return manifest.attach_transcripts(bare, texts)
+
+
 @query("SELECT source_id, doc_id AS page_id, line_id, concat(coalesce(source_id, ''), printf('_p%04d_l%04d.png', doc_id, line_id)) AS image_path, concat('0,', 20 * line_id, ',600,18') AS bbox, transcript FROM lines_", inputs.LINES)
 def line_metadata(spark, sf):
     rows = inputs.lines(spark, sf).withColumn("bbox", F.array(F.lit(0), F.col("line_id") * 20, F.lit(600), F.lit(18)))
