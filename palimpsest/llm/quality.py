@@ -91,7 +91,7 @@ VOTES = (
 )
 
 
-def fit(patterns: dict[tuple[int, ...], int]) -> list[float]:
+def fit(patterns: dict[tuple[int, ...], int], rules: int) -> list[float]:
     """The rules' accuracies by expectation-maximisation: how often each is right where it votes.
 
     A rule is taken to be as good at good texts as at bad ones, so a rule that
@@ -101,10 +101,9 @@ def fit(patterns: dict[tuple[int, ...], int]) -> list[float]:
     counts against itself and none decides alone. Without texts, or votes, the
     start is returned.
     """
-    k = len(next(iter(patterns), ()))
-    accuracy = [START] * k
+    accuracy = [START] * rules
     for _ in range(ROUNDS):
-        right, cast = [SMOOTH * START] * k, [SMOOTH] * k
+        right, cast = [SMOOTH * START] * rules, [SMOOTH] * rules
         for votes, times in patterns.items():
             p = posterior(votes, accuracy)
             for j, v in enumerate(votes):
@@ -130,7 +129,7 @@ def judge(rows: DataFrame, features_col: str, votes: tuple[Vote, ...] = VOTES, p
     names = [f"v{i}" for i in range(len(votes))]
     # at most 3 ** rules rows come to the driver
     counts = rows.select(*(c.alias(n) for c, n in zip(cast, names, strict=True))).groupBy(*names).count().collect()
-    accuracy = fit({tuple(r[:-1]): r[-1] for r in counts})
+    accuracy = fit({tuple(r[:-1]): r[-1] for r in counts}, len(votes))
     odds = F.lit(weight(PRIOR))
     for c, a in zip(cast, accuracy, strict=True):
         odds = odds + c * weight(a)

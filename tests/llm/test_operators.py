@@ -363,8 +363,8 @@ def test_accuracies():
         y = 1 if rng.random() < 0.6 else -1
         votes = tuple(0 if rng.random() < 0.2 else y if rng.random() < a else -y for a in truth)
         counts[votes] = counts.get(votes, 0) + 1
-    assert np.allclose(quality.fit(counts), truth, atol=0.05)
-    assert quality.fit({}) == [] and quality.posterior((), []) == pytest.approx(quality.PRIOR)
+    assert np.allclose(quality.fit(counts, 4), truth, atol=0.05)
+    assert quality.fit({}, 2) == [quality.START] * 2 and quality.posterior((), []) == pytest.approx(quality.PRIOR)
 
 
 def test_quality_on_labels(spark, sf):
