@@ -19,12 +19,15 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .simhash import simhash
-from .storage import fresh, importable
+from .storage import importable
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 24
 #: Bytes of benchmark text that one pass sends to each worker; a larger benchmark takes more passes.
@@ -145,23 +148,27 @@ def _index(items: tuple, radius: int, least: float) -> BenchmarkIndex:
     return BenchmarkIndex(list(items), radius, least)
 
 
+def _sent(benchmark: DataFrame, item_col: str, item_text: str, pass_bytes: int) -> Iterator[Broadcast]:
+    """The items in passes of about ``pass_bytes`` of text, by a hash of their ids, each broadcast: the driver and a worker hold a bounded part of a benchmark however large it is."""
+    spark = benchmark.sparkSession
+    importable(spark)
+    size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
+    passes = max(1, -(-size // pass_bytes))
+    for n in range(passes):
+        part = benchmark.where(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(item_col), F.lit(passes)) == n))
+        items = tuple(sorted((r[0], r[1]) for r in part.select(F.col(item_col).cast("long"), F.col(item_text)).collect() if r[0] is not None))
+        yield spark.sparkContext.broadcast(items)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", radius: int = RADIUS, least: float = SIMILARITY, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``(doc_id, item_id, similarity, first_word, differing_bits)`` for each document and item with a window of similarity ``least`` or more.
 
     Null or empty texts and items match nothing; an item of fewer than five
-    words is one shingle. Repeated rows repeat theirs. The benchmark is sent to
-    the workers in passes of about ``pass_bytes``, by a hash of its ids, so the
-    driver and a worker hold a bounded part of it however large it is.
+    words is one shingle. Repeated rows repeat theirs.
     """
-    importable(docs.sparkSession)
-    size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for n in range(passes):
-        part = benchmark.where(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(item_col), F.lit(passes)) == n))
-        items = tuple(sorted((r[0], r[1]) for r in part.select(F.col(item_col).cast("long"), F.col(item_text)).collect() if r[0] is not None))
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+    for sent in _sent(benchmark, item_col, item_text, pass_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = _index(sent.value, radius, least)
@@ -176,8 +183,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) whose document holds no benchmark item; rows without an id stay."""
-    hit, = fresh(docs.columns, "hit")
-    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(hit)).distinct()
-    return docs.join(bad, docs[id_col] == F.col(hit), "left_anti")
+def _holds(sent: Broadcast, radius: int, least: float):
+    @F.pandas_udf(T.BooleanType())
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = _index(sent.value, radius, least)
+        for texts in batches:
+            yield pd.Series([isinstance(t, str) and bool(index.search(t)) for t in texts], dtype=bool)
+
+    return holds
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", radius: int = RADIUS, least: float = SIMILARITY, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text holds no benchmark item.
+
+    Each row is judged where it is: only its text goes to Python, and nothing
+    is shuffled.
+    """
+    held = F.lit(False)
+    for sent in _sent(benchmark, item_col, item_text, pass_bytes):
+        held = held | _holds(sent, radius, least)(F.col(text_col).cast("string"))
+    return docs.where(~held)
