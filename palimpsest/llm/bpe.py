@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,14 +61,28 @@ class Codec(dict):
     """Pre-token (bytes) to its ids as packed little-endian 32-bit integers, filled as needed."""
 
     def __init__(self, model: bytes, ranks: dict[bytes, int], pattern: str):
-        import regex
+        self.model, self.ranks, self.pattern = model, ranks, pattern
+
+    # each is made where it is used: a worker that only decodes needs no model, one that only encodes no pieces
+    @cached_property
+    def processor(self):
         import sentencepiece
 
-        self.ranks = ranks
-        self.order = np.array(sorted(ranks.values()), "<u4")
-        self.piece = {rank: token for token, rank in ranks.items()}
-        self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.find = regex.compile(pattern).findall
+        return sentencepiece.SentencePieceProcessor(model_proto=self.model)
+
+    @cached_property
+    def find(self):
+        import regex
+
+        return regex.compile(self.pattern).findall
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.array(sorted(self.ranks.values()), "<u4")
+
+    @cached_property
+    def piece(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
 
     def __missing__(self, token: str) -> bytes:
         raw = token.encode()
@@ -91,6 +105,13 @@ def _codec(model: bytes, ranks: tuple, pattern: str) -> Codec:
     return Codec(model, dict(ranks), pattern)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in short pieces, so that what a worker holds of its output is small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 class Tokenizer:
     """Encodes and decodes DataFrames; the vocabulary (a file of fixed size) is broadcast once."""
 
@@ -105,7 +126,7 @@ class Tokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(*sent.value)
-            for b in batches:
+            for b in slices(batches):
                 ids = [codec.encode(t.as_py()) for t in b.column(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -117,7 +138,7 @@ class Tokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(*sent.value)
-            for b in batches:
+            for b in slices(batches):
                 out = [codec.decode(t.as_py()) for t in b.column(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])
 
