@@ -7,12 +7,14 @@ differs in at most RADIUS // 8, so probing every block's values that near finds
 all fingerprints within the radius. What is found is verified by the weighted
 similarity of word shingles, exactly.
 
-A window without a shingle of any item has similarity zero and gets no
-fingerprint; this loses nothing and spares nearly all windows of a corpus.
+Of an item's windows those get a fingerprint that hold, in whatever order, as
+many places with a shingle of the item as the least similarity takes; this
+loses nothing and spares nearly all windows of a corpus.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -89,7 +91,7 @@ def _probes(radius: int) -> list[int]:
 class BenchmarkIndex:
     """Fingerprints, blocks and shingles of the items of one pass."""
 
-    def __init__(self, items: list[tuple[int, str]], radius: int = RADIUS, least: float = SIMILARITY):
+    def __init__(self, items: list[tuple[int | None, str]], radius: int = RADIUS, least: float = SIMILARITY):
         self.radius, self.least = radius, least
         self.items = [(i, w) for i, text in items if (w := normal_words(text))]
         self.shingles = [_shingle_list(w) for _, w in self.items]
@@ -100,27 +102,31 @@ class BenchmarkIndex:
             for b in range(_BLOCKS):
                 self.blocks[b][int(fp) >> (b * _BITS) & 255].append(k)
         self.masks = _probes(radius)
-        # where each shingle stands: by run length, as items of fewer than five words are looked for whole
-        self.seeds: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        # the items of each shingle: by run length, as items of fewer than five words are looked for whole
+        self.seeds: dict[int, dict[int, list[int]]] = {}
         self.maps: dict[int, np.ndarray] = {}
         for k, (_, w) in enumerate(self.items):
             size = min(len(w), SHINGLE)
             at = self.seeds.setdefault(size, defaultdict(list))
-            for off, h in enumerate(_mix(w, size).tolist()):
-                at[h].append((k, off))
+            for h in set(_mix(w, size).tolist()):
+                at[h].append(k)
         for size, at in self.seeds.items():
             m = self.maps[size] = np.zeros(1 << _SLOTS, bool)
             m[np.fromiter(at, np.uint64, len(at)) >> np.uint64(64 - _SLOTS)] = True
 
     def windows(self, words: list[bytes]) -> set[tuple[int, int]]:
-        """(start, length) of the item-sized windows that hold a shingle of an item of that size where the item has it."""
+        """(start, length) of the windows of an item's size with enough places that hold a shingle of that item to reach the least similarity."""
         out = set()
         for size, at in self.seeds.items():
-            h = _mix(words, size)
+            h, hits = _mix(words, size), defaultdict(list)
             for p in np.flatnonzero(self.maps[size][h >> np.uint64(64 - _SLOTS)]).tolist():
-                for k, off in at.get(int(h[p]), ()):
-                    n = len(self.items[k][1])
-                    out.add((min(max(0, p - off), max(0, len(words) - n)), n))
+                for k in at.get(int(h[p]), ()):
+                    hits[k].append(p)
+            for k, places in hits.items():
+                n = len(self.items[k][1])
+                need = max(1, math.ceil(self.least * len(self.shingles[k]) - 1e-9))
+                for first, last in zip(places, places[need - 1 :], strict=False):
+                    out.update((start, n) for start in range(max(0, last - n + size), min(first, max(0, len(words) - n)) + 1))
         return out
 
     def near(self, fp: int) -> list[int]:
@@ -128,19 +134,21 @@ class BenchmarkIndex:
         found = {k for b in range(_BLOCKS) for m in self.masks for k in self.blocks[b].get((fp >> (b * _BITS) & 255) ^ m, ())}
         return [k for k in found if (int(self.prints[k]) ^ fp).bit_count() <= self.radius]
 
-    def search(self, text: str | None) -> dict[int, tuple[float, int, int]]:
-        """Per item the best (similarity, first word, differing bits) of a window, ties to the first window."""
+    def search(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
+        """Per item (id, similarity, first word, differing bits) of the best window of its size, ties to the first; items without an id stay apart."""
         words, best = normal_words(text), {}
         if not words:
-            return best
+            return []
         for start, n in sorted(self.windows(words)):
             window = _shingle_list(words[start : start + n])
             fp = fingerprint(window)
             for k in self.near(fp):
-                s = similarity(window, self.bags[k], len(self.shingles[k]))
-                if s >= self.least and s > best.get(k, (0.0,))[0]:
-                    best[k] = (s, start, (int(self.prints[k]) ^ fp).bit_count())
-        return {self.items[k][0]: v for k, v in best.items()}
+                item = self.items[k][0]
+                key = (item, k if item is None else 0)
+                s = similarity(window, self.bags[k], len(self.shingles[k])) if len(self.items[k][1]) == n else 0.0
+                if s >= self.least and s > best.get(key, (0.0,))[0]:
+                    best[key] = (s, start, (int(self.prints[k]) ^ fp).bit_count())
+        return [(item, *v) for (item, _), v in best.items()]
 
 
 @lru_cache(2)
@@ -174,7 +182,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             index = _index(sent.value, radius, least)
             for b in batches:
                 ids, texts = b.column(0).to_pylist(), b.column(1)
-                got = [(d, item, *v) for d, t in zip(ids, texts, strict=True) for item, v in index.search(t.as_py()).items()]
+                got = [(d, *v) for d, t in zip(ids, texts, strict=True) for v in index.search(t.as_py())]
                 cols = list(zip(*got, strict=True)) if got else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int32()), strict=True)], names=["doc_id", "item_id", "similarity", "first_word", "differing_bits"])
 

@@ -283,6 +283,20 @@ def test_contamination(spark):
     assert decontam.contaminated(d, b.limit(0)).count() == 0 and decontam.contaminated(d.limit(0), b).count() == 0
 
 
+def test_contamination_in_another_order(spark):
+    rng = random.Random(7)
+    items = [(i, fixtures.prose(rng, n, 7)) for i, n in enumerate([24, 40, 55])]
+    docs = []
+    for i, text in items:
+        w, body = text.split(), fixtures.prose(rng, 60).split()
+        docs.append((i, " ".join(body[:30] + w[len(w) // 2 :] + w[: len(w) // 2] + body[30:])))
+        docs.append((10 + i, " ".join(body[:30] + w[2 * len(w) // 3 :] + body[30:])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(d, b).collect()}
+    assert set(rows) == brute.leaks(docs, items) == {(0, 0), (1, 1), (2, 2)} and rows[0, 0] == 0.8
+    assert {r.doc_id for r in decontam.clean(d, b).collect()} == {10, 11, 12}
+
+
 def test_multi_index_finds_all_within_radius():
     rng = random.Random(4)
     index = decontam.BenchmarkIndex([(i, fixtures.prose(rng, 20)) for i in range(30)], radius=11)
