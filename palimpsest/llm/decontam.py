@@ -157,14 +157,14 @@ def _index(items: tuple, radius: int, least: float) -> BenchmarkIndex:
 
 
 def _sent(benchmark: DataFrame, item_col: str, item_text: str, pass_bytes: int) -> Iterator[Broadcast]:
-    """The items in passes of about ``pass_bytes`` of text, by a hash of their ids, each broadcast: the driver and a worker hold a bounded part of a benchmark however large it is."""
+    """The items in passes of about ``pass_bytes`` of text, by a hash of their ids (of the text without one), each broadcast: the driver and a worker hold a bounded part of a benchmark however large it is."""
     spark = benchmark.sparkSession
     importable(spark)
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     passes = max(1, -(-size // pass_bytes))
     for n in range(passes):
-        part = benchmark.where(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(item_col), F.lit(passes)) == n))
-        items = tuple(sorted((r[0], r[1]) for r in part.select(F.col(item_col).cast("long"), F.col(item_text)).collect() if r[0] is not None))
+        part = benchmark.where(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(F.coalesce(F.col(item_col).cast("string"), F.col(item_text))), F.lit(passes)) == n))
+        items = tuple(sorted(((r[0], r[1]) for r in part.select(F.col(item_col).cast("long"), F.col(item_text)).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         yield spark.sparkContext.broadcast(items)
 
 
@@ -172,7 +172,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``(doc_id, item_id, similarity, first_word, differing_bits)`` for each document and item with a window of similarity ``least`` or more.
 
     Null or empty texts and items match nothing; an item of fewer than five
-    words is one shingle. Repeated rows repeat theirs.
+    words is one shingle. Repeated rows repeat theirs. Each item with a null id
+    is looked for too and reported with a null ``item_id``.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
@@ -202,7 +203,7 @@ def _holds(sent: Broadcast, radius: int, least: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", radius: int = RADIUS, least: float = SIMILARITY, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text holds no benchmark item.
+    """The rows of ``docs`` (all columns) whose text holds no benchmark item, be its id null or not.
 
     Each row is judged where it is: only its text goes to Python, and nothing
     is shuffled.

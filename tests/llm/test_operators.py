@@ -297,6 +297,16 @@ def test_contamination_in_another_order(spark):
     assert {r.doc_id for r in decontam.clean(d, b).collect()} == {10, 11, 12}
 
 
+def test_contamination_by_items_without_id(spark):
+    rng = random.Random(9)
+    one, two = fixtures.prose(rng, 20, 7), fixtures.prose(rng, 20, 7)
+    docs = spark.createDataFrame([(1, "before " + one + " after"), (2, two + "\n" + one), (3, fixtures.prose(rng, 50))], "doc_id long, text string")
+    items = spark.createDataFrame([(None, one), (None, two), (None, None), (None, "")], "item_id long, text string")
+    for size in (decontam.PASS_BYTES, 100):
+        assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs, items, pass_bytes=size).collect()) == [(1, None), (2, None), (2, None)]
+        assert [r.doc_id for r in decontam.clean(docs, items, pass_bytes=size).collect()] == [3]
+
+
 def test_multi_index_finds_all_within_radius():
     rng = random.Random(4)
     index = decontam.BenchmarkIndex([(i, fixtures.prose(rng, 20)) for i in range(30)], radius=11)
