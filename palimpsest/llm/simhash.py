@@ -63,18 +63,19 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of each row, ``fp`` as a signed long. Null text counts as empty: fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, carry: str | None = None) -> DataFrame:
+    """``(doc_id, fp)`` of each row and the binary column ``carry``, ``fp`` as a signed long. Null text counts as empty: fingerprint zero."""
+    more = [carry] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary())
             out = [simhash(shingle_hashes(words_of(t.as_py()), size)) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(out, np.uint64).view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *more])
 
     importable(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} binary" for c in more)]))
 
 
 def _block(shift: int) -> Column:
@@ -170,17 +171,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(label, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
+def _text_key(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, key, text)`` of each row; ``key`` is the MD5 of the text."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose id and text are in ``kept`` (``doc_id, key``), each once, and those without an id."""
+    own, of, key = fresh(docs.columns, "own_key", "kept_id", "kept_key")
+    keep = kept.select(F.col("doc_id").alias(of), F.col("key").alias(key))
+    rows = docs.withColumn(own, _text_key(text_col)).join(keep, (F.col(id_col) == F.col(of)) & (F.col(own) == F.col(key)))
+    return rows.dropDuplicates([id_col, own]).select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) less near copies: of each component the document with the least id.
+    """The rows of ``docs`` (all columns) less near copies: of each component of fingerprints the row with the least id, then MD5 of the text.
 
-    A document that occurs in several rows keeps the first by its text; rows
-    without an id stay, as nothing tells which of them to keep.
+    Rows of one id with texts that aren't near each other are kept each for
+    itself, and equal ones once; rows without an id stay, as nothing tells
+    which of them to keep.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept, = fresh(docs.columns, "kept")
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
-    once = docs.join(keep, docs[id_col] == F.col(kept)).drop(kept).dropDuplicates([id_col])
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+    keys = keyed(docs, id_col, text_col).where("doc_id is not null")
+    rows = materialize(fingerprints(keys, "doc_id", "text", carry="key"), "fingerprints")
+    fps = materialize(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("least")), "distinct")
+    comps = connected_components(links(fps.select("fp", F.col("fp").alias("rep")), hot=4096), "a", "b")
+    label = fps.join(comps, fps.fp == comps.node, "left").select(F.coalesce("component", "fp").alias("component"), "least")
+    return keep_rows(docs, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:

@@ -178,6 +178,19 @@ def test_keep_one(spark, docs):
     assert simhash.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_rows_of_one_id(spark):
+    rng = random.Random(12)
+    own, shared = fixtures.prose(rng, 60), fixtures.prose(rng, 60)
+    rows = [(0, shared, "a"), (1, own, "b"), (1, shared, "c"), (1, own, "b"), (2, shared, "d")]
+    words = fixtures.prose(rng, 300).split()
+    near = (" ".join(words[:k] + ["other"] + words[k + 1 :]) for k in range(300))
+    near = next(t for t in near if 1 <= (brute.fingerprint(t) ^ brute.fingerprint(" ".join(words))).bit_count() <= 3)
+    rows += [(10, " ".join(words), "e"), (11, near, "f"), (11, fixtures.prose(rng, 60), "g")]
+    for order in (rows, rows[::-1]):
+        got = simhash.keep_one(spark.createDataFrame(order, "doc_id long, text string, mark string")).collect()
+        assert sorted((r.doc_id, r.mark) for r in got) == [(0, "a"), (1, "b"), (10, "e"), (11, "g")]
+
+
 # 5
 
 
