@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, components, decontam, licenses, linededup, quality, queries, secrets, sharding, simhash, urlfilter, warc
+from palimpsest.llm import bpe, components, decontam, licenses, linededup, neardup, quality, queries, secrets, sharding, simhash, urlfilter, warc
 
 
 @pytest.fixture(scope="module")
@@ -187,8 +187,31 @@ def test_keep_one_rows_of_one_id(spark):
     near = next(t for t in near if 1 <= (brute.fingerprint(t) ^ brute.fingerprint(" ".join(words))).bit_count() <= 3)
     rows += [(10, " ".join(words), "e"), (11, near, "f"), (11, fixtures.prose(rng, 60), "g")]
     for order in (rows, rows[::-1]):
-        got = simhash.keep_one(spark.createDataFrame(order, "doc_id long, text string, mark string")).collect()
-        assert sorted((r.doc_id, r.mark) for r in got) == [(0, "a"), (1, "b"), (10, "e"), (11, "g")]
+        for keep in (simhash.keep_one, neardup.keep_one):
+            got = keep(spark.createDataFrame(order, "doc_id long, text string, mark string")).collect()
+            assert sorted((r.doc_id, r.mark) for r in got) == [(0, "a"), (1, "b"), (10, "e"), (11, "g")]
+
+
+def test_near_duplicates_by_jaccard(spark):
+    rng, rows = random.Random(13), []
+    for i in range(12):
+        words = fixtures.prose(rng, 160).split()
+        rows += [(100 * i, words), (100 * i + 1, words[:80] + ["new"] + words[81:]), (100 * i + 2, [*words, *fixtures.prose(rng, 25).split()]), (100 * i + 3, words[:100])]
+        rows += [(100 * i + 10 + k, words[:k] + ["other"] + words[k + 1 :]) for k in range(3, 150, 30)]
+    docs = [(d, " ".join(w)) for d, w in rows] + [(9000, ""), (9001, None), (9002, "few words"), (9003, "Few  words")]
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} - {()} for d, w in ((d, brute.WORD.findall(brute.lower(t))) for d, t in docs)}
+    least, near = {d: d for d in sets}, [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in near:
+            least[a] = least[b] = min(least[a], least[b])
+    want = sorted(d for d in sets if least[d] == d)
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("own_key", F.lit(1))
+    three_bits = simhash.keep_one(table).count()
+    for more in ({}, {"hot": 2, "block": 3}):
+        got = neardup.keep_one(table, **more)
+        assert got.columns == table.columns and sorted(r.doc_id for r in got.collect()) == want
+    assert len(want) < three_bits
+    assert neardup.keep_one(table.limit(0)).count() == 0
 
 
 # 5
