@@ -62,15 +62,18 @@ FROM (SELECT page_id, t, sha1(t) AS h, min(page_id) OVER (PARTITION BY t) AS fir
 
 
 def _line_dedup() -> str:
-    if linededup.WINDOW != 2:
-        raise ValueError("the SQL is written for windows of two lines")
+    """Repeated chunks of lines are made of repeated runs of two, so these, and long lines, decide."""
+    d = linededup
+    if d.LEAST_LINES != 2:
+        raise ValueError("the SQL is written for runs of two lines")
     return f"""WITH split_ AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL),
- lines_ AS (SELECT doc_id, i, x[i + 1] AS line, CAST(concat('0x', substr(md5(x[i + 1]), 1, 8)) AS BIGINT) AS h FROM split_, unnest(range(0, len(x))) AS u(i)),
- cuts_ AS (SELECT *, CASE WHEN i = 0 OR (h * {linededup.FACTOR} + coalesce(lead(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {linededup.DIVISOR} = 0 THEN 1 ELSE 0 END AS cut FROM lines_),
- marked_ AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM cuts_),
- chunks_ AS (SELECT doc_id, chunk, min(i) AS pos, string_agg(line, chr(10) ORDER BY i) AS body FROM marked_ GROUP BY doc_id, chunk HAVING count(*) >= {linededup.LEAST_LINES}),
- gone_ AS (SELECT doc_id, chunk, true AS gone FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS r FROM chunks_ WHERE regexp_matches(body, '[^ \\t\\n\\x0B\\f\\r]')) WHERE r > 1),
- left_ AS (SELECT m.doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text, count(*) FILTER (gone) AS removed FROM marked_ m LEFT JOIN gone_ g ON g.doc_id = m.doc_id AND g.chunk = m.chunk GROUP BY m.doc_id)
+ lines_ AS (SELECT doc_id, i, x[i + 1] AS line, CASE WHEN regexp_matches(x[i + 1], '[^ \\t\\n\\x0B\\f\\r]') THEN length(x[i + 1]) - length(replace(x[i + 1], ' ', '')) + 1 ELSE 0 END AS w, CASE WHEN i + 1 < len(x) THEN concat(x[i + 1], chr(10), x[i + 2]) END AS two FROM split_, unnest(range(0, len(x))) AS u(i)),
+ pairs_ AS (SELECT doc_id, i FROM lines_ WHERE two IS NOT NULL QUALIFY row_number() OVER (PARTITION BY two ORDER BY doc_id, i) > 1),
+ long_ AS (SELECT doc_id, i FROM lines_ WHERE w >= {d.LONG_LINE} QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1),
+ found_ AS (SELECT doc_id, i FROM pairs_ UNION SELECT doc_id, i + 1 FROM pairs_ UNION SELECT doc_id, i FROM long_),
+ runs_ AS (SELECT doc_id, i, w, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM found_ JOIN lines_ USING (doc_id, i)),
+ gone_ AS (SELECT doc_id, i, true AS gone FROM (SELECT doc_id, i, sum(w) OVER (PARTITION BY doc_id, run) AS words FROM runs_) WHERE words >= {d.LEAST_WORDS}),
+ left_ AS (SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (gone IS NULL), '') AS text, count(*) FILTER (gone) AS removed FROM lines_ l LEFT JOIN gone_ g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
 SELECT d.doc_id, coalesce(removed, 0) AS removed_lines, length(l.text) AS kept_chars, md5(l.text) AS kept_md5 FROM documents d LEFT JOIN left_ l ON l.doc_id = d.doc_id"""
 
 

@@ -108,30 +108,39 @@ def quality(text):
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), failed
 
 
-def chunks(text, window=2, divisor=3, factor=31):
-    lines = text.split("\n")
-    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    rolled = lambda i: sum((hashes[i + k] if i + k < len(lines) else 0) * factor ** (window - 1 - k) for k in range(window))
-    starts = [i for i in range(len(lines)) if i == 0 or rolled(i) % divisor == 0] + [len(lines)]
-    return lines, list(zip(starts, starts[1:]))
+def weight(line):
+    return line.count(" ") + 1 if re.search(r"[^ \t\n\x0b\f\r]", line) else 0
 
 
 def line_dedup(docs):
-    """docs: list of (id, text); returns id -> text left."""
+    """docs: list of (id, text); returns id -> text left. Every run of two lines, and every line of 50 words, in plain sight."""
     places = defaultdict(list)
     for d, t in docs:
-        if t is not None and "\n" in t:
-            lines, cut = chunks(t)
-            for a, b in cut:
-                body = "\n".join(lines[a:b])
-                if b - a >= 2 and body.strip():
-                    places[body].append((d, a, b))
+        lines = [] if t is None else t.split("\n")
+        for i in range(len(lines)):
+            if i + 1 < len(lines):
+                places[lines[i], lines[i + 1]].append((d, i, 2))
+            if weight(lines[i]) >= 50:
+                places[lines[i]].append((d, i, 1))
     gone = defaultdict(set)
     for where in places.values():
-        for d, a, b in sorted(where):
-            if (d, a, b) != min(where):
-                gone[d] |= set(range(a, b))
-    return {d: t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in docs}
+        for d, i, n in where:
+            if (d, i) != min(where)[:2]:
+                gone[d] |= set(range(i, i + n))
+    out = {}
+    for d, t in docs:
+        if t is None:
+            out[d] = None
+            continue
+        lines, keep, run = t.split("\n"), [], []
+        for i, x in enumerate([*lines, None]):
+            if x is not None and i in gone[d]:
+                run.append(x)
+                continue
+            keep += run if sum(map(weight, run)) < 25 else []
+            keep, run = keep + [x], []
+        out[d] = "\n".join(keep[:-1])
+    return out
 
 
 def normal(text):

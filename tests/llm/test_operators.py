@@ -364,6 +364,21 @@ def test_line_dedup(spark, tmp_path, monkeypatch, docs):
         assert rows[d].kept_md5 == (None if t is None else hashlib.md5(t.encode()).hexdigest())
 
 
+def test_line_dedup_passages_inside_other_text(spark):
+    rng, docs, passages = random.Random(21), [], []
+    for n in (1, 2, 3, 4, 6, 9):
+        passages.append("\n".join(fixtures.prose(rng, 60 // n + 1, 1000) for _ in range(n)))
+        docs += [fixtures.prose(rng, 40) + "\n" + passages[-1] + "\n" + fixtures.prose(rng, 30) for _ in range(3)]
+    docs += ["And.\nLes.\n" + fixtures.prose(rng, 40), fixtures.prose(rng, 40) + "\nAnd.\nLes.", "\n".join(["long line " * 200_000] * 3), "\n".join(["long line " * 200_000] * 3)]
+    rows = list(enumerate(docs))
+    got = {r.doc_id: r.text for r in linededup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()}
+    assert got == brute.line_dedup(rows)
+    for k, p in enumerate(passages):  # each stays in the first document and nowhere else
+        assert [p in got[d] for d in got] == [d == 3 * k for d in got]
+        assert not any(x in got[3 * k + 1] for x in p.split("\n"))
+    assert got[18] == docs[18] and got[19] == docs[19] and got[20].count("\n") < 2 and got[21] == ""
+
+
 def test_line_dedup_rows_and_columns(spark):
     text = "\n".join(f"line number {i} of it" for i in range(30))
     rows = spark.createDataFrame([(1, text, "a"), (2, "head\n" + text, "b"), (2, "unlike\nanything\nelse here", "c"), (None, text, "d"), (3, "\n\n\n\n", "e"), (4, "\n\n\n\n", "f")], "doc_id long, text string, removed_lines string")
