@@ -162,3 +162,27 @@ def leaks(docs, items, least=0.8, size=5):
                     out.add((d, item))
                     break
     return out
+
+
+def best_windows(docs, items, least=0.8, size=5, radius=24):
+    """(doc, item) -> (similarity, first word, differing bits) of the best of all windows of the item's length within the radius, the first of equals."""
+    shingles = lambda w: [" ".join(w[i : i + size]) for i in range(len(w) - size + 1)] if len(w) >= size else [" ".join(w)] if w else []
+
+    def bits(grams):
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in grams]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    out = {}
+    for item, text in items:
+        words = normal(text)
+        bag = Counter(shingles(words))
+        for d, t in docs:
+            w = normal(t)
+            for a in range(max(1, len(w) - len(words) + 1)) if bag else ():
+                window = shingles(w[a : a + len(words)])
+                s = sum((bag & Counter(window)).values()) / sum(bag.values())
+                if s >= least and s > out.get((d, item), (0,))[0]:
+                    differ = (bits(window) ^ bits(shingles(words))).bit_count()
+                    if differ <= radius:
+                        out[d, item] = (s, a, differ)
+    return out

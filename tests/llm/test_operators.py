@@ -306,51 +306,91 @@ def leaky(rng):
     return docs + [(200, None), (201, "")], items
 
 
+def whole(rows):
+    return {(r.doc_id, r.item_id): (r.similarity, r.first_word, r.differing_bits) for r in rows}
+
+
 def test_contamination(spark):
     docs, items = leaky(random.Random(2))
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items + [(9, None)], "item_id long, text string")
-    got = decontam.contaminated(d, b)
-    rows = {(r.doc_id, r.item_id) for r in got.collect()}
-    want = brute.leaks(docs, items)
-    assert rows == want and {(k, k) for k in range(6)} | {(10 + k, k) for k in range(6)} <= rows
-    assert rows == {(r.doc_id, r.item_id) for r in decontam.contaminated(d, b, pass_bytes=200).collect()}
-    kept = decontam.clean(d.withColumn("hit", F.lit(1)), b)
-    assert kept.columns == ["doc_id", "text", "hit"] and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - {x for x, _ in want}
+    got = whole(decontam.contaminated(d, b).collect())
+    assert got == brute.best_windows(docs, items) and {(k, k) for k in range(6)} | {(10 + k, k) for k in range(6)} <= set(got)
+    assert set(got) == brute.leaks(docs, items)  # none of these is beyond the radius
+    kept = decontam.clean(d.withColumn("hit", F.lit(1)).withColumn("key_", F.lit(2)), b)
+    assert kept.columns == ["doc_id", "text", "hit", "key_"] and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - {x for x, _ in got}
     assert decontam.contaminated(d, b.limit(0)).count() == 0 and decontam.contaminated(d.limit(0), b).count() == 0
+    assert decontam.clean(d, b.limit(0)).count() == len(docs) and decontam.clean(d.limit(0), b).count() == 0
 
 
 def test_contamination_in_another_order(spark):
     rng = random.Random(7)
-    items = [(i, fixtures.prose(rng, n, 7)) for i, n in enumerate([24, 40, 55])]
+    items = [(i, fixtures.prose(rng, n, 7)) for i, n in enumerate([24, 40, 55, 80])]
     docs = []
     for i, text in items:
         w, body = text.split(), fixtures.prose(rng, 60).split()
         docs.append((i, " ".join(body[:30] + w[len(w) // 2 :] + w[: len(w) // 2] + body[30:])))
         docs.append((10 + i, " ".join(body[:30] + w[2 * len(w) // 3 :] + body[30:])))
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    rows = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(d, b).collect()}
-    assert set(rows) == brute.leaks(docs, items) == {(0, 0), (1, 1), (2, 2)} and rows[0, 0] == 0.8
-    assert {r.doc_id for r in decontam.clean(d, b).collect()} == {10, 11, 12}
+    got = whole(decontam.contaminated(d, b).collect())
+    assert got == brute.best_windows(docs, items) and set(got) == brute.leaks(docs, items) == {(k, k) for k in range(4)} and got[0, 0][0] == 0.8
+    assert {r.doc_id for r in decontam.clean(d, b).collect()} == {10, 11, 12, 13}
 
 
 def test_contamination_by_items_without_id(spark):
     rng = random.Random(9)
     one, two = fixtures.prose(rng, 20, 7), fixtures.prose(rng, 20, 7)
-    docs = spark.createDataFrame([(1, "before " + one + " after"), (2, two + "\n" + one), (3, fixtures.prose(rng, 50))], "doc_id long, text string")
-    items = spark.createDataFrame([(None, one), (None, two), (None, None), (None, "")], "item_id long, text string")
-    for size in (decontam.PASS_BYTES, 100):
-        assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs, items, pass_bytes=size).collect()) == [(1, None), (2, None), (2, None)]
-        assert [r.doc_id for r in decontam.clean(docs, items, pass_bytes=size).collect()] == [3]
+    docs = spark.createDataFrame([(1, "before " + one + " after"), (2, two + "\n" + one), (3, fixtures.prose(rng, 50)), (None, one), (2, two + "\n" + one)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, one), (None, two), (None, None), (None, ""), (None, one)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.item_id) for r in decontam.contaminated(docs, items).collect()) == [(0, None), (1, None), (2, None), (2, None), (2, None), (2, None)]
+    assert [r.doc_id for r in decontam.clean(docs, items).collect()] == [3]
+
+
+def test_contamination_by_items_of_one_id(spark):
+    rng = random.Random(10)
+    one = fixtures.prose(rng, 40, 7)
+    w = one.split()
+    items = [(1, " ".join(w[:36] + ["other", "words", "stand", "here"])), (1, one)]
+    docs = spark.createDataFrame([(1, "x " + one), (1, "x " + one), (2, (one + " ") * 2), (3, "pad " * 100_000 + one + " pad" * 300_000)], "doc_id long, text string")
+    for order in (items, items[::-1]):
+        rows = [tuple(r) for r in decontam.contaminated(docs, spark.createDataFrame(order, "item_id long, text string")).collect()]
+        assert sorted(rows) == [(1, 1, 1.0, 1, 0), (1, 1, 1.0, 1, 0), (2, 1, 1.0, 0, 0), (3, 1, 1.0, 100_000, 0)]
 
 
-def test_multi_index_finds_all_within_radius():
+def test_multi_index_finds_all_within_radius(spark):
     rng = random.Random(4)
-    index = decontam.BenchmarkIndex([(i, fixtures.prose(rng, 20)) for i in range(30)], radius=11)
-    for _ in range(300):
-        fp = int(rng.choice(index.prints))
-        for b in rng.sample(range(64), rng.randint(0, 14)):
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    items, asked = [(i, 20 + i % 2, rng.getrandbits(64)) for i in range(30)], []
+    for k in range(300):
+        _, n, fp = rng.choice(items)
+        for b in rng.sample(range(64), rng.randint(0, 28)):
             fp ^= 1 << b
-        assert sorted(index.near(fp)) == [k for k, p in enumerate(index.prints) if (int(p) ^ fp).bit_count() <= 11]
+        asked.append((k, n, fp))
+    table = lambda rows, names: spark.createDataFrame([(*r[:2], signed(r[2])) for r in rows], names)
+    for radius in (24, 11):
+        got = sorted(tuple(r) for r in decontam.near(table(asked, "window long, n int, fp long"), table(items, "item_no long, n int, fp long"), radius).collect())
+        assert got == sorted((k, i, (f ^ g).bit_count()) for k, n, f in asked for i, m, g in items if m == n and (f ^ g).bit_count() <= radius)
+
+
+def test_rolling_fingerprints():
+    rng = random.Random(5)
+    words = [rng.choice([b"a", b"b", b"c d"[:1], b"e"]) for _ in range(200)]
+    hashes = np.array([decontam._hash64(s) for s in decontam.shingles(words)], np.uint64)
+    for n in (1, 2, 7, 50):
+        assert decontam.window_fingerprints(hashes, n).tolist() == [simhash.simhash(hashes[i : i + n]) for i in range(len(hashes) - n + 1)]
+
+
+def test_recall_of_the_radius():
+    """Of windows with a similarity of 0.8 to 0.9, the harder part, over nine in ten lie within the radius."""
+    rng, found, tried = random.Random(6), 0, 0
+    while tried < 400:
+        item = fixtures.prose(rng, rng.randint(16, 60), 7).encode().split()
+        window = list(item)
+        for at in rng.sample(range(len(item)), rng.choice([1, 1, 2])):
+            window[at] = b"other%d" % at
+        if 0.8 <= decontam.similarity(window, item) <= 0.9:
+            tried += 1
+            found += (decontam.fingerprint(window) ^ decontam.fingerprint(item)).bit_count() <= decontam.RADIUS
+    assert found >= 0.9 * tried
 
 
 # 8
