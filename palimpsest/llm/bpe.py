@@ -16,11 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .storage import importable
 
-#: Pre-tokens whose ids a worker remembers before it starts afresh.
-MEMORY = 200_000
+#: What a worker remembers of the ids of pre-tokens before it starts afresh: so many bytes of tokens and ids; longer pre-tokens than ``REMEMBERED`` aren't.
+MEMORY, ENTRY, REMEMBERED = 48 << 20, 200, 256
 
 
 def byte_characters() -> list[str]:
@@ -61,7 +62,7 @@ class Codec(dict):
     """Pre-token (bytes) to its ids as packed little-endian 32-bit integers, filled as needed."""
 
     def __init__(self, model: bytes, ranks: dict[bytes, int], pattern: str):
-        self.model, self.ranks, self.pattern = model, ranks, pattern
+        self.model, self.ranks, self.pattern, self.held = model, ranks, pattern, 0
 
     # each is made where it is used: a worker that only decodes needs no model, one that only encodes no pieces
     @cached_property
@@ -88,9 +89,14 @@ class Codec(dict):
         raw = token.encode()
         rank = self.ranks.get(raw)  # a whole pre-token in the vocabulary is one id, however its merges would go
         ids = np.array([rank], "<u4") if rank is not None else self.order[self.processor.encode(mapped(raw))]
-        if len(self) >= MEMORY:
+        out = ids.tobytes()
+        if len(raw) > REMEMBERED:
+            return out
+        self.held += ENTRY + len(raw) + len(out)
+        if self.held > MEMORY:
             self.clear()
-        out = self[token] = ids.tobytes()
+            self.held = ENTRY + len(raw) + len(out)
+        self[token] = out
         return out
 
     def encode(self, text: str | None) -> bytes:
@@ -120,26 +126,27 @@ class Tokenizer:
         ranks = read_ranks(rank_file)
         self.sent = spark.sparkContext.broadcast((sentencepiece_model(ranks), tuple(ranks.items()), pattern))
 
-    def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """``(doc_id, ids)`` per row; ids packed as little-endian unsigned 32-bit integers. Null text has none."""
-        sent = self.sent
+    def _added(self, rows: DataFrame, source: str, column: str, make) -> DataFrame:
+        """All columns of ``rows`` and one made from column ``source`` by the codec."""
+        sent, at = self.sent, rows.columns.index(source)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(*sent.value)
             for b in slices(batches):
-                ids = [codec.encode(t.as_py()) for t in b.column(1)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                out = pa.array([make(codec, t.as_py()) for t in b.column(at)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, column])
 
-        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+        schema = T.StructType([*rows.schema.fields, T.StructField(column, T.BinaryType())])
+        return rows.mapInArrow(run, schema)
 
-    def decode(self, encoded: DataFrame) -> DataFrame:
-        """Adds ``decoded``, the bytes of the ids, to ``(doc_id, ids)``. Null ids decode to no bytes."""
-        sent = self.sent
+    def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+        """Every row and column of ``docs`` with ``ids_col``, the ids packed as little-endian unsigned 32-bit integers.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codec = _codec(*sent.value)
-            for b in slices(batches):
-                out = [codec.decode(t.as_py()) for t in b.column(1)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])
+        Null and empty texts have none; repeated rows repeat theirs; texts are
+        encoded whole, however long. A column of that name must not be there.
+        """
+        return self._added(docs.withColumn(text_col, F.col(text_col).cast("string")), text_col, ids_col, Codec.encode)
 
-        return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    def decode(self, encoded: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+        """Every row and column with ``decoded_col``, the bytes of the ids. Null ids decode to no bytes."""
+        return self._added(encoded, ids_col, decoded_col, Codec.decode)

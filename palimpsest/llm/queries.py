@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, licenses, linededup, neardup, quality, secrets, sharding, simhash, urlfilter, warc
-from .storage import new_path
+from .storage import fresh, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,15 +50,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(warc.page_of("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", warc.page_of("refers_to").alias("refers_to"))
 
 
-def _round_trip(docs: DataFrame) -> DataFrame:
-    codec = tokenizer(docs.sparkSession)
-    both = codec.decode(codec.encode(docs))
-    tokens = (F.octet_length("ids") / 4).cast("long")
-    return both.select("doc_id", tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def _tokens(ids: str) -> Column:
+    return (F.octet_length(ids) / 4).cast("long")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round_trip(_table(spark, sf_dir, "documents"))
+    codec = tokenizer(spark)
+    both = codec.decode(codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return both.select("doc_id", _tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +104,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _round_trip(docs)
+    """The documents with their columns, and the ids (packed as unsigned 32-bit integers), their number, their digest and that of the text decoded from them."""
+    ids, decoded, tokens, digest, back = fresh(docs.columns, "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
+    codec = tokenizer(spark)
+    both = codec.decode(codec.encode(docs, ids_col=ids), ids, decoded)
+    return both.select(*docs.columns, ids, _tokens(ids).alias(tokens), F.sha2(ids, 256).alias(digest), F.sha2(decoded, 256).alias(back))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

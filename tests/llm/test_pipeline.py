@@ -16,7 +16,11 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], fixtures.DOCS)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.columns[:5] == docs.columns
+    kept = found.collect()
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in kept}
+    assert all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 and hashlib.sha256(r.text.encode()).hexdigest() == r.decoded_sha256 and len(r.text) == r.n_chars for r in kept)
 
     judged = {r.doc_id: r.kept for r in quality.assess(docs).collect()}  # its own test holds it against the contract
     rows = [(i, t) for i, t in enumerate(texts) if judged[i]]
