@@ -16,7 +16,9 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import marked
 from .expressions import let, total
+from .storage import materialize
 
 _MOST_STRINGS = 64
 _BLOCK = 256
@@ -172,18 +174,24 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "
     """``(doc_id, found)`` for every row: ``found`` the spans of all rules as ``(start, number, end, kind)``, by start, then rule.
 
     Null text counts as empty and holds none. Repeated rows repeat their
-    result; rows of one id, or without one, share candidates but are matched
-    each by its own text.
+    result; rows of one id, or without one, are each matched by their own text.
+    Very long texts are scanned whole. Only candidates are shuffled: which rows
+    they are a bitmap of bounded size tells where the rows stand.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    some = candidates(docs, rules, id_col, text_col)
-    if some is not None:
-        rows = rows.join(some.hint("shuffle_hash").withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    else:
-        rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
+    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))  # an id alone could be null, or stand for several texts
     none = F.array().cast("array<struct<start:long,number:int,end:long,kind:string>>")
-    parts = [matches(F.col("text"), r, k) if trigram_query(r.pattern) is None else F.when(F.array_contains("kinds", r.kind), matches(F.col("text"), r, k)).otherwise(none) for k, r in enumerate(rules)]
-    return rows.select("doc_id", F.sort_array(F.concat(*parts)).alias("found"))
+    bound = [trigram_query(r.pattern) is not None for r in rules]
+    every = [none if b else matches(F.col("text"), r, k) for k, (r, b) in enumerate(zip(rules, bound, strict=True))]
+    out = lambda part, found: part.select("doc_id", F.sort_array(F.concat(*found)).alias("found"))
+    some = candidates(rows, rules, "row", "text")
+    if some is None:
+        return out(rows, every)
+    some = materialize(some.withColumnRenamed("doc_id", "of"), "candidates")
+    split, there = marked(rows, some, F.col("row"), F.col("of"))
+    held = split.where(F.col(there)).join(some, F.col("row") == F.col("of"), "left")
+    asked = [F.when(F.array_contains("kinds", r.kind), matches(F.col("text"), r, k)).otherwise(none) if b else every[k] for k, (r, b) in enumerate(zip(rules, bound, strict=True))]
+    return out(split.where(~F.col(there)), every).union(out(held, asked))
 
 
 def joined(found: Column) -> Column:
