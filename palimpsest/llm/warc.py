@@ -19,6 +19,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,7 +30,8 @@ from pyspark.sql.datasource import (
     IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage,
 )
 
-from .storage import importable
+from .bitmap import marked
+from .storage import importable, materialize
 
 SCHEMA = "record_type string, record_id string, target_uri string, date string, refers_to string, payload_digest string, payload_length long, computed_digest string, payload binary"
 #: Columns that come from the WARC header, and so can be tested before the payload is touched.
@@ -114,8 +116,8 @@ class WarcWriter(DataSourceArrowWriter):
         fs, path = filesystem(self.path)
         temp = filesystem(self.temp)[1]
         fs.create_dir(path, recursive=True)
-        for name in (f for m in messages if m for f in m.files):
-            fs.move(f"{temp}/{name}", f"{path}/{name}")
+        with ThreadPoolExecutor(16) as pool:  # names only, but many of them
+            list(pool.map(lambda name: fs.move(f"{temp}/{name}", f"{path}/{name}"), (f for m in messages if m for f in m.files)))
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -367,16 +369,22 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null html is an empty payload and null urls have no target. Rows of one id
     that is the least are all responses. Rows without an id revisit a row that
     has one; if none has, they are responses. Payloads are told apart by length
-    and SHA-256.
+    and SHA-256. Only payloads that occur again, and by chance a few more, are
+    shuffled; other columns of ``pages`` are left out. Blanks around a URL are
+    lost in a header, and its control characters are percent-encoded.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumn("key", F.concat_ws(":", F.octet_length("payload").cast("string"), F.sha2("payload", 256)))
     least = rows.where(F.octet_length("payload") >= least_bytes).groupBy("key").agg(F.count("*").alias("times"), F.min("id").alias("first")).where("times > 1 and first is not null").select(F.col("key").alias("of"), "first")
-    out = rows.join(least, F.col("key") == F.col("of"), "left")
+    least = materialize(least, "repeated_payloads")
+    split, there = marked(rows, least, F.col("key"), F.col("of"))
+    held = split.where(F.col(there)).join(least.hint("merge"), F.col("key") == F.col("of"), "left")
     again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("")))
-    return out.select(F.when(again, "revisit").otherwise("response").alias("record_type"), urn(F.col("id")).alias("record_id"), "target_uri", F.when(again, urn(F.col("first"))).alias("refers_to"), "payload")
+    found = held.select(F.when(again, "revisit").otherwise("response").alias("record_type"), urn(F.col("id")).alias("record_id"), "target_uri", F.when(again, urn(F.col("first"))).alias("refers_to"), "payload")
+    single = split.where(~F.col(there)).select(F.lit("response").alias("record_type"), urn(F.col("id")).alias("record_id"), "target_uri", F.lit(None).cast("string").alias("refers_to"), "payload")
+    return single.union(found)
 
 
 def write(rows: DataFrame, path: str) -> None:
