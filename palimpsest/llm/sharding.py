@@ -8,10 +8,13 @@ keys of the others move.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .expressions import hash_fraction, let
+from .expressions import hash_fraction
+from .storage import fresh
 
 SHARDS, SIZE = 32, 3251
 #: The table is broadcast; a larger one isn't made.
@@ -22,41 +25,49 @@ def _is_prime(n: int) -> bool:
     return n > 1 and all(n % d for d in range(2, int(n**0.5) + 1))
 
 
+def _fraction(value: str) -> int:
+    """As ``hash_fraction``."""
+    return int(hashlib.md5(value.encode()).hexdigest()[:8], 16)
+
+
+def fill(shards: list[str], size: int) -> list[int]:
+    """The number of the shard that claims each slot. A shard goes on in its order from the slot it has last tried, so all claims take about ``size * len(shards)`` looks at most, and mostly far fewer."""
+    at = [_fraction(f"offset:{s}") % size for s in shards]
+    skip = [_fraction(f"skip:{s}") % (size - 1) + 1 for s in shards]
+    table = [-1] * size
+    for turn in range(size):
+        i = turn % len(shards)
+        while table[at[i]] >= 0:
+            at[i] = (at[i] + skip[i]) % size
+        table[at[i]] = i
+    return table
+
+
 def lookup_table(spark: SparkSession, shards: list[str], size: int = SIZE) -> DataFrame:
-    """``(slot, shard)`` for each of the ``size`` slots; ``size`` a prime of at least the number of shards."""
+    """``(slot, shard)`` for each of the ``size`` slots; ``size`` a prime of at least the number of shards and at most ``MOST_SLOTS``.
+
+    The fill is sequential and bounded, so it is done once where the query is
+    made; the table is one literal of the plan.
+    """
     if not shards or len(set(shards)) < len(shards):
         raise ValueError("shards must be given, each once")
     if not _is_prime(size) or not len(shards) <= size <= MOST_SLOTS:
         raise ValueError(f"size must be a prime from the number of shards to {MOST_SLOTS}")
+    numbers = F.split(F.lit(",".join(map(str, fill(shards, size)))), ",")
     names = F.array(*(F.lit(s) for s in shards))
-    prefer = F.transform(names, lambda s: F.struct((hash_fraction(F.concat(F.lit("offset:"), s)) % size).alias("offset"), (hash_fraction(F.concat(F.lit("skip:"), s)) % (size - 1) + 1).alias("skip")))
-    start = F.struct(prefer.alias("prefer"), F.sequence(F.lit(0), F.lit(size - 1)).alias("turns"))
-
-    def fill(given: Column) -> Column:
-        def claim(table: Column, turn: Column) -> Column:
-            at = (turn % len(shards)).cast("int")
-
-            def slot(by: Column) -> Column:
-                free = F.filter(given["turns"], lambda j: F.get(table, ((by["offset"] + j * by["skip"]) % size).cast("int")) < 0)
-                return ((by["offset"] + F.get(free, 0) * by["skip"]) % size).cast("int")
-
-            return let(let(F.get(given["prefer"], at), slot), lambda s: F.concat(F.slice(table, F.lit(1), s), F.array(at), F.slice(table, s + 2, size)))
-
-        return F.aggregate(given["turns"], F.array_repeat(F.lit(-1), size), claim)
-
-    filled = spark.range(1).select(names.alias("names"), let(start, fill).alias("filled"))
-    return filled.select("names", F.posexplode("filled").alias("slot", "at")).select("slot", F.get("names", F.col("at")).alias("shard"))
+    rows = spark.range(1).select(names.alias("names"), F.posexplode(numbers).alias("slot", "at"))
+    return rows.select("slot", F.get("names", F.col("at").cast("int")).alias("shard"))
 
 
 def place(rows: DataFrame, key: str | Column, table: DataFrame, size: int = SIZE) -> DataFrame:
-    """``rows`` with ``slot`` and ``shard`` by the key; a null key counts as the empty text.
+    """``rows`` with ``slot`` and ``shard`` by the key; a null key counts as the empty text, repeated rows repeat their place.
 
     The table has at most ``MOST_SLOTS`` rows, so it is broadcast and a row is
-    placed where it is, without a shuffle, however hot its key. Columns of
-    ``rows`` named slot or shard are an error.
+    placed where it is, without a shuffle, however hot its key. Where ``rows``
+    has columns of these names, the new ones get an underscore.
     """
-    if {"slot", "shard"} & {c.lower() for c in rows.columns}:
-        raise ValueError("rows already has a column slot or shard")
+    slot, shard, of = fresh(rows.columns, "slot", "shard", "of_slot")
     key = F.col(key) if isinstance(key, str) else key
-    slot = hash_fraction(F.coalesce(key.cast("string"), F.lit(""))) % size
-    return rows.withColumn("slot", slot.cast("int")).join(F.broadcast(table), "slot", "left").select(*rows.columns, "slot", "shard")
+    at = (hash_fraction(F.coalesce(key.cast("string"), F.lit(""))) % size).cast("int")
+    named = table.select(F.col("slot").alias(of), F.col("shard").alias(shard))
+    return rows.withColumn(slot, at).join(F.broadcast(named), F.col(slot) == F.col(of), "left").select(*(F.col(c) for c in rows.columns), slot, shard)

@@ -53,6 +53,14 @@ def test_secrets_many_matches(spark):
     assert sorted((r.s == brute.secrets(text)[1], r.doc_id or 0) for r in got) == [(False, 2), (True, 0), (True, 1), (True, 1)]
 
 
+def test_secrets_edges(spark):
+    long = "word " * 600_000 + "token=abcdefgh" + " 0123" * 100_000 + " password: 12345678"
+    rows = spark.createDataFrame([(1, long, "a"), (None, "token=zzzzzz", "b"), (None, "none", "c"), (None, None, "d")], "doc_id long, text string, found string")
+    got = {(r.doc_id, r.s) for r in secrets.scan(rows).select("doc_id", secrets.joined(F.col("found")).alias("s")).collect()}
+    assert got == {(1, brute.secrets(long)[1]), (None, "assign:0:12"), (None, "")}
+    assert secrets.scan(rows.limit(0)).count() == 0
+
+
 def test_rule_without_trigrams_scans_all(spark):
     rows = spark.createDataFrame([(1, "a1b22"), (2, "xx")], "doc_id long, text string")
     got = secrets.scan(rows, (secrets.Rule("digits", "[0-9]+"),)).select("doc_id", secrets.joined(F.col("found")).alias("s")).collect()
@@ -87,6 +95,12 @@ def test_lookup_table(spark):
     assert moved < 0.25 * 211
 
 
+def test_largest_lookup_table(spark):
+    names = [f"n{i}" for i in range(64)]
+    sizes = sharding.lookup_table(spark, names, sharding.MOST_SLOTS).groupBy("shard").count().collect()
+    assert len(sizes) == 64 and sum(r["count"] for r in sizes) == sharding.MOST_SLOTS and max(r["count"] for r in sizes) - min(r["count"] for r in sizes) <= 1
+
+
 def test_placement(spark):
     table = sharding.lookup_table(spark, ["a", "b", "c"], 31)
     rows = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y")], "doc_id long, extra string")
@@ -95,8 +109,8 @@ def test_placement(spark):
     key = lambda d: int(hashlib.md5(d.encode()).hexdigest()[:8], 16) % 31
     assert sorted(r.slot for r in got) == sorted([key("1"), key("1"), key("")])
     assert sharding.place(rows.limit(0), "doc_id", table, 31).count() == 0
-    with pytest.raises(ValueError):
-        sharding.place(rows.withColumn("SLOT", F.lit(1)), "doc_id", table, 31)
+    clash = sharding.place(rows.withColumn("SLOT", F.lit(1)).withColumn("shard", F.lit("own")), "doc_id", table, 31)
+    assert clash.columns == ["doc_id", "extra", "SLOT", "shard", "slot_", "shard_"] and sorted(r.slot_ for r in clash.collect()) == sorted(r.slot for r in got)
     for names, size in (([], 7), (["a", "a"], 7), (["a", "b"], 8), (["a", "b", "c"], 2)):
         with pytest.raises(ValueError):
             sharding.lookup_table(spark, names, size)
