@@ -23,8 +23,10 @@ from .storage import fresh, importable, materialize
 
 BITS, BLOCK, SHIFTS = 64, 31, (0, 33)
 MAX_DISTANCE = 3
-#: Homes at one anchor beyond which its pairs are dealt out over tasks.
-HOT = 256
+#: Fingerprints at one anchor, homes and replicas, beyond which it is split.
+HOT = 4096
+#: Bits outside a block, and the widths of the parts by which a hot anchor is split, and split again.
+REST, WIDTHS = BITS - BLOCK, (8, 6, 4)
 
 _LANES = np.uint64(0x0101010101010101)
 _STEPS = np.arange(8, dtype=np.uint64)[:, None]
@@ -129,35 +131,66 @@ def _forest(batches: pa.Table, most: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def links(fps: DataFrame, most: int = MAX_DISTANCE, hot: int = HOT) -> DataFrame:
+def _met(homes: DataFrame, copies: DataFrame, most: int) -> DataFrame:
+    """``(a, b)`` of linked pairs at one anchor; of a pair the lesser fingerprint is met at home."""
+    h, c = homes.select("anchor", "fp", F.col("rep").alias("a")), copies.select(F.col("anchor").alias("at"), F.col("fp").alias("fp2"), F.col("rep").alias("b"))
+    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
+    return h.join(c, (h.anchor == F.col("at")) & (F.col("fp") < F.col("fp2")) & (differ <= most)).select("a", "b")
+
+
+def _split(members: DataFrame, width: int) -> DataFrame:
+    """Each anchor as many, by four parts of ``width`` of the bits outside its block: of two linked fingerprints one part at least is equal. What is left of those bits goes on in ``rest``."""
+    shift = lambda name, by: F.call_function(name, F.col("rest"), by.cast("int"))
+    low = F.col("p") * width
+    value = shift("shiftright", low).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    above = F.call_function("shiftleft", shift("shiftright", low + width), low.cast("int"))
+    below = F.col("rest").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), low.cast("int")) - 1)
+    parts = members.select("*", F.explode(F.sequence(F.lit(0), F.lit(MAX_DISTANCE))).alias("p"))
+    return parts.select(F.xxhash64("anchor", "p", value).alias("anchor"), "fp", "rep", "home", above.bitwiseOR(below).alias("rest"))
+
+
+def links(fps: DataFrame, most: int = MAX_DISTANCE, hot: int = HOT, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """``(a, b)``: reps of fingerprints that differ in at most ``most`` (3 or fewer) bits, enough to connect them all.
 
-    ``fps`` holds distinct ``fp`` with ``rep``. At an anchor of up to ``hot``
-    homes every link is a row. Beyond that, its homes and replicas are dealt
-    into blocks of about ``hot`` and each pair of blocks returns the edges of a
-    spanning forest of its links, so that rows grow with the fingerprints and
-    not with their pairs, no task holds more than two blocks, and no link is
-    lost to the components.
+    ``fps`` holds distinct ``fp`` with ``rep``. At an anchor with up to ``hot``
+    homes and replicas every link is a row. One with more is split by the bits
+    outside its block: of any two that link one of four parts is equal, so each
+    fingerprint goes on at four lesser anchors, which are split again where
+    they are hot. Fingerprints that share the block and 18 more bits are near
+    each other and mostly all linked: of those, blocks of about ``hot`` are
+    dealt to tasks in pairs, each of which returns a spanning forest in place of
+    all links. So rows grow with the fingerprints, no task holds more than two
+    blocks, and no link is lost to the components.
     """
     if most > MAX_DISTANCE:
         raise ValueError(f"the anchors cover {MAX_DISTANCE} differing bits, not {most}")
     homes, copies = anchors(fps)
-    crowd = materialize(homes.groupBy("anchor").count().where(F.col("count") > hot).select("anchor", F.ceil(F.col("count") / hot).cast("int").alias("k")), "hot_anchors")
-    crowded = not crowd.isEmpty()
-    calm_homes, calm_copies = (x.join(crowd, "anchor", "left_anti") if crowded else x for x in (homes, copies))
-    h, c = calm_homes.toDF("anchor", "fp", "a"), calm_copies.toDF("anchor", "fp2", "b")
-    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
-    found = h.join(c, (h.anchor == c.anchor) & (F.col("fp") < F.col("fp2")) & (differ <= most)).select("a", "b")
-    if not crowded:
-        return found
+    # every home is among the copies
+    many = lambda rows: materialize(rows.groupBy("anchor").agg(F.count("*").alias("times")).where(F.col("times") > hot), "hot_anchors")
+    crowd = many(copies)
+    if crowd.isEmpty():
+        return _met(homes, copies, most)
+    found = _met(homes.join(crowd, "anchor", "left_anti"), copies.join(crowd, "anchor", "left_anti"), most)
+    rest = F.when(F.col("anchor") % 2 == 0, F.shiftrightunsigned("fp", BLOCK)).otherwise(F.col("fp").bitwiseAND(F.lit((1 << REST) - 1)))
+    both = homes.withColumn("home", F.lit(True)).union(copies.withColumn("home", F.lit(False)))
+    members = both.join(crowd.select("anchor"), "anchor").withColumn("rest", rest)
+    for width in widths:
+        members = materialize(_split(members, width), "split_anchors")
+        crowd = many(members)
+        calm = members.join(crowd, "anchor", "left_anti")
+        found = found.union(_met(calm.where("home"), calm.where("not home"), most))
+        if crowd.isEmpty():
+            return found
+        members = members.join(crowd.select("anchor"), "anchor")
+    dense = members.join(crowd.select("anchor", F.ceil(F.col("times") / hot).cast("int").alias("k")), "anchor")
     own = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
-    dealt = [x.join(crowd, "anchor").select("anchor", "fp", "rep", F.lit(i == 0).alias("home"), own.alias("own"), every.alias("other")) for i, x in enumerate((homes, copies))]
-    blocks = dealt[0].withColumnsRenamed({"own": "i", "other": "j"}).unionByName(dealt[1].withColumnsRenamed({"own": "j", "other": "i"}))
+    dealt = dense.select("anchor", "fp", "rep", "home", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    side = lambda at_home, other: F.when(F.col("home"), at_home).otherwise(other)
+    blocks = dealt.select("anchor", "fp", "rep", "home", side(F.col("own"), F.col("other")).alias("i"), side(F.col("other"), F.col("own")).alias("j"))
     return found.union(blocks.groupBy("anchor", "i", "j").applyInArrow(lambda t: _forest(t, most), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, hot: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, hot: int = HOT) -> DataFrame:
     """``(doc_id, fp, component_id)`` per row; ``component_id`` is the least id reachable over links.
 
     Null and empty texts have fingerprint zero and link like any other. Rows of
@@ -198,7 +231,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keys = keyed(docs, id_col, text_col).where("doc_id is not null")
     rows = materialize(fingerprints(keys, "doc_id", "text", carry="key"), "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("least")), "distinct")
-    comps = connected_components(links(fps.select("fp", F.col("fp").alias("rep")), hot=4096), "a", "b")
+    comps = connected_components(links(fps.select("fp", F.col("fp").alias("rep"))), "a", "b")
     label = fps.join(comps, fps.fp == comps.node, "left").select(F.coalesce("component", "fp").alias("component"), "least")
     return keep_rows(docs, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)
 

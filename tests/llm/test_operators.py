@@ -168,14 +168,35 @@ def test_links_are_complete_near_and_far(spark):
     want = {(i, j) for i, p in enumerate(sorted(prints)) for j, q in enumerate(sorted(prints)) if i < j and (p ^ q).bit_count() <= 3}
     got = {tuple(sorted((r.a, r.b))) for r in simhash.links(fps).collect()}
     assert got == want and want
-    split = [(min(a, b), max(a, b)) for a, b in simhash.links(fps, hot=1).collect()]
-    assert set(split) <= want
     comps = lambda edges: {tuple(r) for r in components.connected_components(spark.createDataFrame(list(edges), "a long, b long"), "a", "b").collect()}
-    assert comps(split) == comps(want)
+    for widths in (simhash.WIDTHS, (8,), ()):
+        split = [(min(a, b), max(a, b)) for a, b in simhash.links(fps, hot=1, widths=widths).collect()]
+        assert set(split) <= want and comps(split) == comps(want)
     with pytest.raises(ValueError):
         simhash.links(fps, most=4)
 
 
+def test_anchor_of_few_homes_and_many_copies(spark):
+    """Copies at one anchor are many, its homes few; rows grow with the copies, not with their square."""
+    rng = np.random.default_rng(5)
+    at = [1 << i for i in range(2, 31, 3)]
+    ends = rng.integers(0, 1 << 33, 100_000, np.uint64) << np.uint64(31)
+    block = np.array([a | b for a in at for b in at if a < b], np.uint64)  # two bits from the anchor 0
+    far = np.unique(block[rng.integers(0, len(block), len(ends))] | ends)
+    home = np.unique(ends[:5])
+    linked = home ^ np.uint64(1 << 40)
+    prints = np.unique(np.concatenate([far, home, linked]))
+    fps = spark.createDataFrame([(int(p), int(p)) for p in prints.view(np.int64)], "fp long, rep long")
+    homes, copies = simhash.anchors(fps)
+    assert copies.where("anchor = 0").count() > 90_000 > 100 > homes.where("anchor = 0").count()
+    got = {tuple(sorted((r.a, r.b))) for r in simhash.links(fps).collect()}
+    want = set()
+    for h in np.concatenate([home, linked]):
+        near = prints[np.bitwise_count(prints ^ h) <= 3]
+        want |= {tuple(sorted((int(np.int64(h.view(np.int64))), int(x)))) for x in near.view(np.int64) if x != h.view(np.int64)}
+    assert want <= got and all((a ^ b).bit_count() <= 3 for a, b in ((x & (1 << 64) - 1, y & (1 << 64) - 1) for x, y in got))
+
+
 def test_components_long_chain_and_empty(spark):
     edges = [(i, i + 1) for i in range(100)] + [(200, 201), (5, 5), (None, 3), (200, 201)]
     got = dict(tuple(r) for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
