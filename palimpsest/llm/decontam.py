@@ -241,7 +241,8 @@ def near(asked: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
     slot = lambda value: (F.col("b").cast("long") * (1 << BITS) + value).alias("slot")
     left = asked.select("window", "n", "fp", F.explode(every).alias("b")).select("window", "n", "fp", "b", slot(_block("fp", F.col("b"))))
     right = items.select("item_no", "n", F.col("fp").alias("item_fp"), F.explode(every).alias("b")).select("item_no", "n", "item_fp", "b", F.explode(values).alias("mask")).select("item_no", "n", "item_fp", slot(_block("item_fp", F.col("b")).bitwiseXOR(F.col("mask"))))
-    met = left.join(right, ["n", "slot"]).withColumn("differ", F.col("fp").bitwiseXOR(F.col("item_fp"))).withColumn("differing_bits", F.bit_count("differ"))
+    # no estimate of sizes knows how far the explode goes: neither side may be broadcast
+    met = left.join(right.hint("merge"), ["n", "slot"]).withColumn("differ", F.col("fp").bitwiseXOR(F.col("item_fp"))).withColumn("differing_bits", F.bit_count("differ"))
     # a pair that meets in several blocks counts in the first of them
     first = F.lit(True)
     for b in range(BLOCKS - 1):
