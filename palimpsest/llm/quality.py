@@ -2,9 +2,10 @@
 
 Each rule votes that a text is good (1) or bad (-1) or abstains (0). The number
 of texts with each pattern of votes, of which there are at most 3^rules, is all
-that expectation-maximisation needs to estimate the rules' accuracies (as in
-data programming; Ratner et al., 2016). A text is kept if its posterior
-probability of being good reaches ``KEEP``.
+that expectation-maximisation needs to estimate the share of good texts and how
+often each rule is right on good and on bad ones (Dawid and Skene, 1979; Ratner
+et al., 2016). A text is kept if its posterior probability of being good
+reaches ``KEEP``, so that one rule against a text can be outvoted.
 """
 
 from __future__ import annotations
@@ -20,16 +21,20 @@ from .storage import fresh, materialize
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED = 50, 50
-KEEP, PRIOR, ROUNDS = 0.5, 0.6, 100
-START, SMOOTH, BOUNDS = 0.8, 10.0, (0.55, 0.99)
+KEEP, ROUNDS = 0.5, 100
+#: Where estimation starts, and what ``SMOOTH`` texts are added for: the share of good texts; a rule seldom doubts a good text and finds half of the bad ones.
+PRIOR, START, SMOOTH = 0.6, (0.95, 0.5), 10.0
+BOUNDS, SHARES = (0.01, 0.99), (0.05, 0.95)
 #: Fields of the features, in order.
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_digits", "n_marks", "n_letters")
 
 
-def _repeat_words(grams: Column) -> Column:
-    """Words in three-word windows that occur twice or more, from the windows' hashes."""
-    placed = F.array_sort(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    twice = lambda p: F.filter(p, lambda x, k: (F.get(p, k + 1)["h"] == x["h"]) | ((k > 0) & (F.get(p, k - 1)["h"] == x["h"])))
+def _repeat_words(grams: Column, w: Column) -> Column:
+    """Words in three-word windows that occur twice or more; where two hashes agree the words are compared."""
+    three = lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    placed = F.array_sort(F.transform(grams, lambda h, i: F.struct(h.alias("h"), three(i).alias("words"), i.alias("i"))))
+    same = lambda p, k, x: (F.get(p, k)["h"] == x["h"]) & (F.get(p, k)["words"] == x["words"])
+    twice = lambda p: F.filter(p, lambda x, k: same(p, k + 1, x) | ((k > 0) & same(p, k - 1, x)))
     # windows overlap: each one adds the words up to the next
     added = lambda at: F.aggregate(F.transform(at, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
     marked = lambda p: F.sort_array(F.transform(twice(p), lambda x: x["i"]))
@@ -46,7 +51,7 @@ def features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     rows = rows.withColumn(grams, F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))))
     chars = lambda pattern: F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
     parts = (
-        F.size(ws), F.length(F.array_join(ws, "")), chars(f"{SYMBOLS}+"), F.size(lines) - F.size(F.array_distinct(lines)), _repeat_words(F.col(grams)),
+        F.size(ws), F.length(F.array_join(ws, "")), chars(f"{SYMBOLS}+"), F.size(lines) - F.size(F.array_distinct(lines)), _repeat_words(F.col(grams), w),
         F.size(lines), F.size(F.array_distinct(ws)), chars("\\p{Lu}+"), chars("[0-9]+"), chars("[!?]+"), F.length(F.regexp_replace(text, "\\P{L}+", "")),
     )
     return rows.withColumn(name, F.struct(*(p.cast("long").alias(n) for p, n in zip(parts, FEATURES, strict=True)))).drop(text, ws, lines, grams), name
@@ -58,81 +63,92 @@ def base_failed(f: Column) -> Column:
 
 @dataclass(frozen=True)
 class Vote:
-    """A rule over the ratio of two features: bad on one side of ``bad``, good on the other side of ``good``, between them no vote.
-
-    Without ``good`` it looks for a defect alone and abstains where it finds
-    none. ``low`` says that low ratios are the bad ones.
-    """
+    """A rule over the ratio of two features: bad outside ``bad``, good inside ``good`` (bounds included, None for none), between them no vote."""
 
     name: str
     over: str
     under: str
-    bad: float
-    good: float | None = None
-    low: bool = False
+    bad: tuple[float | None, float | None]
+    good: tuple[float | None, float | None]
 
     def column(self, f: Column) -> Column:
         ratio = f[self.over] / F.greatest(f[self.under], F.lit(1))
-        out = F.when(ratio <= self.bad if self.low else ratio >= self.bad, -1)
-        if self.good is not None:
-            out = out.when(ratio >= self.good if self.low else ratio <= self.good, 1)
-        return out.otherwise(0)
+        low, high = self.bad
+        bad = (F.lit(False) if low is None else ratio <= low) | (F.lit(False) if high is None else ratio >= high)
+        low, high = self.good
+        good = (F.lit(True) if low is None else ratio >= low) & (F.lit(True) if high is None else ratio <= high)
+        return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
 VOTES = (
-    Vote("symbols", "n_symbols", "n_words", 0.3),
-    Vote("letters", "n_letters", "word_chars", 0.8, 0.94, low=True),
-    Vote("capitals", "n_upper", "n_letters", 0.5),
-    Vote("marks", "n_marks", "n_words", 0.5),
-    Vote("digits", "n_digits", "word_chars", 0.2),
-    Vote("repeats", "n_repeat_words", "n_words", 0.4),
-    Vote("variety", "n_distinct", "n_words", 0.15, low=True),
-    Vote("lines", "n_dup_lines", "n_lines", 0.4),
+    Vote("symbols", "n_symbols", "n_words", (None, 0.1), (None, 0.02)),
+    Vote("letters", "n_letters", "word_chars", (0.9, None), (0.93, None)),
+    Vote("length", "word_chars", "n_words", (4.2, 7.2), (4.5, 6.5)),
+    Vote("capitals", "n_upper", "n_letters", (None, 0.4), (None, 0.1)),
+    Vote("marks", "n_marks", "n_words", (None, 0.4), (None, 0.1)),
+    Vote("digits", "n_digits", "word_chars", (None, 0.2), (None, 0.1)),
+    Vote("repeats", "n_repeat_words", "n_words", (None, 0.4), (None, 0.1)),
+    Vote("variety", "n_distinct", "n_words", (0.15, None), (0.5, None)),
+    Vote("lines", "n_dup_lines", "n_lines", (None, 0.4), (None, 0.2)),
 )
 
 
-def fit(patterns: dict[tuple[int, ...], int], rules: int) -> list[float]:
-    """The rules' accuracies by expectation-maximisation: how often each is right where it votes.
+@dataclass(frozen=True)
+class Model:
+    """The share of good texts, and for each rule how often its votes are right on good and on bad texts."""
+
+    share: float
+    good: tuple[float, ...]
+    bad: tuple[float, ...]
+
+    def weights(self) -> tuple[float, list[float], list[float]]:
+        """Log-odds: before any vote, and added by each rule's vote for good and for bad."""
+        return math.log(self.share / (1 - self.share)), [math.log(a / (1 - b)) for a, b in zip(self.good, self.bad, strict=True)], [math.log((1 - a) / b) for a, b in zip(self.good, self.bad, strict=True)]
+
+    def posterior(self, votes: tuple[int, ...]) -> float:
+        """Probability that a text with these votes is good."""
+        start, up, down = self.weights()
+        return 1 / (1 + math.exp(-start - sum(up[j] if v > 0 else down[j] for j, v in enumerate(votes) if v)))
 
-    A rule is taken to be as good at good texts as at bad ones, so a rule that
-    only ever finds defects is weighed by how often the others, as they are
-    weighed, find them too. Starts from four right votes in five, to which
-    ``SMOOTH`` votes are added; accuracies stay within ``BOUNDS``, so no rule
-    counts against itself and none decides alone. Without texts, or votes, the
-    start is returned.
+
+def fit(patterns: dict[tuple[int, ...], int], rules: int) -> Model:
+    """The model by expectation-maximisation.
+
+    A rule that votes alike on good and bad texts comes to weigh nothing, and
+    none may count against itself. Without texts, or votes, the start is
+    returned; ``SMOOTH`` texts of the start are always added.
     """
-    accuracy = [START] * rules
+    clip = lambda x, bounds: min(bounds[1], max(bounds[0], x))
+    model = Model(PRIOR, (START[0],) * rules, (START[1],) * rules)
     for _ in range(ROUNDS):
-        right, cast = [SMOOTH * START] * rules, [SMOOTH] * rules
+        share = [SMOOTH * PRIOR, SMOOTH]
+        right, cast = ([[SMOOTH * x] * rules for x in START], [[SMOOTH] * rules for _ in START])
         for votes, times in patterns.items():
-            p = posterior(votes, accuracy)
+            p = model.posterior(votes)
+            share[0] += p * times
+            share[1] += times
             for j, v in enumerate(votes):
                 if v:
-                    cast[j] += times
-                    right[j] += times * (p if v > 0 else 1 - p)
-        accuracy = [min(BOUNDS[1], max(BOUNDS[0], r / c)) for r, c in zip(right, cast, strict=True)]
-    return accuracy
-
-
-def weight(accuracy: float) -> float:
-    return math.log(accuracy / (1 - accuracy))
-
-
-def posterior(votes: tuple[int, ...], accuracy: list[float]) -> float:
-    """Probability that a text with these votes is good."""
-    return 1 / (1 + math.exp(-weight(PRIOR) - sum(v * weight(a) for v, a in zip(votes, accuracy, strict=True))))
+                    for side, part in enumerate((p * times, (1 - p) * times)):
+                        cast[side][j] += part
+                        right[side][j] += part * (v == (1, -1)[side])
+        good = tuple(clip(r / c, BOUNDS) for r, c in zip(right[0], cast[0], strict=True))
+        bad = tuple(max(clip(r / c, BOUNDS), 1 - g) for r, c, g in zip(right[1], cast[1], good, strict=True))
+        model = Model(clip(share[0] / share[1], SHARES), good, bad)
+    return model
 
 
 def judge(rows: DataFrame, features_col: str, votes: tuple[Vote, ...] = VOTES, prob_col: str = "quality") -> DataFrame:
-    """``rows`` with the posterior probability that each is good; the rules' accuracies are fitted on all of them."""
+    """``rows`` with the posterior probability that each is good; the model is fitted on all that pass the base rules."""
     cast = [v.column(F.col(features_col)) for v in votes]
     names = [f"v{i}" for i in range(len(votes))]
+    passing = rows.where(~base_failed(F.col(features_col)))
     # at most 3 ** rules rows come to the driver
-    counts = rows.select(*(c.alias(n) for c, n in zip(cast, names, strict=True))).groupBy(*names).count().collect()
-    accuracy = fit({tuple(r[:-1]): r[-1] for r in counts}, len(votes))
-    odds = F.lit(weight(PRIOR))
-    for c, a in zip(cast, accuracy, strict=True):
-        odds = odds + c * weight(a)
+    counts = passing.select(*(c.alias(n) for c, n in zip(cast, names, strict=True))).groupBy(*names).count().collect()
+    odds, up, down = fit({tuple(r[:-1]): r[-1] for r in sorted(counts)}, len(votes)).weights()
+    odds = F.lit(odds)
+    for c, u, d in zip(cast, up, down, strict=True):
+        odds = odds + F.when(c > 0, u).when(c < 0, d).otherwise(0.0)
     return rows.withColumn(prob_col, 1 / (1 + F.exp(-odds)))
 
 
@@ -140,7 +156,8 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``(doc_id, features, quality, base_failed, kept)`` for every row of ``docs``.
 
     Null and empty texts have no words, so they fail the base. Repeated rows
-    vote as often as they occur. On an empty table nothing is fitted.
+    count as often as they occur. On an empty table nothing is fitted. Very
+    long texts are measured whole.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     made, name = features(rows)

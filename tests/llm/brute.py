@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import xxhash
@@ -186,3 +187,48 @@ def best_windows(docs, items, least=0.8, size=5, radius=24):
                     if differ <= radius:
                         out[d, item] = (s, a, differ)
     return out
+
+
+def quality_votes(text):
+    """The nine votes, by the thresholds as they stand."""
+    text = text or ""
+    n, chars, symbols, dup, repeated, _ = quality(text)
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    kind = [unicodedata.category(c) for c in text]
+    letters, upper = sum(k[0] == "L" for k in kind), kind.count("Lu")
+    per = lambda a, b: a / max(b, 1)
+    at_most = lambda x, good, bad: -1 if x >= bad else 1 if x <= good else 0
+    share, length, variety = per(letters, chars), per(chars, n), per(len(set(words)), n)
+    return (
+        at_most(per(symbols, n), 0.02, 0.1), -1 if share <= 0.9 else 1 if share >= 0.93 else 0, -1 if length <= 4.2 or length >= 7.2 else 1 if 4.5 <= length <= 6.5 else 0, at_most(per(upper, letters), 0.1, 0.4),
+        at_most(per(len(re.findall("[!?]", text)), n), 0.1, 0.4), at_most(per(len(re.findall("[0-9]", text)), chars), 0.1, 0.2), at_most(per(repeated, n), 0.1, 0.4), -1 if variety <= 0.15 else 1 if variety >= 0.5 else 0, at_most(per(dup, len(lines)), 0.2, 0.4),
+    )
+
+
+def qualities(docs, rounds=100):
+    """id -> (posterior, kept): expectation-maximisation text by text, over those that pass the base rules."""
+    votes = {d: quality_votes(t) for d, t in docs}
+    failed = {d: quality(t)[-1] for d, t in docs}
+    share, good, bad = 0.6, [0.95] * 9, [0.5] * 9
+
+    def posterior(v):
+        yes, no = share, 1 - share
+        for j, x in enumerate(v):
+            if x:
+                yes *= good[j] if x > 0 else 1 - good[j]
+                no *= bad[j] if x < 0 else 1 - bad[j]
+        return yes / (yes + no)
+
+    for _ in range(rounds):
+        ps = [(posterior(votes[d]), votes[d]) for d, _ in docs if not failed[d]]
+        new_good, new_bad = [], []
+        for j in range(9):
+            cast = [(p, v[j]) for p, v in ps if v[j]]
+            g = (9.5 + sum(p for p, v in cast if v > 0)) / (10 + sum(p for p, _ in cast))
+            b = (5 + sum(1 - p for p, v in cast if v < 0)) / (10 + sum(1 - p for p, _ in cast))
+            new_good.append(min(0.99, max(0.01, g)))
+            new_bad.append(max(min(0.99, max(0.01, b)), 1 - new_good[-1]))
+        share = min(0.95, max(0.05, (6 + sum(p for p, _ in ps)) / (10 + len(ps))))
+        good, bad = new_good, new_bad
+    return {d: (posterior(votes[d]), not failed[d] and posterior(votes[d]) >= 0.5) for d, _ in docs}

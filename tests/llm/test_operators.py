@@ -498,23 +498,40 @@ def test_redirect_equivalence(spark):
 # 10
 
 
+def mixed(rng):
+    """Prose, junk, and texts between the two, enough of each to be fitted."""
+    word = lambda: "".join(rng.choice("bcdfgl") + rng.choice("aeio") for _ in range(rng.choice([2, 2, 3])))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    junk = lambda n: " ".join(rng.choice(["%%#a", "x" * 9 + "&", "b#"]) if rng.random() < 0.7 else word() for _ in range(n))
+    texts = [prose(rng.randint(55, 120)) for _ in range(40)] + [junk(80) for _ in range(12)]
+    texts += [prose(60) + " # %", prose(60).upper(), prose(60) + " 0123456789" * 12, "\n".join([prose(12)] * 2 + [prose(40)]), "É" + prose(70) + "!" * 30, prose(9) + " " + prose(9) * 3]
+    return list(enumerate(texts))
+
+
 def test_quality(spark, tmp_path, monkeypatch, docs):
-    rows = {r.doc_id: r for r in as_query(spark, tmp_path, monkeypatch, docs, "op10_quality")}
-    for d, t in fixtures.pairs(docs):
+    rng = random.Random(31)
+    every = fixtures.pairs(docs) + [(1000 + d, t) for d, t in mixed(rng)] + [(2000, "word another " * 300_000), (2001, "x" * 3_000_000)]
+    table = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in every], fixtures.DOCS)
+    rows = {r.doc_id: r for r in as_query(spark, tmp_path, monkeypatch, table, "op10_quality")}
+    want = brute.qualities(every)
+    for d, t in every:
         r = rows[d]
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(t), t
-        assert not (r.base_failed and r.kept)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(t), d
+        assert r.quality == pytest.approx(want[d][0], abs=1e-9) and r.kept == want[d][1], d
+    outvoted = [d for d, t in every if -1 in brute.quality_votes(t) and rows[d].kept]
+    assert outvoted and sum(not rows[1000 + d].kept for d in range(40, 52)) == 12 and all(rows[1000 + d].kept for d in range(40))
 
 
 def test_accuracies():
-    rng, truth = random.Random(6), (0.95, 0.7, 0.85, 0.6)
+    rng, good, bad = random.Random(6), (0.95, 0.9, 0.97, 0.9), (0.9, 0.7, 0.85, 0.1)
     counts = {}
-    for _ in range(6000):
-        y = 1 if rng.random() < 0.6 else -1
-        votes = tuple(0 if rng.random() < 0.2 else y if rng.random() < a else -y for a in truth)
+    for _ in range(20_000):
+        y = rng.random() < 0.7
+        votes = tuple(0 if rng.random() < 0.2 else (1 if y else -1) if rng.random() < (a if y else b) else (-1 if y else 1) for a, b in zip(good, bad))
         counts[votes] = counts.get(votes, 0) + 1
-    assert np.allclose(quality.fit(counts, 4), truth, atol=0.05)
-    assert quality.fit({}, 2) == [quality.START] * 2 and quality.posterior((), []) == pytest.approx(quality.PRIOR)
+    model = quality.fit(counts, 4)
+    assert np.allclose(model.good, good, atol=0.05) and np.allclose(model.bad, bad, atol=0.08) and model.share == pytest.approx(0.7, abs=0.05)
+    assert quality.fit({}, 2) == quality.Model(quality.PRIOR, (quality.START[0],) * 2, (quality.START[1],) * 2) and quality.fit({}, 0).posterior(()) == pytest.approx(quality.PRIOR)
 
 
 def test_quality_on_labels(spark, sf):
