@@ -1,11 +1,15 @@
 """Licence scans: Dice coefficient over word bigrams against templates.
 
-A text's units are its lines, its paragraphs (parted by blank lines) and the
-whole of it. A unit is held against a template only if its number of bigrams
-allows the least coefficient: with |A| bigrams in the template, |B| must lie
-between t / (2 - t) * |A| and (2 - t) / t * |A|. Before that, a document is
-passed over unless it holds one of the templates' anchors: a unit reaching the
-coefficient shares so many bigrams that an anchor is among them.
+A text's units are its lines, its paragraphs (parted by blank lines), the whole
+of it, and its regions: for each long template, the longest runs of lines, of
+two words or more, that have half of their bigrams from that template, with at
+most ``GAP`` other lines between them. So a licence in several paragraphs, or
+wrapped over lines, is one unit whatever stands around it. A unit is held
+against a template only if its number of bigrams allows the least coefficient:
+with |A| bigrams in the template, |B| must lie between t / (2 - t) * |A| and
+(2 - t) / t * |A|. Before that, a document is passed over unless it holds one of
+the templates' anchors: a unit reaching the coefficient shares so many bigrams
+that an anchor is among them.
 """
 
 from __future__ import annotations
@@ -19,27 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .expressions import let
+from .license_texts import TEMPLATES
 
 LEAST = 0.8
 _WORD = "[^\\p{L}\\p{N}]+"
 #: Letters from which on a word alone is an anchor.
 LONG = 6
 
-#: Public licence notices and texts.
-TEMPLATES = {
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
-    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
-    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "mit-notice": "Released under the MIT License.",
-    "all-rights-reserved": "All rights reserved.",
-    "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
-    "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
-    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
-    "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
-    "isc": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
-}
+#: Bigrams of a template from which on it has regions, and other lines allowed in one.
+REGION, GAP = 20, 1
 
 def normal(text: str) -> list[str]:
     """Words of a template: runs of letters and digits in lower case."""
@@ -74,20 +66,41 @@ def _bigrams(words: Column) -> Column:
     return F.array_distinct(F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1))))
 
 
+def _regions(lines: Column, grams: Column, template: list[str]) -> Column:
+    """Word arrays of the regions of one template: from each hit that no other comes shortly before to the last that follows it closely."""
+    own = F.array(*(F.lit(x) for x in template))
+    hits = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: 2 * F.size(F.array_intersect(F.get(grams, i), own)) >= F.size(F.get(grams, i)))
+    starts = lambda at: F.filter(at, lambda i, k: (k == 0) | (i - F.get(at, k - 1) > GAP + 1))
+    ends = lambda at: F.filter(at, lambda i, k: (k == F.size(at) - 1) | (F.get(at, k + 1) - i > GAP + 1))
+    return let(hits, lambda at: F.zip_with(starts(at), ends(at), lambda a, z: F.flatten(F.slice(lines, a + 1, z - a + 1))))
+
+
+def _units(text: Column, sets: dict[str, list[str]]) -> Column:
+    """Word arrays of all units of a lower-case text, each once."""
+    words = lambda x: F.array_remove(F.split(x, _WORD), "")
+    plain = F.transform(F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, "\n\\s*\n", -1), F.array(text))), words)
+    lines = F.filter(F.transform(F.split(text, "\n", -1), words), lambda w: F.size(w) > 1)
+    long = [s for s in sets.values() if len(s) >= REGION]
+    none = F.array().cast("array<array<string>>")
+    found = let(lines, lambda x: let(F.struct(x.alias("lines"), F.transform(x, _bigrams).alias("grams")), lambda y: F.when(F.size(y["lines"]) > 1, F.concat(*(_regions(y["lines"], y["grams"], s) for s in long), none)).otherwise(none)))
+    return F.array_distinct(F.concat(plain, found))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, license, dice, n_units)``: the licences found, with the best coefficient and the number of distinct units that reach ``least``.
 
     Null and empty texts, and units of fewer than two words, match nothing.
     Rows of one id are rows of one document. A unit that two templates fit
-    counts for both.
+    counts for both. Very long texts are scanned whole; a licence that shares
+    its line with much other text is beyond the units.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     words, pairs = anchors(templates, least)
     some = let(F.lower("text"), lambda low: reduce(or_, [F.contains(low, F.lit(w)) for w in words] + [F.regexp_like(low, F.lit(p)) for p in pairs], F.lit(False)))
-    units = let(F.lower("text"), lambda low: F.array_distinct(F.concat(F.split(low, "\n", -1), F.split(low, "\n\\s*\n", -1), F.array(low))))
-    split = rows.where(some).select("doc_id", F.explode_outer(units).alias("unit")).select("doc_id", F.array_remove(F.split("unit", _WORD), "").alias("words"))
     sets = {k: bigrams_of(normal(t)) for k, t in templates.items()}
 
+    split = rows.where(some).select("doc_id", F.explode_outer(let(F.lower("text"), lambda low: _units(low, sets))).alias("words")).where("words is not null")
+
     def tests(grams: Column) -> Column:
         n, out = F.size(grams), []
         for name, s in sets.items():

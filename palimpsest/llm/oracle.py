@@ -47,7 +47,14 @@ def _licenses() -> str:
     words = lambda x: f"list_filter(regexp_split_to_array(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))"
     return f"""WITH templates_ AS (SELECT license, {grams} AS g FROM (SELECT license, {words("t")} AS w FROM (VALUES {values}) AS v(license, t))),
- units_ AS (SELECT DISTINCT doc_id, {words("unit")} AS w FROM (SELECT doc_id, unnest(list_concat(list_concat(string_split(lower(text), chr(10)), regexp_split_to_array(lower(text), '\\n\\s*\\n')), [lower(text)])) AS unit FROM documents WHERE text IS NOT NULL)),
+ plain_ AS (SELECT doc_id, {words("unit")} AS w FROM (SELECT doc_id, unnest(list_concat(list_concat(string_split(lower(text), chr(10)), regexp_split_to_array(lower(text), '\\n\\s*\\n')), [lower(text)])) AS unit FROM documents WHERE text IS NOT NULL)),
+ every_ AS (SELECT doc_id, ln, {words("line")} AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM documents WHERE text IS NOT NULL)),
+ lines_ AS (SELECT doc_id, w, {grams} AS g, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM every_ WHERE len(w) > 1),
+ hits_ AS (SELECT l.doc_id, license, i FROM lines_ l JOIN templates_ t ON len(t.g) >= {licenses.REGION} AND 2 * len(list_intersect(l.g, t.g)) >= len(l.g)),
+ islands_ AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, license ORDER BY i) AS island FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id, license ORDER BY i) <= {licenses.GAP + 1} THEN 0 ELSE 1 END AS fresh FROM hits_)),
+ bounds_ AS (SELECT doc_id, license, island, min(i) AS a, max(i) AS z FROM islands_ GROUP BY ALL),
+ regions_ AS (SELECT b.doc_id, flatten(list(w ORDER BY i)) AS w FROM bounds_ b JOIN lines_ l ON l.doc_id = b.doc_id AND i BETWEEN a AND z GROUP BY b.doc_id, license, island),
+ units_ AS (SELECT doc_id, w FROM plain_ UNION SELECT doc_id, w FROM regions_),
  grams_ AS (SELECT doc_id, w, {grams} AS g FROM units_ WHERE len(w) > 1),
  dice_ AS (SELECT doc_id, w, license, 2.0 * len(list_intersect(d.g, t.g)) / CAST(len(d.g) + len(t.g) AS DOUBLE) AS dice FROM grams_ d JOIN templates_ t ON len(d.g) BETWEEN 0.66 * len(t.g) AND 1.51 * len(t.g))
 SELECT doc_id, license, round(max(CAST(dice AS DOUBLE)), 6) AS dice, count(*) AS n_units FROM dice_ WHERE dice >= {licenses.LEAST} GROUP BY doc_id, license"""

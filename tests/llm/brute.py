@@ -232,3 +232,23 @@ def qualities(docs, rounds=100):
         share = min(0.95, max(0.05, (6 + sum(p for p, _ in ps)) / (10 + len(ps))))
         good, bad = new_good, new_bad
     return {d: (posterior(votes[d]), not failed[d] and posterior(votes[d]) >= 0.5) for d, _ in docs}
+
+
+def license_regions(text):
+    """Runs of lines with half of their bigrams from one long template, as texts."""
+    from palimpsest.llm.license_texts import TEMPLATES
+
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    grams = lambda w: set(zip(w, w[1:]))
+    lines, out = [w for w in map(words, text.split("\n")) if len(w) > 1], []
+    for template in TEMPLATES.values():
+        own = grams(words(template))
+        run = []
+        for i, w in enumerate(lines if len(own) >= 20 and len(lines) > 1 else ()):
+            if 2 * len(grams(w) & own) >= len(grams(w)):
+                if run and i - run[1] > 2:
+                    out.append(run)
+                    run = []
+                run = [run[0] if run else i, i]
+        out += [run] if run else []
+    return [" ".join(x for w in lines[a : z + 1] for x in w) for a, z in out]

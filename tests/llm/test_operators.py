@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import textwrap
 
 import brute
 import fixtures
@@ -135,7 +136,7 @@ def test_licenses(spark):
 
     want = {}
     for d, t in rows:
-        units = {u for p in ((t or "").split("\n"), (t or "").split("\n\n"), [t or ""]) for u in p}
+        units = {u for p in ((t or "").split("\n"), (t or "").split("\n\n"), [t or ""], brute.license_regions(t or "")) for u in p}
         for name, template in licenses.TEMPLATES.items():
             found = {tuple(licenses.normal(u)): dice(u, template) for u in units if dice(u, template) >= licenses.LEAST}
             if found:
@@ -143,6 +144,31 @@ def test_licenses(spark):
     assert got == want and (2, "mit") in got and (3, "apache-2.0-header") in got and (8, "all-rights-reserved") in got
 
 
+LAYOUTS = {
+    "mit": "Permission is hereby granted", "isc": "Permission to use, copy", "apache-2.0-header": "Licensed under the Apache", "bsd-3-clause": "Redistribution and use", "gpl-3.0-header": "This program is free",
+}
+
+
+def test_licenses_inside_longer_texts(spark):
+    """In paragraphs, wrapped over lines, as a comment, with one other line in it; between prose or code."""
+    rng, rows = random.Random(41), []
+    code = "\n".join(f"int value_{i} = compute({i}, other);" for i in range(60))
+    for name, first in LAYOUTS.items():
+        text = licenses.TEMPLATES[name].strip()
+        assert text.startswith(first)
+        wrapped = [textwrap.fill(p, 72) for p in text.split("\n")]
+        marked = "\n".join(f" * {x}" for x in "\n\n".join(wrapped).split("\n"))
+        odd = "\n".join(wrapped).split("\n")
+        for form in ("\n\n".join(text.split("\n")), "\n\n".join(wrapped), marked, "\n".join([*odd[:3], "a line that is none of it", *odd[3:]])):
+            rows.append((len(rows), fixtures.prose(rng, 150) + "\n" + form + "\n" + code, name))
+    big = fixtures.prose(rng, 300_000)
+    rows.append((len(rows), big + "\n" + textwrap.fill(licenses.TEMPLATES["mit"], 70), "mit"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    got = {(r.doc_id, r.license) for r in licenses.scan(table).collect()}
+    assert {(d, name) for d, _, name in rows} <= got
+    assert licenses.scan(table.limit(0)).count() == 0 and licenses.scan(table).columns == ["doc_id", "license", "dice", "n_units"]
+
+
 # 4
 
 
