@@ -7,45 +7,80 @@ import math
 import numpy as np
 
 
-def substitutions(predicted: list[str], reference: list[str]) -> list[list[tuple[str, str]]]:
-    """Substituted characters (predicted, reference) of each pair, from the end of the line.
+#: Cells of the tables of costs that are held at once.
+CELLS = 8_000_000
 
-    The distances of all pairs are filled at once, anti-diagonals aside, by
-    cell over the batch; lines of like length should come together. On the way
-    back a match goes before a substitution, that before a dropped predicted
-    character, and that before a missing one.
+
+def _affixes(a: str, b: str) -> tuple[int, int]:
+    """Lengths of the common beginning and, of what is left, the common end."""
+    most = min(len(a), len(b))
+    head = next((i for i in range(most) if a[i] != b[i]), most)
+    tail = next((i for i in range(most - head) if a[-1 - i] != b[-1 - i]), most - head)
+    return head, tail
+
+
+def substitutions(predicted: list[str], reference: list[str], errors: list[int]) -> tuple[list[int], list[int], list[str], list[str]]:
+    """Substituted characters as columns (pair, place from the end, predicted, reference); ``errors`` are the pairs' edit distances.
+
+    On the way back from the end a match goes before a substitution, that before
+    a dropped predicted character, and that before a missing one. Two of one
+    length that differ at as many places as their distance have no other way
+    than place by place. Of the rest the common beginning and end, where the way
+    holds matches alone, are left out, and the tables are filled for many at
+    once, by anti-diagonals.
     """
-    size = len(predicted)
-    out: list[list[tuple[str, str]]] = [[] for _ in range(size)]
-    m = np.array([len(x) for x in predicted], int)
-    n = np.array([len(x) for x in reference], int)
-    if not size or not m.max() or not n.max():
-        return out
-    p, r = (np.full((size, k.max()), fill, np.int32) for k, fill in ((m, -1), (n, -2)))
-    for codes, texts in ((p, predicted), (r, reference)):
-        for row, t in zip(codes, texts, strict=True):
-            row[: len(t)] = np.frombuffer(t.encode("utf-32-le"), np.int32)
-    cost = np.zeros((m.max() + 1, n.max() + 1, size), np.int32)
-    cost[:, 0] = np.arange(m.max() + 1)[:, None]
-    cost[0] = np.arange(n.max() + 1)[:, None]
-    equal_all = p.T[:, None, :] == r.T[None, :, :]
-    for i in range(1, m.max() + 1):
-        for j in range(1, n.max() + 1):
-            least = np.minimum(np.minimum(cost[i - 1, j], cost[i, j - 1]), cost[i - 1, j - 1]) + 1
-            cost[i, j] = np.where(equal_all[i - 1, j - 1], cost[i - 1, j - 1], least)
-    i, j, at = m.copy(), n.copy(), np.arange(size)
-    while True:
-        at = at[(i[at] > 0) & (j[at] > 0)]
-        if not len(at):
-            return out
+    found: list[list[tuple[str, str]]] = [[] for _ in predicted]
+    hard = []
+    for k, (p, r, e) in enumerate(zip(predicted, reference, errors, strict=True)):
+        if len(p) == len(r):
+            odd = [(x, y) for x, y in zip(p, r, strict=True) if x != y]
+            if len(odd) == e:
+                found[k] = odd[::-1]
+                continue
+        head, tail = _affixes(p, r)
+        p, r = p[head : len(p) - tail], r[head : len(r) - tail]
+        if p and r:
+            hard.append((max(len(p), len(r)), k, p, r))
+    hard.sort(key=lambda x: x[0])
+    while hard:
+        n = max(1, min(len(hard), CELLS // (hard[-1][0] + 1) ** 2))
+        some, hard = hard[-n:], hard[:-n]
+        for (_, k, _, _), subs in zip(some, _ways([x[2] for x in some], [x[3] for x in some]), strict=True):
+            found[k] = subs
+    flat = [(k, i, x, y) for k, subs in enumerate(found) for i, (x, y) in enumerate(subs)]
+    return tuple(map(list, zip(*flat, strict=True))) if flat else ([], [], [], [])
+
+
+def _codes(texts: list[str], fill: int) -> np.ndarray:
+    out = np.full((max(map(len, texts)), len(texts)), fill, np.int32)
+    for k, t in enumerate(texts):
+        out[: len(t), k] = np.frombuffer(t.encode("utf-32-le"), np.int32)
+    return out
+
+
+def _ways(predicted: list[str], reference: list[str]) -> list[list[tuple[str, str]]]:
+    """Substitutions of pairs of texts that aren't empty, from the end."""
+    p, r = _codes(predicted, -1), _codes(reference, -2)
+    m, n, size = len(p), len(r), len(predicted)
+    cost = np.zeros((m + 1, n + 1, size), np.int16 if m + n < 32_000 else np.int32)
+    cost[:, 0], cost[0] = np.arange(m + 1)[:, None], np.arange(n + 1)[:, None]
+    for d in range(2, m + n + 1):
+        i = np.arange(max(1, d - n), min(m, d - 1) + 1)
+        j = d - i
+        swap = cost[i - 1, j - 1] + (p[i - 1] != r[j - 1])
+        cost[i, j] = np.minimum(np.minimum(cost[i - 1, j], cost[i, j - 1]) + 1, swap)
+    out: list[list[tuple[str, str]]] = [[] for _ in predicted]
+    i, j, at = np.array([len(x) for x in predicted]), np.array([len(x) for x in reference]), np.arange(size)
+    while len(at := at[(i[at] > 0) & (j[at] > 0)]):
         a, b = i[at], j[at]
-        here, same = cost[a, b, at], p[at, a - 1] == r[at, b - 1]
+        here, same = cost[a, b, at], p[a - 1, at] == r[b - 1, at]
         swap = ~same & (here == cost[a - 1, b - 1, at] + 1)
         drop = ~same & ~swap & (here == cost[a - 1, b, at] + 1)
         for k, x, y in zip(at[swap], a[swap], b[swap], strict=True):
             out[k].append((predicted[k][x - 1], reference[k][y - 1]))
         i[at] -= same | swap | drop
         j[at] -= ~drop
+    return out
 
 
 def log_add(a: float, b: float) -> float:
@@ -70,31 +105,49 @@ def beam_simple(steps: np.ndarray, vocab: list[str], blank: int, width: int, bon
     Whether a prefix last saw a blank is as its first arrival in a step had it;
     later arrivals only add their probability. So after a repeat a prefix
     counts as blank-ended, unlike in an exact prefix search.
-    """
-    # prefix: [score, last token, last step was blank]; dicts keep the order of arrival, which settles ties
-    beams: dict[tuple[int, ...], list] = {(): [0.0, None, False]}
-    for row in steps.tolist():
-        arrived: dict[tuple[int, ...], list] = {}
 
-        def arrive(key, score, last, ended, arrived=arrived) -> None:
-            if key in arrived:
-                arrived[key][0] = log_add(arrived[key][0], score)
-            else:
-                arrived[key] = [score, last, ended]
-
-        for key, (score, last, ended) in beams.items():
-            arrive(key, score + row[blank], last, True)
-            for c, lp in enumerate(row):
-                if c == blank:
-                    continue
-                if c == last and not ended:
-                    arrive(key, score + lp, c, False)
-                else:
-                    closes = bonus is not None and vocab[c] == " " and not (key and vocab[key[-1]] == " ")
-                    extra = bonus("".join(vocab[k] for k in key)) if closes else 0.0
-                    arrive((*key, c), score + lp + extra, c, False)
-        beams = dict(sorted(arrived.items(), key=lambda x: x[1][0], reverse=True)[:width])
-    return [("".join(vocab[k] for k in key), v[0], list(key)) for key, v in beams.items()]
+    A step is a table of beams by classes. Row by row it is the order of
+    arrival, with the blank's column, which keeps the prefix, put first; a
+    prefix may arrive twice only where one beam grows into another.
+    """
+    classes = steps.shape[1]
+    order = np.array([blank, *(c for c in range(classes) if c != blank)])
+    space = np.array([v == " " for v in vocab])
+    keys: list[tuple[int, ...]] = [()]
+    score, last, ended = np.zeros(1), np.full(1, -1), np.zeros(1, bool)
+    for row in steps:
+        table = score[:, None] + row[order][None, :]
+        if bonus is not None:
+            closes = np.array([0.0 if k and space[k[-1]] else bonus("".join(vocab[c] for c in k)) for k in keys])
+            table += closes[:, None] * space[order][None, :]
+        stays = (order[None, :] == last[:, None]) & ~ended[:, None]
+        stays[:, 0] = True
+        if bonus is not None:  # a repeated space closes nothing
+            again = stays[:, 1:] & space[order][None, 1:]
+            table[:, 1:] -= np.where(again, closes[:, None], 0.0)
+        first = {k: i * classes for i, k in enumerate(keys)}  # where each prefix arrives first
+        flat, alive = table.ravel(), np.ones(table.size, bool)
+        twice = [(i * classes + c, i) for i, c in zip(*np.nonzero(stays), strict=True) if c]
+        place = {k: i for i, k in enumerate(keys)}
+        for k, i in place.items():
+            parent = place.get(k[:-1]) if k else None
+            if parent is not None and not ((c := k[-1]) == last[parent] and not ended[parent]):
+                twice.append((parent * classes + int(np.flatnonzero(order == c)[0]), i))
+        into: dict[int, list[int]] = {}
+        for at, i in twice:
+            into.setdefault(i, []).append(at)
+        for i, ats in into.items():
+            head, *more = sorted([first[keys[i]], *ats])
+            for at in more:
+                flat[head] = log_add(float(flat[head]), float(flat[at]))
+                alive[at] = False
+        kept = np.flatnonzero(alive)
+        best = kept[np.argsort(-flat[kept], kind="stable")[:width]]
+        beam, c = np.divmod(best, classes)
+        keep = stays[beam, c]
+        keys = [keys[i] if s else (*keys[i], int(order[k])) for i, k, s in zip(beam, c, keep, strict=True)]
+        score, last, ended = flat[best], np.where(c == 0, last[beam], order[c]), c == 0
+    return [("".join(vocab[k] for k in key), float(s), list(key)) for key, s in zip(keys, score, strict=True)]
 
 
 def beam_exact(steps: np.ndarray, vocab: list[str], blank: int, width: int, bonus: WordBonus | None = None) -> list[tuple[str, float, list[int]]]:

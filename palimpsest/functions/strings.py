@@ -10,7 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLANKS = "(?U)\\s+"
+#: Characters with the Unicode property White_Space (fixed values), as the inside of a class that Java and RE2 both read.
+WHITE = "\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+BLANKS = f"[{WHITE}]+"
+_WHITE_CHARS = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Distinct words of a pair up to which each has a letter of its own at hand.
+LETTERS = 1024
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -19,7 +24,7 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+    return F.btrim(text, F.lit(_WHITE_CHARS))
 
 
 def tokens(text: Column) -> Column:
@@ -50,20 +55,28 @@ def nfc(texts: pd.Series) -> pd.Series:
 
 
 def same_text(a: Column, b: Column) -> Column:
-    """Equal in normal form C. ASCII is its own normal form, so the UDF's answer is needed for the rest only."""
-    ascii_only = lambda c: F.regexp_like(c, F.lit("^[\\x00-\\x7F]*$"))
-    return F.when(ascii_only(a) & ascii_only(b), a == b).otherwise(nfc(a) == nfc(b))
+    """Equal in normal form C. ASCII, and what is equal as it stands, needs no normal form: Python sees a null for it."""
+    odd = (a != b) & F.regexp_like(F.concat(a, b), F.lit("[^\\x00-\\x7F]"))
+    return (a == b) | F.coalesce(nfc(F.when(odd, a)) == nfc(F.when(odd, b)), F.lit(False))
+
+
+def char_distance(predicted: Column, reference: Column) -> Column:
+    """Edit distance in characters; equal texts need no table of costs."""
+    return F.when(predicted == reference, F.lit(0)).otherwise(F.levenshtein(predicted, reference)).cast("long")
 
 
 def word_errors(predicted: Column, reference: Column) -> Column:
     """Word-level edit distance: each distinct word of the pair becomes one character for ``levenshtein``."""
+    letters = F.split(F.lit(" ".join(chr(0x100 + i) for i in range(LETTERS))), " ")  # folded into one constant
 
-    def distance(x: Column) -> Column:
+    def spelled(words: Column, known: Column) -> Column:
+        few = F.array_join(F.transform(words, lambda w: F.get(letters, F.array_position(known, w).cast("int") - 1)), "")
         # from U+0100 on, and above the surrogates once below them is full
-        place = lambda w: F.array_position(x["known"], w)
-        code = lambda w: place(w) + F.when(place(w) > 0xD6FF, 0x900).otherwise(0xFF)
-        text = lambda ws: F.array_join(F.transform(ws, lambda w: F.decode(F.unhex(F.lpad(F.hex(code(w)), 4, "0")), "UTF-16BE")), "")
-        return F.levenshtein(text(x["p"]), text(x["r"]))
+        code = lambda w: bound(F.array_position(known, w), lambda at: at + F.when(at > 0xD6FF, 0x900).otherwise(0xFF))
+        many = F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(code(w)), 4, "0")), "UTF-16BE")), "")
+        return F.when(F.size(known) <= LETTERS, few).otherwise(many)
 
     pair = F.struct(predicted.alias("p"), reference.alias("r"))
-    return bound(bound(pair, lambda x: F.struct(x["p"].alias("p"), x["r"].alias("r"), F.array_distinct(F.concat(x["p"], x["r"])).alias("known"))), distance)
+    known = lambda x: F.struct(x["p"].alias("p"), x["r"].alias("r"), F.array_distinct(F.concat(x["p"], x["r"])).alias("known"))
+    found = bound(bound(pair, known), lambda x: F.levenshtein(spelled(x["p"], x["known"]), spelled(x["r"], x["known"])))
+    return F.when(predicted == reference, F.lit(0)).otherwise(found).cast("long")

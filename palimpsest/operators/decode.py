@@ -122,3 +122,9 @@ def padded(rows: Column, width: Column | int, fill: Column | float = 0.0) -> Col
     """An array right-padded to ``width`` entries."""
     width = F.lit(width) if isinstance(width, int) else width
     return F.concat(rows, F.array_repeat(F.lit(fill) if isinstance(fill, float) else fill, F.greatest(width - F.size(rows), F.lit(0))))
+
+
+def pad_batches(rows: DataFrame, values: str, batch: str, fill: float = 0.0) -> DataFrame:
+    """Adds ``padded``: each row's ``values`` right-padded to the widest of its ``batch``. Widths alone are gathered; batches are small groups."""
+    widest = rows.groupBy(batch).agg(F.max(F.size(values)).alias("_widest"))
+    return rows.join(widest, batch).withColumn("padded", padded(F.col(values), F.col("_widest"), fill)).drop("_widest")

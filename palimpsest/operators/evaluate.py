@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..functions.strings import characters, count_of, same_text, strip, tokens, word_errors
+from ..functions.strings import char_distance, characters, count_of, same_text, strip, tokens, word_errors
 
 RARE, TOP = 5, 20
 _TEXTS = ("prediction", "reference")
@@ -32,7 +32,7 @@ def paired(predictions: DataFrame, references: DataFrame, keys: list[str]) -> Da
 
 def char_errors() -> tuple[Column, Column]:
     p, r = (strip(F.coalesce(c, F.lit(""))) for c in _TEXTS)
-    return F.levenshtein(p, r).cast("long"), F.length(r).cast("long")
+    return char_distance(p, r), F.length(r).cast("long")
 
 
 def word_error_counts() -> tuple[Column, Column]:
@@ -41,7 +41,8 @@ def word_error_counts() -> tuple[Column, Column]:
 
 
 def _rate(pairs: DataFrame, counts: tuple[Column, Column], name: str, keys: list[str]) -> DataFrame:
-    sums = pairs.groupBy(*keys).agg(F.sum(counts[0]).alias("errors"), F.sum(counts[1]).alias("length"))
+    counted = pairs.select(*keys, counts[0].alias("_errors"), counts[1].alias("_length"))
+    sums = counted.groupBy(*keys).agg(F.sum("_errors").alias("errors"), F.sum("_length").alias("length"))
     return sums.withColumn(name, F.try_divide(F.col("errors").cast("double"), F.col("length")))
 
 
@@ -99,29 +100,22 @@ def char_weights(pairs: DataFrame) -> DataFrame:
 def substitutions(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, pos, predicted, reference)``: substituted characters of each pair, numbered from the line's end.
 
-    The alignment is a sequential program, so it runs over Arrow batches, the
-    lines of a batch at a time, sorted by length.
+    The alignment is a sequential program, so it runs over Arrow batches; the
+    distance, which spares most lines the table of costs, comes from the JVM.
     """
     schema = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in keys)
     at = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p, r = ([x or "" for x in b.column(at + k).to_pylist()] for k in (0, 1))
-            order = sorted((k for k in range(len(p)) if p[k] != r[k]), key=lambda k: (len(p[k]), len(r[k])))
-            rows: list[tuple[int, int, str, str]] = []
-            while order:
-                # so many lines that the cells of the longest stay within bounds
-                cells = max(1, len(p[order[-1]])) * max(1, len(r[order[-1]]))
-                n = max(1, min(len(order), 4_000_000 // cells))
-                some, order = order[-n:], order[:-n]
-                for k, subs in zip(some, kernels.substitutions([p[k] for k in some], [r[k] for k in some]), strict=True):
-                    rows += [(k, i, x, y) for i, (x, y) in enumerate(subs)]
-            line, pos, x, y = zip(*rows, strict=True) if rows else ((),) * 4
+            p, r, errors = (b.column(at + k).to_pylist() for k in range(3))
+            line, pos, x, y = kernels.substitutions(p, r, errors)
             kept = [b.column(c).take(pa.array(line, pa.int64())) for c in range(at)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(x, pa.string()), pa.array(y, pa.string())], names=[*keys, "pos", "predicted", "reference"])
 
-    return pairs.select(*keys, *_TEXTS).mapInArrow(run, f"{schema}, pos int, predicted string, reference string")
+    p, r = (F.coalesce(c, F.lit("")) for c in _TEXTS)
+    unlike = pairs.select(*keys, p.alias("p"), r.alias("r")).where("p <> r").select(*keys, "p", "r", F.levenshtein("p", "r").alias("errors"))
+    return unlike.mapInArrow(run, f"{schema}, pos int, predicted string, reference string")
 
 
 def top_confusions(pairs: DataFrame, keys: list[str], top: int = TOP) -> DataFrame:

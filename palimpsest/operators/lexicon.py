@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.strings import BLANKS, strip
+
 
 def from_lines(lines: DataFrame, default: float = 1.0) -> DataFrame:
     """From ``(line_no, value)``: ``word [score]``; blank lines and those beginning with # are skipped, a bad score is the default, the last entry of a word wins."""
-    text = F.regexp_replace("value", "(?U)^\\s+|\\s+$", "")
-    parts = F.split(text, "(?U)\\s+")
+    text = strip(F.col("value"))
+    parts = F.split(text, BLANKS)
     rows = lines.where((text != "") & ~text.startswith("#")).select("line_no", F.get(parts, 0).alias("word"), F.coalesce(F.get(parts, 1).try_cast("double"), F.lit(default)).alias("score"))
     return rows.groupBy("word").agg(F.max_by("score", "line_no").alias("score"))
 
@@ -18,6 +20,11 @@ def from_words(words: DataFrame, default: float = 1.0) -> DataFrame:
     return words.select("word").distinct().withColumn("score", F.lit(default))
 
 
+def size(lexicon: DataFrame) -> DataFrame:
+    """``n``, the number of words."""
+    return lexicon.agg(F.count("*").alias("n"))
+
+
 def known(rows: DataFrame, lexicon: DataFrame, word: str = "word") -> DataFrame:
     """The rows whose word is listed, exactly as it is written."""
     return rows.join(lexicon.select(F.col("word").alias(word)), word, "left_semi")

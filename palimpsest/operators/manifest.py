@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REQUIRED = ("source_id", "page_id", "image_path", "dpi", "split")
+#: Ranges into which an order is cut to number its rows.
+PARTS = 128
 LINE_FIELDS = ("source_id", "page_id", "line_id", "bbox", "image_path", "transcript")
 
 
@@ -26,20 +28,43 @@ def page_range(pages: Column, first: int | None = None, last: int | None = None)
     return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
 
+def _bounds(rows: DataFrame, order: str, parts: int) -> list:
+    """At most ``parts - 1`` values that cut ``order`` into ranges of like size, from a sample of about 20 values for each. Only the ranges' sizes depend on it."""
+    n = rows.count()
+    some = sorted(r[0] for r in rows.select(order).where(F.col(order).isNotNull()).sample(min(1.0, 20 * parts / max(1, n)), 42).collect())
+    return sorted({some[k * len(some) // parts] for k in range(1, parts)}) if some else []
+
+
+def numbered(rows: DataFrame, group: str, order: str, name: str, parts: int = PARTS) -> DataFrame:
+    """``rows`` with their place (from zero) in the ``order`` of their ``group``, however much of the table one group holds.
+
+    Each range of ``order`` in a group is sorted for itself, and starts where
+    the group's earlier ranges end; of these there is one row for each group
+    and range. A null is a group, and comes first in the order.
+    """
+    bounds = _bounds(rows, order, parts)
+    part = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= F.col(order))) if bounds else F.lit(0)
+    placed = rows.withColumn("_group", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))).withColumn("_part", F.when(F.col(order).isNull(), 0).otherwise(part))
+    sizes = placed.groupBy("_group", "_part").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_group", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    ranked = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_group", "_part").orderBy(order)))
+    return ranked.join(starts, ["_group", "_part"]).withColumn(name, (F.col("_start") + F.col("_row") - 1).cast("int")).drop("_group", "_part", "_row", "_start")
+
+
 def build(images: DataFrame, dpi: int = 300, order: str = "image_path") -> DataFrame:
     """One row per ``(source_id, image_path)``, pages numbered from zero in each source by ``order``; split is empty."""
     if dpi <= 0:
         raise ValueError("dpi must be positive")
-    number = F.row_number().over(Window.partitionBy("source_id").orderBy(order)) - 1
     kept = [c for c in ("transcript_path",) if c in images.columns]
-    return images.select("source_id", number.cast("int").alias("page_id"), "image_path", F.lit(dpi).alias("dpi"), F.lit("").alias("split"), *kept)
+    placed = numbered(images, "source_id", order, "page_id")
+    return placed.select("source_id", "page_id", "image_path", F.lit(dpi).alias("dpi"), F.lit("").alias("split"), *kept)
 
 
 def zip_transcripts(manifest: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Adds ``transcript_path`` by position within the source; as many are needed as there are pages, checked by an anti join both ways."""
     keys = ["source_id", "page_id"]
-    number = F.row_number().over(Window.partitionBy("source_id").orderBy("transcript_path")) - 1
-    placed = transcripts.select("source_id", number.cast("int").alias("page_id"), "transcript_path")
+    placed = numbered(transcripts, "source_id", "transcript_path", "page_id").select(*keys, "transcript_path")
     odd = manifest.select(*keys, F.lit(1).alias("a")).join(placed.select(*keys, F.lit(1).alias("b")), keys, "full").where("a is null or b is null")
     if not odd.isEmpty():
         raise ValueError("each source needs as many transcripts as images")

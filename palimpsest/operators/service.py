@@ -1,9 +1,11 @@
-"""Page texts and run information; what needs an imaging library, a network or a neural network is named and not faked."""
+"""Page texts, settings and run information."""
 
 from __future__ import annotations
 
+import os
 import platform
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +20,12 @@ def page_texts(lines: DataFrame, page: str = "page", order: str = "line_id") ->
     return rows.select(page, strip(F.array_join(F.transform("s", lambda x: x["text"]), " ")).alias("text"), "confidence", F.size("s").cast("long").alias("n_lines"))
 
 
+PREFIX = "PALIMPSEST_"
+
+
 @dataclass(frozen=True)
 class Settings:
-    """Defaults of all stages."""
+    """Defaults of all stages; a variable ``PALIMPSEST_<NAME>`` of the environment overrides one."""
 
     dpi: int = 300
     beam_width: int = 10
@@ -29,30 +34,21 @@ class Settings:
     rare_char_min_freq: int = 5
     top_confusions: int = 20
 
+    @classmethod
+    def from_environment(cls, environment: Mapping[str, str] = os.environ) -> Settings:
+        """A value that isn't a number of the field's kind is an error that names the variable."""
+        given = {}
+        for f in fields(cls):
+            raw = environment.get(PREFIX + f.name.upper())
+            if raw is None:
+                continue
+            try:
+                given[f.name] = type(f.default)(raw)
+            except ValueError:
+                raise ValueError(f"{PREFIX}{f.name.upper()} is {raw!r}, not a number") from None
+        return cls(**given)
+
 
 def runtime(spark: SparkSession) -> DataFrame:
     row = (pyspark.__version__, platform.python_version(), platform.platform(), spark.sparkContext.master)
     return spark.createDataFrame([row], "spark string, python string, os string, master string")
-
-
-class BackendMissing(RuntimeError):
-    """The operation needs a backend that isn't installed."""
-
-
-def _missing(what: str, needs: str):
-    def call(*_, **__):
-        raise BackendMissing(f"{what} needs {needs}")
-
-    call.__doc__ = f"Interface only: {what} needs {needs}."
-    return call
-
-
-export_pages = _missing("page export from PDF", "a PDF rasteriser")
-normalize_page = _missing("denoising and contrast equalisation", "an imaging library")
-estimate_skew = _missing("skew estimation", "an imaging library")
-rotate_page = _missing("page rotation", "an imaging library")
-transcribe = _missing("line recognition", "a neural-network runtime and a checkpoint")
-train = _missing("training", "a neural-network runtime")
-load_checkpoint = _missing("loading a checkpoint", "a neural-network runtime")
-save_checkpoint = _missing("saving a checkpoint", "a neural-network runtime")
-serve = _missing("the HTTP service", "a web framework")

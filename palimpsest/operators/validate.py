@@ -9,6 +9,8 @@ from ..functions.strings import characters, strip, tokens
 
 ACCEPTED, REJECTED, PASSED = "accepted", "rejected", "all checks passed"
 MOST_RATIO = 2.0
+#: Words of a lexicon up to which each row is tested where it is, by a set in the plan.
+SMALL = 5000
 
 
 def length_ratio(original: Column, candidate: Column) -> Column:
@@ -30,13 +32,19 @@ def lexicon_hits(audit: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
     return hits.groupBy(key).agg(F.bool_or(F.col("side") == 0).alias("original_hit"), F.bool_or(F.col("side") == 1).alias("candidate_hit"))
 
 
+def _listed(lexicon: DataFrame) -> list[str] | None:
+    """The words of a lexicon of ``SMALL`` words or fewer; no more than one word beyond that is fetched."""
+    words = [r[0] for r in lexicon.select("word").where("word is not null").limit(SMALL + 1).collect()]
+    return words if len(words) <= SMALL else None
+
+
 def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = MOST_RATIO, lexicon: DataFrame | None = None, key: str = "line_id") -> DataFrame:
     """``audit`` with ``decision``, ``decision_reason``, ``reason_code`` and ``length_ratio``.
 
     In order: the candidate is empty or blank; its length is more than
     ``most_ratio`` times the original's, or less than its inverse; it has
     characters outside ``allowed``; the original has listed words and the
-    candidate none. ``key`` must be unique if a lexicon is given. A missing text
+    candidate none. ``key`` must be unique if a lexicon of over ``SMALL`` words is given. A missing text
     counts as empty.
     """
     rows = audit.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("input_text", "candidate_text")})
@@ -49,7 +57,12 @@ def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = M
         code = code.when(F.size(foreign_characters(candidate, allowed)) > 0, "characters")
         text = text.when(F.col("reason_code") == "characters", F.concat(F.lit("disallowed characters: "), F.array_join(foreign_characters(candidate, allowed), " ")))
     if lexicon is not None:
-        rows = rows.join(lexicon_hits(rows, lexicon, key), key, "left")
+        words = _listed(lexicon)
+        if words is None:
+            rows = rows.join(lexicon_hits(rows, lexicon, key), key, "left")
+        else:
+            has = lambda text: F.exists(tokens(text), lambda w: w.isin(words)) if words else F.lit(False)
+            rows = rows.withColumn("original_hit", has(original)).withColumn("candidate_hit", has(candidate))
         code = code.when(F.coalesce("original_hit", F.lit(False)) & ~F.coalesce("candidate_hit", F.lit(False)), "lexicon")
         text = text.when(F.col("reason_code") == "lexicon", "lexicon words were lost")
     rows = rows.withColumn("reason_code", code).drop("original_hit", "candidate_hit")

@@ -7,6 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.strings import WHITE, tokens
 from ..operators import decode, manifest
 
 VOCAB = ["<blank>", " ", *string.ascii_lowercase, *string.ascii_uppercase, *string.digits]
@@ -30,15 +31,21 @@ PAGES = """pages_ AS (SELECT coalesce(source, '') AS source_id, CAST(row_number(
  printf('scan_%08d.png', doc_id) AS image_path, 300 AS dpi, '' AS split FROM documents)"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals out an input in fewer partitions than the session has cores, such as one small file; a larger one stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, source_id, line_id, transcript)``: documents set in lines of twelve words of printable ASCII."""
-    words = F.array_remove(F.split(F.regexp_replace("text", "[^ -~]+", " "), " +"), "")
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_id"), words.alias("w"))
+    """``(doc_id, source_id, line_id, transcript)``: whole documents set in lines of twelve words, white space as one blank."""
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_id"), "text"))
+    rows = rows.select("doc_id", "source_id", tokens(F.col("text")).alias("w"))
     starts = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.floor((F.size("w") - 1) / WRAP).cast("int")))
     return rows.select("doc_id", "source_id", F.explode(F.transform(starts, lambda k: F.struct(k.alias("line_id"), F.array_join(F.slice("w", k * WRAP + 1, WRAP), " ").alias("transcript")))).alias("l")).select("doc_id", "source_id", "l.line_id", "l.transcript")
 
 
-LINES = f"""words_ AS (SELECT doc_id, source AS source_id, list_filter(regexp_split_to_array(regexp_replace(text, '[^ -~]+', ' ', 'g'), ' +'), lambda x: x <> '') AS w FROM documents),
+LINES = f"""words_ AS (SELECT doc_id, source AS source_id, list_filter(regexp_split_to_array(text, '[{WHITE}]+'), lambda x: x <> '') AS w FROM documents),
  lines_ AS (SELECT doc_id, source_id, CAST(k AS INTEGER) AS line_id, array_to_string(w[{WRAP} * k + 1:{WRAP} * k + {WRAP}], ' ') AS transcript FROM words_, unnest(range(0, (len(w) + {WRAP - 1}) // {WRAP})) AS u(k))"""
 
 

@@ -15,7 +15,8 @@ from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-ASCII = "".join(chr(c) for c in range(32, 127) if chr(c) != "#")
+#: Printable ASCII without # and the letters of Latin-1.
+ALLOWED = "".join(chr(c) for c in (*range(32, 127), *range(0xC0, 0x100)) if chr(c) != "#")
 
 
 def query(sql: str | None = None, *ctes: str):
@@ -93,8 +94,8 @@ def transcript_align(spark, sf):
 def line_metadata(spark, sf):
     rows = inputs.lines(spark, sf).withColumn("bbox", F.array(F.lit(0), F.col("line_id") * 20, F.lit(600), F.lit(18)))
     rows = rows.withColumn("image_path", manifest.line_name(F.coalesce("source_id", F.lit("")), F.col("doc_id"), F.col("line_id")))
-    out = manifest.line_metadata(rows.drop("source_id"), F.lit(None).cast("string"), F.col("doc_id")).drop("source_id")
-    return out.join(inputs.table(spark, sf, "documents").select("doc_id", F.col("source").alias("source_id")), "doc_id").select("source_id", "page_id", "line_id", "image_path", F.array_join("bbox", ",").alias("bbox"), "transcript")
+    out = manifest.line_metadata(rows, F.col("source_id"), F.col("doc_id"))  # a record's own source wins
+    return out.select("source_id", "page_id", "line_id", "image_path", F.array_join("bbox", ",").alias("bbox"), "transcript")
 
 
 # decoding
@@ -238,12 +239,12 @@ def correction_request(spark, sf):
 
 _VALIDATED = """hits_ AS (SELECT a.line_id, bool_or(side = 0) AS oh, bool_or(side = 1) AS ch FROM (SELECT line_id, 0 AS side, unnest(regexp_split_to_array(input_text, ' +')) AS word FROM audits_ UNION ALL SELECT line_id, 1, unnest(regexp_split_to_array(candidate_text, ' +')) FROM audits_) a JOIN lexicon_ USING (word) GROUP BY a.line_id),
  ratios_ AS (SELECT *, greatest(length(candidate_text), 1) / CAST(greatest(length(input_text), 1) AS DOUBLE) AS ratio FROM audits_),
- validated_ AS (SELECT r.line_id, ratio, CASE WHEN trim(candidate_text) = '' THEN 'empty' WHEN ratio > 2.0 OR ratio < 0.5 THEN 'length_ratio' WHEN contains(candidate_text, '#') THEN 'characters' WHEN coalesce(oh, false) AND NOT coalesce(ch, false) THEN 'lexicon' END AS reason_code FROM ratios_ r LEFT JOIN hits_ h ON h.line_id = r.line_id)"""
+ validated_ AS (SELECT r.line_id, ratio, CASE WHEN trim(candidate_text) = '' THEN 'empty' WHEN ratio > 2.0 OR ratio < 0.5 THEN 'length_ratio' WHEN regexp_matches(candidate_text, '[^ -"$-~À-ÿ]') THEN 'characters' WHEN coalesce(oh, false) AND NOT coalesce(ch, false) THEN 'lexicon' END AS reason_code FROM ratios_ r LEFT JOIN hits_ h ON h.line_id = r.line_id)"""
 _AUDIT = (inputs.AUDITS, inputs.WORDS, _VALIDATED)
 
 
 def _validated(spark, sf):
-    return validate.validate(inputs.audits(spark, sf), ASCII, lexicon=inputs.words(spark, sf))
+    return validate.validate(inputs.audits(spark, sf), ALLOWED, lexicon=inputs.words(spark, sf))
 
 
 @query("SELECT line_id, CASE WHEN reason_code IS NULL THEN 'accepted' ELSE 'rejected' END AS decision, reason_code, round(ratio, 6) AS length_ratio FROM validated_", *_AUDIT)
@@ -263,12 +264,16 @@ def acceptance_rate(spark, sf):
 
 # evaluation
 
-_CER = "sum(levenshtein(trim(prediction), trim(reference)))"
+# DuckDB's levenshtein counts bytes, so where a pair isn't ASCII each of its characters becomes one byte
+_BYTES = lambda x: f"array_to_string(list_transform(string_split({x}, ''), lambda c: chr(CAST(list_position(v, c) AS INTEGER))), '')"
+_DISTANCE = f"""distances_ AS (SELECT *, CASE WHEN regexp_full_match(concat(p, r), '[\\x01-\\x7F]*') THEN levenshtein(p, r) ELSE levenshtein({_BYTES("p")}, {_BYTES("r")}) END AS e FROM
+ (SELECT doc_id, source_id, line_id, trim(prediction) AS p, trim(reference) AS r, list_distinct(list_concat(string_split(trim(prediction), ''), string_split(trim(reference), ''))) AS v FROM pairs_))"""
+_CER = "sum(e)"
 _WER = """errors_ AS (SELECT *, len(r) AS n, levenshtein(array_to_string(list_transform(p, lambda w: chr(CAST(33 + list_position(v, w) AS INTEGER))), ''), array_to_string(list_transform(r, lambda w: chr(CAST(33 + list_position(v, w) AS INTEGER))), '')) AS e
  FROM (SELECT *, list_distinct(list_concat(p, r)) AS v FROM (SELECT doc_id, source_id, line_id, list_filter(string_split(prediction, ' '), lambda x: x <> '') AS p, string_split(reference, ' ') AS r FROM pairs_)))"""
 
 
-@query(f"SELECT CAST({_CER} AS BIGINT) AS errors, CAST(sum(length(trim(reference))) AS BIGINT) AS length, round({_CER} / CAST(sum(length(trim(reference))) AS DOUBLE), 6) AS cer FROM pairs_", inputs.PAIRS)
+@query(f"SELECT CAST({_CER} AS BIGINT) AS errors, CAST(sum(length(r)) AS BIGINT) AS length, round({_CER} / CAST(sum(length(r)) AS DOUBLE), 6) AS cer FROM distances_", inputs.PAIRS, _DISTANCE)
 def cer(spark, sf):
     return evaluate.cer(inputs.pairs(spark, sf)).withColumn("cer", F.round("cer", 6))
 
@@ -283,12 +288,12 @@ def exact_match(spark, sf):
     return evaluate.exact_match(inputs.pairs(spark, sf)).withColumn("exact_match", F.round("exact_match", 6))
 
 
-@query(f"SELECT source_id, CAST({_CER} AS BIGINT) AS errors, CAST(sum(length(trim(reference))) AS BIGINT) AS length, round({_CER} / CAST(sum(length(trim(reference))) AS DOUBLE), 6) AS cer FROM pairs_ GROUP BY source_id", inputs.PAIRS)
+@query(f"SELECT source_id, CAST({_CER} AS BIGINT) AS errors, CAST(sum(length(r)) AS BIGINT) AS length, round({_CER} / CAST(sum(length(r)) AS DOUBLE), 6) AS cer FROM distances_ GROUP BY source_id", inputs.PAIRS, _DISTANCE)
 def cer_by_source(spark, sf):
     return evaluate.cer(inputs.pairs(spark, sf), "source_id").withColumn("cer", F.round("cer", 6))
 
 
-@query(f"SELECT count(*) AS sources, round(avg(c), 6) AS mean_cer, round(var_pop(c), 9) AS var_cer FROM (SELECT {_CER} / CAST(sum(length(trim(reference))) AS DOUBLE) AS c FROM pairs_ GROUP BY source_id)", inputs.PAIRS)
+@query(f"SELECT count(*) AS sources, round(avg(c), 6) AS mean_cer, round(var_pop(c), 9) AS var_cer FROM (SELECT {_CER} / CAST(sum(length(r)) AS DOUBLE) AS c FROM distances_ GROUP BY source_id)", inputs.PAIRS, _DISTANCE)
 def cer_variance(spark, sf):
     return evaluate.source_variance(inputs.pairs(spark, sf)).select("sources", F.round("mean_cer", 6).alias("mean_cer"), F.round("var_cer", 9).alias("var_cer"))
 
@@ -401,11 +406,11 @@ def deskew_decision(spark, sf):
     return inputs.table(spark, sf, "embeddings").select("vec_id", action.alias("action"), F.round(kept, 6).alias("angle"), width.alias("new_width"), height.alias("new_height"))
 
 
-@query("SELECT doc_id, CAST(len(w) AS INTEGER) AS n, CAST(greatest(len(w), (SELECT max(len(w)) FROM words_)) AS INTEGER) AS padded FROM words_", inputs.LINES)
+@query("SELECT doc_id, CAST(len(w) AS INTEGER) AS n, CAST(max(len(w)) OVER (PARTITION BY doc_id // 16) AS INTEGER) AS padded FROM words_", inputs.LINES)
 def pad_batch(spark, sf):
-    sized = inputs.table(spark, sf, "documents").select("doc_id", F.transform(F.array_remove(F.split(F.regexp_replace("text", "[^ -~]+", " "), " +"), ""), lambda w: F.length(w).cast("double")).alias("v"))
-    widest = sized.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
-    return sized.select("doc_id", F.size("v").alias("n"), F.size(decode.padded(F.col("v"), widest)).alias("padded"))
+    rows = inputs.spread(inputs.table(spark, sf, "documents").select("doc_id", "text"))
+    sized = rows.select(F.floor(F.col("doc_id") / 16).alias("batch"), "doc_id", F.transform(tokens(F.col("text")), lambda w: F.length(w).cast("double")).alias("v"))
+    return decode.pad_batches(sized, "v", "batch").select("doc_id", F.size("v").alias("n"), F.size("padded").alias("padded"))
 
 
 @query("SELECT line_id // 4 AS page, trim(string_agg(text, ' ' ORDER BY line_id)) AS text, round(avg(sequence_confidence), 6) AS confidence, count(*) AS n_lines FROM scored_ GROUP BY line_id // 4", inputs.LOGITS)

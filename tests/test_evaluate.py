@@ -87,8 +87,10 @@ def test_substitutions():
     rng = random.Random(3)
     text = lambda: "".join(rng.choice("abcñ") for _ in range(rng.randint(0, 9)))
     rows = [(text(), text()) for _ in range(120)]
-    assert kernels.substitutions(*map(list, zip(*rows))) == [slow_substitutions(p, r) for p, r in rows]
-    assert kernels.substitutions([], []) == [] and kernels.substitutions(["", "a"], ["b", ""]) == [[], []]
+    rows += [("the cat sat on the mat", "cat sat on a mat"), ("xxabcyy", "xxcbayy"), ("ababab", "bababa")]
+    got = kernels.substitutions(*map(list, zip(*rows)), [distance(p, r) for p, r in rows])
+    assert list(zip(*got)) == [(k, i, *s) for k, (p, r) in enumerate(rows) for i, s in enumerate(slow_substitutions(p, r))]
+    assert kernels.substitutions([], [], []) == kernels.substitutions(["", "a"], ["b", ""], [1, 1]) == ([], [], [], [])
 
 
 def test_top_confusions(spark):

@@ -65,6 +65,20 @@ def test_page_texts_and_backends(spark):
     got = {r.page: r for r in service.page_texts(lines).collect()}
     assert got["p"].text == "hola mundo" and got["p"].confidence == pytest.approx(0.6) and got["q"].text == ""
     assert service.runtime(spark).first().spark == spark.version
-    for f in (service.export_pages, service.transcribe, service.train, service.serve, service.normalize_page):
-        with pytest.raises(service.BackendMissing):
-            f("x")
+
+
+def test_settings_from_the_environment():
+    assert service.Settings.from_environment({}) == service.Settings()
+    assert service.Settings.from_environment({"PALIMPSEST_DPI": "150", "PALIMPSEST_THRESHOLD": "0.5", "DPI": "1"}) == service.Settings(dpi=150, threshold=0.5)
+    with pytest.raises(ValueError, match="PALIMPSEST_BEAM_WIDTH"):
+        service.Settings.from_environment({"PALIMPSEST_BEAM_WIDTH": "wide"})
+
+
+def test_large_lexicon_gives_the_same(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate([("dios mio", "dios mío"), ("dios mio", "xyz abcd"), ("abc def", "xyz abcd"), (None, "dios"), ("dios", None)])], "line_id long, input_text string, candidate_text string")
+    words = spark.createDataFrame([("dios", 1.0), ("rey", 2.0), (None, 1.0)], "word string, score double")
+    found = lambda: [tuple(r) for r in validate.validate(rows, lexicon=words).select("line_id", "decision", "reason_code").orderBy("line_id").collect()]
+    few = found()
+    monkeypatch.setattr(validate, "SMALL", 1)
+    assert found() == few and few[1][2] == "lexicon" and few[0][1] == "accepted"
+    assert validate.validate(rows, lexicon=words.limit(0)).where("reason_code = 'lexicon'").count() == 0
