@@ -66,9 +66,14 @@ def _bigrams(words: Column) -> Column:
     return F.array_distinct(F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1))))
 
 
+def _constant(bigrams: list[str]) -> Column:
+    """One literal array in the plan, made from one text."""
+    return F.split(F.lit("|".join(bigrams)), "[|]")
+
+
 def _regions(lines: Column, grams: Column, template: list[str]) -> Column:
     """Word arrays of the regions of one template: from each hit that no other comes shortly before to the last that follows it closely."""
-    own = F.array(*(F.lit(x) for x in template))
+    own = _constant(template)
     hits = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: 2 * F.size(F.array_intersect(F.get(grams, i), own)) >= F.size(F.get(grams, i)))
     starts = lambda at: F.filter(at, lambda i, k: (k == 0) | (i - F.get(at, k - 1) > GAP + 1))
     ends = lambda at: F.filter(at, lambda i, k: (k == F.size(at) - 1) | (F.get(at, k + 1) - i > GAP + 1))
@@ -105,7 +110,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
         n, out = F.size(grams), []
         for name, s in sets.items():
             bound = (n >= least / (2 - least) * len(s) - 1e-9) & (n <= (2 - least) / least * len(s) + 1e-9)
-            dice = F.lit(2.0) * F.size(F.array_intersect(grams, F.array(*(F.lit(x) for x in s)))) / (n + len(s))
+            dice = F.lit(2.0) * F.size(F.array_intersect(grams, _constant(s))) / (n + len(s))
             out.append(F.when(bound, F.struct(F.lit(name).alias("license"), dice.alias("dice"))))
         return F.array_compact(F.array(*out))
 
