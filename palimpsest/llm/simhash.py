@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import marked
 from .components import connected_components
 from .storage import fresh, importable, materialize
 
@@ -213,12 +214,26 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) whose id and text are in ``kept`` (``doc_id, key``), each once, and those without an id."""
-    own, of, key = fresh(docs.columns, "own_key", "kept_id", "kept_key")
-    keep = kept.select(F.col("doc_id").alias(of), F.col("key").alias(key))
-    rows = docs.withColumn(own, _text_key(text_col)).join(keep, (F.col(id_col) == F.col(of)) & (F.col(own) == F.col(key)))
-    return rows.dropDuplicates([id_col, own]).select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+def keep_rows(docs: DataFrame, seen: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose id and text are in ``kept`` (``doc_id, key``), each once, and those without an id.
+
+    ``seen`` holds ``doc_id, key`` of every row with an id. Of rows that agree
+    in id and text, the one whose other columns come first in order stays. Only
+    rows that go or have an equal are shuffled, as a bitmap tells them from the
+    others where they stand.
+    """
+    own, of, key, stays, first = fresh(docs.columns, "own_key", "seen_id", "seen_key", "stays", "first")
+    counted = seen.groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+    keep = kept.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"))
+    odd = counted.join(keep, (F.col("doc_id") == F.col("kept_id")) & (F.col("key") == F.col("kept_key")), "left").where("kept_id is null or times > 1")
+    odd = materialize(odd.select(F.col("doc_id").alias(of), F.col("key").alias(key), F.col("kept_id").isNotNull().alias(stays)), "rows_that_go")
+    rows = docs.withColumn(own, _text_key(text_col))
+    split, there = marked(rows, odd, F.struct(F.col(id_col).cast("long"), own), F.struct(of, key))
+    asked = F.col(there) & F.col(id_col).isNotNull()
+    held = split.where(asked).join(odd.hint("merge"), (F.col(id_col) == F.col(of)) & (F.col(own) == F.col(key)), "left")
+    alone = held.where(F.col(of).isNull())
+    equal = held.where(F.col(stays)).groupBy(of, key).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns))).alias(first)).select(f"{first}.*")
+    return split.where(~asked).select(*docs.columns).union(alone.select(*docs.columns)).union(equal)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,14 +241,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows of one id with texts that aren't near each other are kept each for
     itself, and equal ones once; rows without an id stay, as nothing tells
-    which of them to keep.
+    which of them to keep. Null and empty texts are copies of each other.
     """
     keys = keyed(docs, id_col, text_col).where("doc_id is not null")
     rows = materialize(fingerprints(keys, "doc_id", "text", carry="key"), "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("least")), "distinct")
     comps = connected_components(links(fps.select("fp", F.col("fp").alias("rep"))), "a", "b")
     label = fps.join(comps, fps.fp == comps.node, "left").select(F.coalesce("component", "fp").alias("component"), "least")
-    return keep_rows(docs, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)
+    return keep_rows(docs, rows, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import brute
 import fixtures
@@ -9,7 +10,7 @@ from palimpsest.llm import quality
 
 
 def test_pipeline_against_brute_force(spark, tmp_path):
-    rng = __import__("random").Random(8)
+    rng = random.Random(8)
     clean = [fixtures.prose(rng, 120) for _ in range(12)]
     item = fixtures.prose(rng, 30)
     texts = clean + [clean[3], clean[4] + "\nmore words at the end of it", "%%% a### b&&& " * 60, "short", clean[5].replace(".", "") + " " + item, "\n".join(clean[0].split("\n")[2:9] + clean[7].split("\n"))]
@@ -37,6 +38,24 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert got == want and set(range(12)) <= set(got) | bad
 
 
+def test_pipeline_on_awkward_rows(spark, tmp_path):
+    """Null text, null and repeated ids, equal rows, no rows, and columns named like those the stages add."""
+    rng = random.Random(18)
+    one, two, three = (fixtures.prose(rng, 120) for _ in range(3))
+    rows = [(1, one, "en", "s", 1, 7), (1, two, "en", "s", 1, 8), (1, one, "en", "s", 1, 7), (2, None, "en", "s", 0, 7), (None, three, "en", "s", 1, 7), (None, three, "en", "s", 1, 7), (3, "", "en", "s", 0, 7), (4, one, "en", "s", 1, 7)]
+    for name, some in (("all", rows), ("none", [])):
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long, ids int")
+        (tmp_path / name).mkdir()
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(0, "never seen words of a benchmark item in any text")], "item_id long, text string").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+        found = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert found.columns == [*docs.columns, "ids_", "n_tokens", "ids_sha256", "decoded_sha256"]
+        got = sorted((r.doc_id or 0, r.text[:20], r["ids"]) for r in found.collect())
+        # both texts of id 1 stay, equal rows once; rows without an id can't be told apart; 4 has nothing left and its empty text is no copy
+        want = [(0, three[:20], 7)] * 2 + sorted([(1, one[:20], 7), (1, two[:20], 8)]) + [(4, "", 7)] if some else []
+        assert got == want
+
+
 def test_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "byte_bpe"]
