@@ -8,9 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.strings import tokens
+from ..functions.strings import stem, tokens
 from ..operators import confidence, correct, decode, evaluate, gate, layout, lexicon, manifest, service, splits, validate
-from ..session import importable
+from ..session import importable, new_path
+from ..sources import files
 from . import inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,17 +138,41 @@ def _beam(spark, sf, mode, **more):
     return decode.beam(lines, inputs.VOCAB, mode=mode, **more).select("line_id", "rank", "text", F.round("score", 6).alias("score"), F.array_join("token_indices", ",").alias("token_indices"))
 
 
-@query()
+# Each step of the search: every beam meets every class in order of arrival (the blank first), prefixes that arrive more than once are summed up.
+_SIMPLE = """search_ AS (SELECT line_id, -1 AS t, CAST([] AS INTEGER[]) AS key, CAST(0 AS DOUBLE) AS score, -1 AS last, false AS ended, CAST(1 AS BIGINT) AS r FROM (SELECT DISTINCT line_id FROM steps_) UNION ALL
+ SELECT line_id, t, key, score, last, ended, r FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY score DESC, arrival) AS r FROM (SELECT line_id, t, key, max(s) + ln(sum(exp(s - top))) AS score, arg_min(last, arrival) AS last, arg_min(ended, arrival) AS ended, min(arrival) AS arrival
+ FROM (SELECT *, max(s) OVER (PARTITION BY line_id, key) AS top FROM (SELECT b.line_id, b.t + 1 AS t, CASE WHEN c = 0 OR c = last AND NOT ended THEN key ELSE list_append(key, c) END AS key, score + log_probs[c + 1] AS s, CASE WHEN c = 0 THEN last ELSE c END AS last, c = 0 AS ended, r * 64 + c AS arrival
+ FROM search_ b JOIN logits_ l ON l.line_id = b.line_id AND l.t = b.t + 1, (SELECT CAST(c AS INTEGER) AS c FROM range(64) AS u(c)))) GROUP BY line_id, t, key)) WHERE r <= 10)"""
+_EXACT = """search_ AS (SELECT line_id, -1 AS t, CAST([] AS INTEGER[]) AS key, CAST(0 AS DOUBLE) AS b, CAST(-1e30 AS DOUBLE) AS nb, CAST(0 AS DOUBLE) AS score, CAST(1 AS BIGINT) AS r FROM (SELECT DISTINCT line_id FROM steps_) UNION ALL
+ SELECT line_id, t, key, b, nb, score, r FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY score DESC, arrival) AS r FROM (SELECT *, greatest(b, nb) + ln(exp(b - greatest(b, nb)) + exp(nb - greatest(b, nb))) AS score FROM (SELECT line_id, t, key, max(b) + ln(sum(exp(b - top_b))) AS b, max(nb) + ln(sum(exp(nb - top_nb))) AS nb, min(arrival) AS arrival
+ FROM (SELECT *, max(b) OVER (PARTITION BY line_id, key) AS top_b, max(nb) OVER (PARTITION BY line_id, key) AS top_nb FROM (SELECT s.line_id, s.t + 1 AS t, CASE WHEN c = 0 THEN key ELSE list_append(key, c) END AS key, CASE WHEN c = 0 THEN score + log_probs[1] ELSE -1e30 END AS b,
+ CASE WHEN c = 0 THEN CASE WHEN len(key) > 0 THEN nb + log_probs[key[-1] + 1] ELSE -1e30 END WHEN len(key) > 0 AND c = key[-1] THEN b + log_probs[c + 1] ELSE score + log_probs[c + 1] END AS nb, r * 64 + c AS arrival
+ FROM search_ s JOIN logits_ l ON l.line_id = s.line_id AND l.t = s.t + 1, (SELECT CAST(c AS INTEGER) AS c FROM range(64) AS u(c)))) GROUP BY line_id, t, key)) WHERE greatest(b, nb) > -1e29) WHERE r <= 10)"""
+_SPELLED = f"""spelled_ AS (SELECT line_id, CAST(r - 1 AS INTEGER) AS rank, array_to_string(list_transform(key, lambda k: substr('{inputs.LETTERS}', k, 1)), '') AS text, score, key FROM search_ QUALIFY t = max(t) OVER (PARTITION BY line_id))"""
+_HYPOTHESES = "SELECT line_id, rank, text, round(score, 6) AS score, array_to_string(key, ',') AS token_indices FROM spelled_"
+
+
+@query(_HYPOTHESES, "RECURSIVE " + inputs.LOGITS, _SIMPLE, _SPELLED)
 def beam_decode(spark, sf):
     return _beam(spark, sf, "simple")
 
 
-@query()
+@query(_HYPOTHESES, "RECURSIVE " + inputs.LOGITS, _EXACT, _SPELLED)
 def beam_decode_exact(spark, sf):
     return _beam(spark, sf, "exact")
 
 
-@query()
+_THREE = "greatest(a[i], x, y) + ln(exp(a[i] - greatest(a[i], x, y)) + exp(x - greatest(a[i], x, y)) + exp(y - greatest(a[i], x, y)))"
+
+
+@query(
+    "SELECT line_id, round(CASE WHEN p > -1e29 THEN -p ELSE 0.0 END, 6) AS loss FROM (SELECT line_id, CASE WHEN len(a) = 1 THEN a[1] ELSE greatest(a[-1], a[-2]) + ln(exp(a[-1] - greatest(a[-1], a[-2])) + exp(a[-2] - greatest(a[-1], a[-2]))) END AS p FROM alpha_ QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY t DESC) = 1)",
+    "RECURSIVE " + inputs.LOGITS,
+    "states_ AS (SELECT l.line_id, list_append(flatten(coalesce(list([0, CAST(k AS INTEGER)] ORDER BY run) FILTER (k IS NOT NULL), CAST([] AS INTEGER[][]))), 0) AS s FROM (SELECT DISTINCT line_id FROM steps_) l LEFT JOIN tokens_ t ON t.line_id = l.line_id GROUP BY l.line_id)",
+    f"""alpha_ AS (SELECT line_id, 0 AS t, list_transform(range(1, len(s) + 1), lambda i: CASE WHEN i <= 2 THEN log_probs[s[i] + 1] ELSE CAST(-1e30 AS DOUBLE) END) AS a FROM states_ JOIN logits_ USING (line_id) WHERE t = 0 UNION ALL
+ SELECT line_id, t, list_transform(range(1, len(s) + 1), lambda i: log_probs[s[i] + 1] + list_transform([{{'x': CASE WHEN i > 1 THEN a[i - 1] ELSE -1e30 END, 'y': CASE WHEN i > 2 AND s[i] <> 0 AND s[i] <> s[i - 2] THEN a[i - 2] ELSE -1e30 END}}], lambda o: {_THREE.replace("x)", "o.x)").replace("x,", "o.x,").replace("exp(x", "exp(o.x").replace("y)", "o.y)").replace("y,", "o.y,").replace("exp(y", "exp(o.y")})[1]) AS a
+ FROM (SELECT p.line_id, p.t + 1 AS t, a, s, log_probs FROM alpha_ p JOIN states_ USING (line_id) JOIN logits_ l ON l.line_id = p.line_id AND l.t = p.t + 1))""",
+)
 def ctc_loss(spark, sf):
     lines = decode.matrices(inputs.logits(spark, sf))
     targets = decode.greedy(inputs.logits(spark, sf), inputs.VOCAB).select("line_id", F.col("token_indices").alias("target"))
@@ -333,18 +358,99 @@ def top_confusions(spark, sf):
     return evaluate.top_confusions(inputs.pairs(spark, sf), ["doc_id", "line_id"])
 
 
-@query()
+_CODES = lambda x: f"array_to_string(list_transform({x}, lambda w: chr(CAST(33 + list_position(v, w) AS INTEGER))), '')"
+
+
+@query(
+    """SELECT a_cer, a_wer, b_cer, b_wer, round(b_cer - a_cer, 6) AS cer_delta, round(b_wer - a_wer, 6) AS wer_delta FROM (SELECT round(sum(ea) / CAST(sum(n) AS DOUBLE), 6) AS a_cer, round(sum(eb) / CAST(sum(n) AS DOUBLE), 6) AS b_cer, round(sum(wa) / CAST(sum(m) AS DOUBLE), 6) AS a_wer, round(sum(wb) / CAST(sum(m) AS DOUBLE), 6) AS b_wer FROM compared_)""",
+    "RECURSIVE " + inputs.LOGITS, _SIMPLE, _SPELLED,
+    f"""texts_ AS (SELECT line_id, trim(s.text) AS a, trim(p.text) AS b, trim(lower(s.text)) AS r FROM scored_ s JOIN spelled_ p USING (line_id) WHERE rank = 0),
+ words_ AS (SELECT *, list_distinct(list_concat(list_concat(wa, wb), wr)) AS v FROM (SELECT *, {", ".join(f"list_filter(string_split({x}, ' '), lambda x: x <> '') AS w{x}" for x in "abr")} FROM texts_)),
+ compared_ AS (SELECT levenshtein(a, r) AS ea, levenshtein(b, r) AS eb, length(r) AS n, levenshtein({_CODES("wa")}, {_CODES("wr")}) AS wa, levenshtein({_CODES("wb")}, {_CODES("wr")}) AS wb, len(wr) AS m FROM words_)""",
+)
 def decoder_delta(spark, sf):
     logits = inputs.logits(spark, sf)
     greedy = decode.greedy(logits, inputs.VOCAB).select("line_id", "text")
     beam = decode.beam(decode.matrices(logits), inputs.VOCAB, most=1).select("line_id", "text")
-    return evaluate.decoder_delta(greedy, beam, greedy.select("line_id", F.lower("text").alias("reference")), ["line_id"])
+    rows = evaluate.decoder_delta(greedy, beam, greedy.select("line_id", F.lower("text").alias("reference")), ["line_id"])
+    rates = rows.select(*(F.round(c, 6).alias(c) for c in ("a_cer", "a_wer", "b_cer", "b_wer")))
+    return rates.select("*", F.round(F.col("b_cer") - F.col("a_cer"), 6).alias("cer_delta"), F.round(F.col("b_wer") - F.col("a_wer"), 6).alias("wer_delta"))
 
 
-@query()
+@query(
+    """SELECT CAST(count(*) AS BIGINT) AS num_lines, round(sum(d.e) / CAST(sum(length(d.r)) AS DOUBLE), 6) AS cer, (SELECT round(sum(e) / CAST(sum(n) AS DOUBLE), 6) FROM errors_) AS wer, round(avg(CASE WHEN nfc_normalize(d.p) = nfc_normalize(d.r) THEN 1.0 ELSE 0.0 END), 6) AS exact_match,
+ coalesce((SELECT string_agg(concat(ch, ':', tp, ':', fp, ':', fn), ' ' ORDER BY ch) FROM bags_ WHERE in_reference BETWEEN 1 AND 39), '') AS rare FROM distances_ d""",
+    inputs.PAIRS, _DISTANCE, _WER, _CHARS,
+)
 def benchmark_report(spark, sf):
-    found = evaluate.report(inputs.pairs(spark, sf), ["doc_id", "line_id"], "ckpt", {"decoder": "greedy"}, "test")
-    return evaluate.report_frame(spark, found | {"timestamp": ""})
+    """Written as JSON and read back: the rates, and the rare characters with what their scores come from."""
+    pairs = inputs.pairs(spark, sf)
+    path = new_path(spark, "report")
+    files.write_report(evaluate.report_frame(spark, evaluate.report(pairs, ["doc_id", "line_id"], "ckpt", {"decoder": "greedy"}, "test", rare=40)), path)
+    back = spark.read.text(path, wholetext=True)
+    field = lambda name, kind: F.get_json_object("value", f"$.{name}").cast(kind)
+    listed = F.map_keys(F.from_json(F.get_json_object("value", "$.rare_char_metrics"), "map<string,struct<precision:double,recall:double,f1:double>>"))
+    head = back.select(field("num_lines", "long").alias("num_lines"), *(F.round(field(n, "double"), 6).alias(n) for n in ("cer", "wer", "exact_match")), listed.alias("listed"))
+    counts = evaluate.char_counts(pairs).where("in_reference between 1 and 39").select("ch", F.concat_ws(":", "ch", "tp", "fp", "fn").alias("c"))
+    named = head.select(F.explode("listed").alias("ch")).join(counts, "ch").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ch", "c"))), lambda x: x["c"]), " ").alias("rare"))
+    return head.drop("listed").join(named)
+
+
+# sources and sinks: written to the shared folder, read back
+
+
+@query("SELECT * FROM pages_", inputs.PAGES)
+def manifest_csv(spark, sf):
+    path = new_path(spark, "manifest")
+    files.write_manifest(inputs.pages(spark, sf), path)
+    return files.read_manifest(spark, path)
+
+
+@query("SELECT p.*, printf('text_%08d.txt', CAST(regexp_extract(image_path, '[0-9]+') AS BIGINT)) AS transcript_path FROM pages_ p", inputs.PAGES)
+def manifest_transcripts(spark, sf):
+    texts = inputs.images(spark, sf).select("source_id", F.format_string("text_%08d.txt", F.regexp_extract("image_path", "[0-9]+", 0).cast("long")).alias("transcript_path"))
+    return manifest.zip_transcripts(inputs.pages(spark, sf), texts)
+
+
+@query("SELECT word, score FROM lexicon_", inputs.WORDS)
+def lexicon_file(spark, sf):
+    path = new_path(spark, "lexicon")
+    files.write_lexicon(inputs.words(spark, sf), path)
+    return files.read_lexicon(spark, path)
+
+
+@query("SELECT line_id, t, round(log_probs[k + 1], 6) AS best FROM logits_", inputs.LOGITS)
+def logits_file(spark, sf):
+    path = new_path(spark, "logits")
+    files.write_logits(inputs.logits(spark, sf).withColumn("source_id", F.concat(F.lit("s"), F.col("line_id") % 3)), path)
+    return spark.read.parquet(path).select("line_id", "t", F.round(F.array_max("log_probs"), 6).alias("best"))
+
+
+@query("SELECT url, regexp_replace(regexp_extract(url, '[^/]*$'), '^(.+)[.][^.]*$', '\\1') AS stem FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)")
+def file_stem(spark, sf):
+    return inputs.table(spark, sf, "pages").where("url is not null").select("url").distinct().select("url", stem(F.col("url")).alias("stem"))
+
+
+@query("SELECT count(*) AS n FROM lexicon_", inputs.WORDS)
+def lexicon_size(spark, sf):
+    return lexicon.size(inputs.words(spark, sf))
+
+
+@query("SELECT DISTINCT word, CAST(1.0 AS DOUBLE) AS score FROM spoken_", inputs.LINES, _SPOKEN)
+def lexicon_from_words(spark, sf):
+    return lexicon.from_words(_spoken(spark, sf))
+
+
+@query("SELECT doc_id, line_id, word, count(*) AS n FROM spoken_ SEMI JOIN lexicon_ USING (word) GROUP BY ALL", inputs.LINES, inputs.WORDS, _SPOKEN)
+def lexicon_known(spark, sf):
+    return lexicon.known(_spoken(spark, sf), inputs.words(spark, sf)).groupBy("doc_id", "line_id", "word").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, line_id, md5(concat(prediction, '|', reference)) AS both_md5 FROM pairs_", inputs.PAIRS)
+def paired(spark, sf):
+    rows = inputs.pairs(spark, sf)
+    both = evaluate.paired(rows.select("doc_id", "line_id", "prediction"), rows.select("doc_id", "line_id", "reference"), ["doc_id", "line_id"])
+    return both.select("doc_id", "line_id", F.md5(F.concat("prediction", F.lit("|"), "reference")).alias("both_md5"))
 
 
 # layout

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +26,28 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
 
 
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only a local master may do without one and then gets its own."""
+    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
+    if set_by_cluster:
+        return set_by_cluster.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="palimpsest-")
+        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
+    return "file://" + _own[app]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}/{name}"
+
+
 def session(app: str = "palimpsest", **conf: str) -> SparkSession:
     spark = SparkSession.builder.appName(app).config(map=CONF | conf).getOrCreate()
     importable(spark)

@@ -25,7 +25,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def read_lexicon(spark: SparkSession, path: str, default: float = 1.0) -> DataFrame:
     """``word [score]`` lines of a file or folder. Lines are numbered by file, then place, so that the last entry of a word wins."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
     return lexicon.from_lines(rows.select(F.struct("file", "at").alias("line_no"), "value"), default)
 
 

@@ -128,6 +128,9 @@ def test_lexicon(spark, tmp_path):
     (tmp_path / "lex.txt").write_text("  dios\nrey 2.0\n\n# comment\nfoo x extra\nrey 3.5\n")
     words = files.read_lexicon(spark, str(tmp_path / "lex.txt"))
     assert {r.word: r.score for r in words.collect()} == {"dios": 1.0, "rey": 3.5, "foo": 1.0}
+    (tmp_path / "again.txt").write_text("".join(f"w{i % 7} {i}\n" for i in range(500)))
+    assert {r.word: r.score for r in files.read_lexicon(spark, str(tmp_path / "again.txt")).collect()} == {f"w{i % 7}": float(i) for i in range(493, 500)}
+    assert lexicon.size(words).first().n == 3
     files.write_lexicon(words, str(tmp_path / "out"))
     assert sorted(files.read_lexicon(spark, str(tmp_path / "out")).collect()) == sorted(words.collect())
     rows = spark.createDataFrame([("rey",), ("Rey",), ("dios",), ("rey",)], "word string")

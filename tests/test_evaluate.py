@@ -104,7 +104,7 @@ def test_report(spark, tmp_path):
     assert {"checkpoint_id", "decoder_config", "split_id", "num_lines", "timestamp", "cer", "wer", "exact_match", "rare_char_metrics", "top_confusions"} <= set(found)
     assert found["num_lines"] == 2 and found["exact_match"] == 0.5 and found["wer"] == 0.25
     files.write_report(evaluate.report_frame(spark, found), str(tmp_path / "r"))
-    back = json.loads("\n".join(r.value for r in spark.read.option("wholetext", True).text(str(tmp_path / "r")).collect()))
+    back = json.loads(spark.read.text(str(tmp_path / "r"), wholetext=True).first().value)
     assert back == json.loads(json.dumps(found))
     assert evaluate.report_name("test", "ck", datetime(2024, 1, 2, 3, 4, 5)) == "benchmark_test_ck_20240102T030405Z.json"
 

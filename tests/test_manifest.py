@@ -16,6 +16,17 @@ def test_build_numbers_pages(spark):
         manifest.build(images(spark, "s", 1), dpi=0)
 
 
+def test_numbers_over_many_ranges(spark):
+    """One group holds most rows; ties, a null group and a null name; ranges cut anywhere."""
+    rows = [("hot", f"img_{i * 7919 % 1000:04d}") for i in range(1000)] + [("b", "x"), ("b", "x"), (None, "y"), (None, "a"), ("b", None)]
+    table = spark.createDataFrame(rows, "source_id string, image_path string")
+    for parts in (1, 2, 50):
+        got = [(r.source_id, r.image_path, r.place) for r in manifest.numbered(table, "source_id", "image_path", "place", parts).collect()]
+        assert sorted(x[1:] for x in got if x[0] == "hot") == [(f"img_{i:04d}", i) for i in range(1000)]
+        assert sorted((x[1] or "", x[2]) for x in got if x[0] == "b") == [("", 0), ("x", 1), ("x", 2)] and sorted(x[1:] for x in got if x[0] is None) == [("a", 0), ("y", 1)]
+    assert manifest.numbered(table.limit(0), "source_id", "image_path", "place").count() == 0
+
+
 def test_transcripts_by_position(spark):
     pages = manifest.build(images(spark, "s", 3))
     texts = lambda n: spark.createDataFrame([("s", f"/tmp/tr_{i}.txt") for i in range(n)], "source_id string, transcript_path string")
