@@ -2,42 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only a local master may do without one and then gets its own."""
-    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
-    if set_by_cluster:
-        return set_by_cluster.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = tempfile.mkdtemp(prefix="palimpsest-")
-        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-    return "file://" + _own[app]
-
-
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, if it isn't installed or sent with --py-files."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}/{name}"
+from ..session import importable, new_path
 
+__all__ = ["fresh", "importable", "materialize", "new_path"]
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the files.
