@@ -353,7 +353,27 @@ def char_weights(spark, sf):
     return evaluate.char_weights(inputs.pairs(spark, sf)).withColumn("weight", F.round("weight", 12))
 
 
-@query()
+# Of one length and as many places apart as the distance says, two lines have no other way than place by place. Of the rest, without their common ends,
+# the tables are filled by anti-diagonals, no farther from the middle than the distance, and the cells carry the substituted characters of their way:
+# a match goes first, then a substitution, then a dropped character.
+_FAR = "{'c': 1000000, 's': ''}"
+_CELL = f"""CASE WHEN d - i < 0 OR d - i > len(rc) OR abs(d - 2 * i) > e THEN {_FAR} WHEN i = 0 OR i = d THEN {{'c': CAST(d AS INTEGER), 's': ''}} WHEN pc[i] = rc[d - i] THEN before[i]
+ WHEN before[i].c <= least(last[i].c, last[i + 1].c) THEN {{'c': before[i].c + 1, 's': concat(before[i].s, pc[i], rc[d - i])}} WHEN last[i].c <= last[i + 1].c THEN {{'c': last[i].c + 1, 's': last[i].s}} ELSE {{'c': last[i + 1].c + 1, 's': last[i + 1].s}} END"""
+_NONE = f"list_transform(range(0, len(pc) + 1), lambda i: CASE WHEN i = 0 THEN {{'c': 0, 's': ''}} ELSE {_FAR} END)"
+_CONFUSED = f"""unlike_ AS (SELECT *, list_sum(list_transform(range(1, least(len(pc), len(rc)) + 1), lambda i: CAST(pc[i] <> rc[i] AS INTEGER))) AS apart FROM (SELECT doc_id, line_id, e, string_split(p, '') AS pc, string_split(r, '') AS rc FROM distances_ WHERE p <> r AND p <> '' AND r <> '')),
+ bare_ AS (SELECT doc_id, line_id, e, pc[h + 1:len(pc) - t] AS pc, rc[h + 1:len(rc) - t] AS rc FROM (SELECT *, coalesce(list_position(list_transform(range(1, least(len(pc), len(rc)) - h + 1), lambda i: pc[-i] <> rc[-i]), true) - 1, least(len(pc), len(rc)) - h) AS t
+ FROM (SELECT *, coalesce(list_position(list_transform(range(1, least(len(pc), len(rc)) + 1), lambda i: pc[i] <> rc[i]), true) - 1, least(len(pc), len(rc))) AS h FROM unlike_ WHERE len(pc) <> len(rc) OR apart <> e))),
+ cells_ AS (SELECT doc_id, line_id, e, pc, rc, CAST(0 AS BIGINT) AS d, {_NONE} AS before, {_NONE} AS last FROM bare_ WHERE len(pc) > 0 AND len(rc) > 0 UNION ALL
+ SELECT doc_id, line_id, e, pc, rc, d, last, list_transform(range(0, len(pc) + 1), lambda i: {_CELL}) FROM (SELECT doc_id, line_id, e, pc, rc, d + 1 AS d, before, last FROM cells_ WHERE d < len(pc) + len(rc))),
+ ways_ AS (SELECT doc_id, line_id, last[-1].s AS s FROM cells_ WHERE d = len(pc) + len(rc) UNION ALL
+ SELECT doc_id, line_id, array_to_string(list_transform(list_filter(range(1, len(pc) + 1), lambda i: pc[i] <> rc[i]), lambda i: concat(pc[i], rc[i])), '') FROM unlike_ WHERE len(pc) = len(rc) AND apart = e),
+ subs_ AS (SELECT doc_id, line_id, length(s) // 2 - k AS pos, s[2 * k - 1] AS predicted, s[2 * k] AS reference FROM ways_, unnest(range(1, length(s) // 2 + 1)) AS u(k))"""
+
+
+@query(
+    'SELECT predicted, reference, "count" FROM (SELECT predicted, reference, count(*) AS "count", min({\'d\': doc_id, \'l\': line_id, \'p\': pos}) AS first FROM subs_ GROUP BY predicted, reference ORDER BY "count" DESC, first LIMIT 20)',
+    "RECURSIVE " + inputs.PAIRS, _DISTANCE, _CONFUSED,
+)
 def top_confusions(spark, sf):
     return evaluate.top_confusions(inputs.pairs(spark, sf), ["doc_id", "line_id"])
 
