@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import remove, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -42,12 +42,14 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
     of a component's size) rather than return components that are not whole.
     """
     now = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where(f"`{src}` is not null and `{dst}` is not null and u <> v").distinct()
-    now = materialize(now, "edges")
+    now, path = written(now, "edges")
     seen = _state(now)
     if not seen[0]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        now = materialize(_star(_star(now, large=True), large=False), "edges")
+        then, last = path, written(_star(_star(now, large=True), large=False), "edges")
+        now, path = last
+        remove(edges.sparkSession, then)
         state = _state(now)
         if state == seen:
             break

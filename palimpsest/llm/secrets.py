@@ -9,9 +9,9 @@ alone. A rule from which no mandatory trigram follows is run on every text.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import product
+from re import _parser as parser  # Python's own; a Python without it fails here, not in a scan
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,7 +118,7 @@ def _one(op: str, arg) -> tuple[set[str] | None, set[frozenset[str]] | None]:
 
 def trigram_query(pattern: str) -> set[frozenset[str]] | None:
     """Sets of lower-case trigrams, of which any match holds one whole set; None where none is mandatory."""
-    strings, query = _walk(re._parser.parse(pattern))
+    strings, query = _walk(parser.parse(pattern))
     found = _of_strings(strings) if strings is not None else query
     return None if not found or any(not s for s in found) else found
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import importable, new_path
 
-__all__ = ["fresh", "importable", "materialize", "new_path"]
+__all__ = ["fresh", "importable", "materialize", "new_path", "remove", "written"]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, and the path of the files."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the files.
@@ -14,10 +23,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     A lost executor then costs the tasks it ran, not the whole lineage, and a
     result that several branches read is computed once.
     """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a written table that nothing reads any more."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:

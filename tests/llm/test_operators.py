@@ -275,6 +275,16 @@ def test_near_duplicates_by_jaccard(spark):
     assert neardup.keep_one(table.limit(0)).count() == 0
 
 
+def test_near_duplicates_edges(spark):
+    rng = random.Random(51)
+    long = fixtures.prose(rng, 400_000)
+    rows = [(5, long, "a"), (3, long + " x", "b"), (None, "other words here", "c"), (7, None, "d"), (6, "", "e"), (7, None, "d")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = sorted((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(table).collect())
+    assert got == [(0, None), (3, 3), (5, 3), (6, 6), (7, 6), (7, 6)]
+    assert simhash.near_duplicates(table.limit(0)).count() == 0
+
+
 # 5
 
 
@@ -322,9 +332,37 @@ def test_warc_edges(spark, tmp_path):
     assert warc.read(spark, path).count() == 0
 
 
+def test_warc_large_payloads_and_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 16)
+    rng = random.Random(61)
+    big = "".join(rng.choice("abcdefgh") for _ in range(100_000)) * 100  # over BATCH_BYTES
+    pages = [(1, "u", big, "r"), (2, "u", big, "r"), *((i, f"http://x/{i}", "".join(rng.choice("abcdefgh") for _ in range(40_000)), "r") for i in range(3, 9))]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string, record_type string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write(warc.records(table), path)
+    back = {r.record_id: r for r in warc.read(spark, path, payload="digest").collect()}
+    want = brute.warc([p[0::2][:2] for p in pages])
+    assert {int(k.rpartition(":")[2]): (r.payload_length, r.payload_digest, r.record_type, r.refers_to and int(r.refers_to.rpartition(":")[2])) for k, r in back.items()} == want
+
+
 # 6
 
 
+def test_bpe_edges(spark, monkeypatch):
+    enc, codec = brute.tiktoken_encoding(), queries.tokenizer(spark)
+    texts = ["x" * 20_000, "ab " * 50_000, "", None, "é" * 5000, "x" * 20_000]
+    table = spark.createDataFrame([(i % 5, t, "kept") for i, t in enumerate(texts)], "doc_id long, text string, tokens string")
+    both = codec.decode(codec.encode(table))
+    assert both.columns == ["doc_id", "text", "tokens", "ids", "decoded"]
+    rows = both.collect()
+    assert len(rows) == 6 and all(r.tokens == "kept" and bytes(r.decoded) == (r.text or "").encode() and np.frombuffer(r["ids"], "<u4").tolist() == enc.encode_ordinary(r.text or "") for r in rows)
+    assert codec.decode(codec.encode(table.limit(0))).count() == 0
+    monkeypatch.setattr(bpe, "MEMORY", 3000)
+    small = bpe.Codec(*(lambda v: (v[0], dict(v[1]), v[2]))(codec.sent.value))
+    for word in (f"word{i}" for i in range(200)):
+        assert np.frombuffer(small.encode(word), "<u4").tolist() == enc.encode_ordinary(word) and small.held <= 3000 and len(small) < 20
+
+
 def test_bpe(spark, tmp_path, monkeypatch, docs):
     enc = brute.tiktoken_encoding()
     rows = {r.doc_id: r for r in as_query(spark, tmp_path, monkeypatch, docs, "op6_bpe")}
@@ -521,6 +559,23 @@ def test_redirect_equivalence(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_url_edges(spark):
+    """Ties of rule length go to the first rule; extra columns, repeated rows and very long URLs are no trouble."""
+    rules = (urlfilter.Rule("allow", "a.org", "/x"), urlfilter.Rule("block", "a.org", "/x"), urlfilter.Rule("block", "b.org", "/"))
+    long = "http://b.org/" + "p/" * 500_000
+    pages = spark.createDataFrame([(1, "http://a.org/x", None, "v"), (2, long, None, "v"), (2, long, None, "v"), (None, None, None, "v")], "page_id long, url string, html string, verdict string")
+    got = sorted(((r.page_id or 0, r["rule"], r.verdict) for r in urlfilter.judge(pages, rules).collect()), key=str)
+    assert got == [(0, None, "allow"), (1, "a.org/x", "allow"), (2, "b.org/", "block"), (2, "b.org/", "block")]
+
+
+def test_aliases_of_a_hub_and_along_a_chain(spark):
+    hub = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.example.com/"), "id").alias("url"), F.lit('<link rel="canonical" href="http://bad.net/hub">').alias("html"))
+    chain = spark.range(20_000, 20_300).select(F.col("id").alias("page_id"), F.concat(F.lit("http://c.example.com/"), "id").alias("url"), F.concat(F.lit('<link rel="canonical" href="http://c.example.com/'), F.col("id") + 1, F.lit('">')).alias("html"))
+    end = spark.createDataFrame([(20_300, "http://c.example.com/20300", '<meta http-equiv="refresh" content="0; url=http://worse.net/">'), (20_301, "http://d.example.com/", None)], "page_id long, url string, html string")
+    got = urlfilter.judge(hub.union(chain).union(end)).groupBy("verdict").count().collect()
+    assert {r.verdict: r["count"] for r in got} == {"block": 20_301, "allow": 1}
+
+
 # 10
 
 
