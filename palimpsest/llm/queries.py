@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.inputs import spread, table
 from . import bpe, decontam, licenses, linededup, neardup, quality, secrets, sharding, simhash, urlfilter, warc
 from .storage import fresh, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table(spark, sf_dir, name))
 
 
 def tokenizer(spark: SparkSession, name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Tokenizer:
