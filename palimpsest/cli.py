@@ -19,7 +19,7 @@ def parser() -> argparse.ArgumentParser:
     run = commands.add_parser("decode", help="log-probabilities to texts with confidence and gate")
     run.add_argument("logits", help="Parquet with line_id, t and log_probs")
     run.add_argument("out")
-    run.add_argument("--beam", type=int, default=0, help="beam width; 0 decodes greedily")
+    run.add_argument("--beam", type=int, default=0, help="beam width; 0 decodes greedily; what is wrong with a line that has no text is in the column error")
     run.add_argument("--mode", choices=("simple", "exact"), default="simple")
     run.add_argument("--threshold", type=float, default=gate.THRESHOLD)
     run.add_argument("--max-flags", type=int)
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         logits = spark.read.parquet(args.logits)
         lines = confidence.scored(logits, vocab)
         if args.beam:
-            best = decode.beam(decode.matrices(logits), vocab, width=args.beam, most=1, mode=args.mode).select("line_id", "text")
+            best = decode.beam(decode.matrices(logits), vocab, width=args.beam, most=1, mode=args.mode, errors=True).select("line_id", "text", "error")
             lines = lines.drop("text").join(best, "line_id")
         gate.gate(lines.withColumn("ord", F.col("line_id")), args.threshold, args.max_flags).drop("ord").write.mode("overwrite").parquet(args.out)
     else:

@@ -151,26 +151,44 @@ def beam_simple(steps: np.ndarray, vocab: list[str], blank: int, width: int, bon
 
 
 def beam_exact(steps: np.ndarray, vocab: list[str], blank: int, width: int, bonus: WordBonus | None = None) -> list[tuple[str, float, list[int]]]:
-    """CTC prefix search: each prefix keeps the probability of ending in a blank and of ending in its last token apart."""
-    none = -math.inf
-    beams: dict[tuple[int, ...], tuple[float, float]] = {(): (0.0, none)}
-    for row in steps.tolist():
-        fresh: dict[tuple[int, ...], list[float]] = {}
-        for key, (b, nb) in beams.items():
-            total, own = log_add(b, nb), fresh.setdefault(key, [none, none])
-            own[0] = log_add(own[0], total + row[blank])
-            if key:
-                own[1] = log_add(own[1], nb + row[key[-1]])
-            for c, lp in enumerate(row):
-                if c == blank:
-                    continue
-                closes = bonus is not None and vocab[c] == " " and not (key and vocab[key[-1]] == " ")
-                extra = bonus("".join(vocab[k] for k in key)) if closes else 0.0
-                longer = fresh.setdefault((*key, c), [none, none])
-                longer[1] = log_add(longer[1], (b if key and c == key[-1] else total) + lp + extra)
-        possible = ((k, tuple(v)) for k, v in fresh.items() if max(v) > none)
-        beams = dict(sorted(possible, key=lambda x: log_add(*x[1]), reverse=True)[:width])
-    return [("".join(vocab[k] for k in key), log_add(*v), list(key)) for key, v in beams.items()]
+    """CTC prefix search: each prefix keeps the probability of ending in a blank and of ending in its last token apart.
+
+    A step is a table of beams by classes for the prefixes that grow, and a
+    column for those that stay; a beam that grows into another is added to it.
+    """
+    classes = steps.shape[1]
+    space = np.array([v == " " for v in vocab])
+    keys: list[tuple[int, ...]] = [()]
+    in_blank, in_token = np.zeros(1), np.full(1, -np.inf)
+    for row in steps:
+        total, n = np.logaddexp(in_blank, in_token), len(keys)
+        grown = total[:, None] + row[None, :]
+        stay = in_token.copy()
+        for i, k in enumerate(keys):
+            if k:
+                grown[i, k[-1]] = in_blank[i] + row[k[-1]]
+                stay[i] += row[k[-1]]
+        if bonus is not None:
+            closes = np.array([0.0 if k and space[k[-1]] else bonus("".join(vocab[c] for c in k)) for k in keys])
+            grown += closes[:, None] * space[None, :]
+        grown[:, blank] = -np.inf
+        own, arrival = np.arange(n) * (classes + 1), np.arange(n)[:, None] * (classes + 1) + 1 + np.arange(classes)
+        place = {k: i for i, k in enumerate(keys)}
+        for k, j in place.items():
+            i = place.get(k[:-1]) if k else None
+            if i is not None:
+                stay[j] = np.logaddexp(stay[j], grown[i, k[-1]])
+                own[j] = min(own[j], arrival[i, k[-1]])
+                grown[i, k[-1]] = -np.inf
+        rest = total + row[blank]
+        score = np.concatenate([np.logaddexp(rest, stay), grown.ravel()])
+        possible = np.flatnonzero(score > -np.inf)
+        best = possible[np.lexsort((np.concatenate([own, arrival.ravel()])[possible], -score[possible]))[:width]]
+        old = best < n
+        keys = [keys[x] if o else (*keys[(x - n) // classes], int((x - n) % classes)) for x, o in zip(best.tolist(), old, strict=True)]
+        at = np.minimum(best, n - 1)
+        in_blank, in_token = np.where(old, rest[at], -np.inf), np.where(old, stay[at], score[best])
+    return [("".join(vocab[c] for c in k), float(s), list(k)) for k, s in zip(keys, np.logaddexp(in_blank, in_token), strict=True)]
 
 
 def ctc_loss(steps: np.ndarray, target: list[int], blank: int) -> float:

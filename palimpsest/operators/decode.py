@@ -69,12 +69,15 @@ def greedy(logits: DataFrame, vocab: list[str], blank: int = 0, line: str = "lin
 HYPOTHESES = "array<struct<text:string,score:double,token_indices:array<int>>>"
 
 
-def beam(lines: DataFrame, vocab: list[str], blank: int = 0, width: int = 10, most: int = 10, mode: str = "simple", lexicon: dict[str, float] | None = None, alpha: float = 0.0, beta: float = 0.0, line: str = "line_id") -> DataFrame:
+def beam(lines: DataFrame, vocab: list[str], blank: int = 0, width: int = 10, most: int = 10, mode: str = "simple", lexicon: dict[str, float] | None = None, alpha: float = 0.0, beta: float = 0.0, line: str = "line_id", errors: bool = False) -> DataFrame:
     """Up to ``most`` hypotheses ``(rank, text, score, token_indices)`` per line of ``(line, log_probs array<array<double>>)``, best first.
 
     ``mode`` simple keeps one score per prefix, exact is CTC prefix search. The
     search is a sequential program per line, so it runs over Arrow batches;
     ``lexicon`` goes along with it and is meant to be a word list, not a table.
+    A line whose matrix is null, ragged or of another width than the vocabulary
+    is an error; with ``errors`` it is a row of rank 0 without a text instead,
+    and a column ``error`` says why.
     """
     if mode not in ("simple", "exact"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -86,18 +89,27 @@ def beam(lines: DataFrame, vocab: list[str], blank: int = 0, width: int = 10, mo
         for b in batches:
             ids, rows = [], []
             for key, steps in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                matrix = np.array(steps, float)
-                if matrix.ndim != 2:
-                    raise ValueError("log_probs must be steps by classes")
-                check_vocab(vocab, matrix.shape[1])
-                for rank, hypothesis in enumerate(search(matrix, vocab, blank, width, bonus)[:most]):
-                    ids.append(key)
-                    rows.append((rank, *hypothesis))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            types = (pa.int32(), pa.string(), pa.float64(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[line, "rank", "text", "score", "token_indices"])
-
-    return lines.select(line, "log_probs").mapInArrow(run, f"`{line}` {kind}, rank int, text string, score double, token_indices array<int>")
+                try:
+                    found = [(rank, *h, None) for rank, h in enumerate(search(_matrix(steps, vocab), vocab, blank, width, bonus)[:most])]
+                except ValueError as e:
+                    if not errors:
+                        raise
+                    found = [(0, None, None, None, str(e))]
+                ids += [key] * len(found)
+                rows += found
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            types = (pa.int32(), pa.string(), pa.float64(), pa.list_(pa.int32()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[line, "rank", "text", "score", "token_indices", "error"])
+
+    out = lines.select(line, "log_probs").mapInArrow(run, f"`{line}` {kind}, rank int, text string, score double, token_indices array<int>, error string")
+    return out if errors else out.drop("error")
+
+
+def _matrix(steps: list[list[float]] | None, vocab: list[str]) -> np.ndarray:
+    if not steps or any(s is None or len(s) != len(steps[0]) for s in steps):
+        raise ValueError("log_probs must be steps by classes")
+    check_vocab(vocab, len(steps[0]))
+    return np.array(steps, float)
 
 
 def matrices(logits: DataFrame, line: str = "line_id") -> DataFrame:

@@ -60,6 +60,15 @@ def test_beam(spark):
         decode.check_vocab(VOCAB, 5)
 
 
+def test_beam_keeps_going_past_bad_lines(spark):
+    lines = spark.createDataFrame([(0, one_hot("d_e")), (1, None), (2, [[0.0] * 28, [0.0] * 3]), (3, [[0.0, 1.0]]), (4, [])], "line_id long, log_probs array<array<double>>")
+    for mode in ("simple", "exact"):
+        got = {r.line_id: r for r in decode.beam(lines, VOCAB, most=1, mode=mode, errors=True).collect()}
+        assert got[0].text == "de" and got[0].error is None and all(got[k].text is None and got[k].error for k in range(1, 5)) and "vocabulary" in got[3].error
+    with pytest.raises(Exception, match="steps by classes"):
+        decode.beam(lines.where("line_id = 1"), VOCAB).collect()
+
+
 def probabilities(rng, steps, classes):
     p = rng.random((steps, classes)) ** 3
     return np.log(p / p.sum(1, keepdims=True))
