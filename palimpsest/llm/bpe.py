@@ -9,7 +9,7 @@ which is the lowest rank first.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import importable
+from .storage import importable, small_batches
 
 #: What a worker remembers of the ids of pre-tokens before it starts afresh: so many bytes of tokens and ids; longer pre-tokens than ``REMEMBERED`` aren't.
 MEMORY, ENTRY, REMEMBERED = 48 << 20, 200, 256
@@ -126,18 +126,20 @@ class Tokenizer:
         ranks = read_ranks(rank_file)
         self.sent = spark.sparkContext.broadcast((sentencepiece_model(ranks), tuple(ranks.items()), pattern))
 
-    def _added(self, rows: DataFrame, source: str, column: str, make) -> DataFrame:
-        """All columns of ``rows`` and one made from column ``source`` by the codec."""
-        sent, at = self.sent, rows.columns.index(source)
+    def _added(self, rows: DataFrame, source: str, steps: list[tuple[str, Callable[[Codec, str | bytes | None], bytes]]]) -> DataFrame:
+        """All columns of ``rows``, and one for each step, made by the codec from column ``source`` or from the step before."""
+        sent, at, names = self.sent, rows.columns.index(source), [c for c, _ in steps]
+        small_batches(rows.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(*sent.value)
             for b in slices(batches):
-                out = pa.array([make(codec, t.as_py()) for t in b.column(at)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, column])
+                made = [b.column(at)]
+                for _, make in steps:
+                    made.append(pa.array([make(codec, x.as_py()) for x in made[-1]], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*b.columns, *made[1:]], names=[*b.schema.names, *names])
 
-        schema = T.StructType([*rows.schema.fields, T.StructField(column, T.BinaryType())])
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *(T.StructField(c, T.BinaryType()) for c in names)]))
 
     def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
         """Every row and column of ``docs`` with ``ids_col``, the ids packed as little-endian unsigned 32-bit integers.
@@ -145,8 +147,16 @@ class Tokenizer:
         Null and empty texts have none; repeated rows repeat theirs; texts are
         encoded whole, however long. A column of that name must not be there.
         """
-        return self._added(docs.withColumn(text_col, F.col(text_col).cast("string")), text_col, ids_col, Codec.encode)
+        return self._added(_as_text(docs, text_col), text_col, [(ids_col, Codec.encode)])
 
     def decode(self, encoded: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
         """Every row and column with ``decoded_col``, the bytes of the ids. Null ids decode to no bytes."""
-        return self._added(encoded, ids_col, decoded_col, Codec.decode)
+        return self._added(encoded, ids_col, [(decoded_col, Codec.decode)])
+
+    def round_trip(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+        """``encode``, then ``decode`` of the ids, by one worker, so that texts go to Python once."""
+        return self._added(_as_text(docs, text_col), text_col, [(ids_col, Codec.encode), (decoded_col, Codec.decode)])
+
+
+def _as_text(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.withColumn(text_col, F.col(text_col).cast("string"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .bitmap import marked, maybe
 from .bpe import slices
 from .simhash import simhash
-from .storage import fresh, importable, materialize
+from .storage import fresh, importable, materialize, small_batches
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 24
 BLOCKS, BITS = 5, 13
@@ -267,6 +267,7 @@ def _text_key(text_col: str) -> Column:
 def search(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, radius: int, least: float) -> DataFrame:
     """``(key, item_id, similarity, first_word, differing_bits)`` of rows ``(key, text)`` for each key and item; of windows of one similarity the first."""
     importable(texts.sparkSession)
+    small_batches(texts.sparkSession)
     items = items_of(benchmark, item_col, item_text)
     made = materialize(windows_of(texts, seeds_of(items), least), "windows")
     # a passage that many documents share is looked up once

@@ -56,8 +56,7 @@ def _tokens(ids: str) -> Column:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codec = tokenizer(spark)
-    both = codec.decode(codec.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    both = tokenizer(spark).round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return both.select("doc_id", _tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -107,8 +106,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their columns, and the ids (packed as unsigned 32-bit integers), their number, their digest and that of the text decoded from them."""
     ids, decoded, tokens, digest, back = fresh(docs.columns, "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
-    codec = tokenizer(spark)
-    both = codec.decode(codec.encode(docs, ids_col=ids), ids, decoded)
+    both = tokenizer(spark).round_trip(docs, ids_col=ids, decoded_col=decoded)
     return both.select(*docs.columns, ids, _tokens(ids).alias(tokens), F.sha2(ids, 256).alias(digest), F.sha2(decoded, 256).alias(back))
 
 

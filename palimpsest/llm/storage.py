@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import importable, new_path
 
-__all__ = ["fresh", "importable", "materialize", "new_path", "remove", "written"]
+__all__ = ["fresh", "importable", "materialize", "new_path", "remove", "small_batches", "written"]
+
+
+#: Spark's setting for the rows of a batch that goes to Python, its default, and what long texts take.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python by fewer rows at a time, unless the session has its own number: batches are held twice, on both sides."""
+    key, default, rows = BATCH_ROWS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, rows)
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
