@@ -38,6 +38,12 @@ def _listed(lexicon: DataFrame) -> list[str] | None:
     return words if len(words) <= SMALL else None
 
 
+def _any_of(column: str, words: list[str]) -> Column:
+    """Whether an array column has one of the words: one test of a set, given as text, as thousands of literals would be as many calls."""
+    quoted = ("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    return F.expr(f"exists({column}, w -> w in ({', '.join(quoted)}))") if words else F.lit(False)
+
+
 def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = MOST_RATIO, lexicon: DataFrame | None = None, key: str = "line_id") -> DataFrame:
     """``audit`` with ``decision``, ``decision_reason``, ``reason_code`` and ``length_ratio``.
 
@@ -54,15 +60,15 @@ def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = M
     code = F.when(strip(candidate) == "", "empty").when((ratio > most_ratio) | (ratio < 1.0 / most_ratio), "length_ratio")
     text = F.when(F.col("reason_code") == "empty", "candidate is empty").when(F.col("reason_code") == "length_ratio", F.format_string("length ratio %.2f is out of bounds", ratio))
     if allowed is not None:
-        code = code.when(F.size(foreign_characters(candidate, allowed)) > 0, "characters")
+        code = code.when(F.translate(candidate, allowed, "") != "", "characters")
         text = text.when(F.col("reason_code") == "characters", F.concat(F.lit("disallowed characters: "), F.array_join(foreign_characters(candidate, allowed), " ")))
     if lexicon is not None:
         words = _listed(lexicon)
         if words is None:
             rows = rows.join(lexicon_hits(rows, lexicon, key), key, "left")
         else:
-            has = lambda text: F.exists(tokens(text), lambda w: w.isin(words)) if words else F.lit(False)
-            rows = rows.withColumn("original_hit", has(original)).withColumn("candidate_hit", has(candidate))
+            rows = rows.withColumn("original_hit", tokens(original)).withColumn("candidate_hit", tokens(candidate))
+            rows = rows.withColumns({c: _any_of(c, words) for c in ("original_hit", "candidate_hit")})
         code = code.when(F.coalesce("original_hit", F.lit(False)) & ~F.coalesce("candidate_hit", F.lit(False)), "lexicon")
         text = text.when(F.col("reason_code") == "lexicon", "lexicon words were lost")
     rows = rows.withColumn("reason_code", code).drop("original_hit", "candidate_hit")

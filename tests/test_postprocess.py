@@ -76,7 +76,7 @@ def test_settings_from_the_environment():
 
 def test_large_lexicon_gives_the_same(spark, monkeypatch):
     rows = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate([("dios mio", "dios mío"), ("dios mio", "xyz abcd"), ("abc def", "xyz abcd"), (None, "dios"), ("dios", None)])], "line_id long, input_text string, candidate_text string")
-    words = spark.createDataFrame([("dios", 1.0), ("rey", 2.0), (None, 1.0)], "word string, score double")
+    words = spark.createDataFrame([("dios", 1.0), ("rey", 2.0), ("it's \\ 'quoted'", 1.0), (None, 1.0)], "word string, score double")
     found = lambda: [tuple(r) for r in validate.validate(rows, lexicon=words).select("line_id", "decision", "reason_code").orderBy("line_id").collect()]
     few = found()
     monkeypatch.setattr(validate, "SMALL", 1)
