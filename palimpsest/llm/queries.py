@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.inputs import spread, table
-from . import bpe, decontam, licenses, linededup, neardup, quality, secrets, sharding, simhash, urlfilter, warc
+from . import bpe, decontam, licenses, linededup, neardup, prefixtrie, quality, secrets, sharding, simhash, urlfilter, warc, whitening
 from .storage import fresh, new_path
 
 
@@ -79,6 +79,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.col(f"features.{n}") for n in quality.FEATURES[:5]), "base_failed", "kept", "quality")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 # the pipeline's stages: (spark, docs, sf_dir) -> documents
 
 
@@ -111,5 +119,5 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_sharding, op3_licenses, op4_simhash, op5_warc, op6_bpe, op7_decontamination, op8_line_dedup, op9_url_filter, op10_quality)
+    f.__name__: f for f in (op1_secrets, op2_sharding, op3_licenses, op4_simhash, op5_warc, op6_bpe, op7_decontamination, op8_line_dedup, op9_url_filter, op10_quality, op11_prefix_trie, op13_whitening)
 }
