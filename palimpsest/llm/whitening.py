@@ -81,7 +81,7 @@ def _centred(x: np.ndarray, whole: np.ndarray, rest: np.ndarray) -> np.ndarray:
 def _factor(gram: np.ndarray, n: int, first: bool) -> np.ndarray:
     """Upper R with R'R = Gram; the first Gram matrix is shifted by its rounding error's bound, and any that still fails by more."""
     d = len(gram)
-    norm = max(float(np.linalg.norm(gram, 2)), np.finfo(float).tiny)
+    norm = float(np.linalg.norm(gram, 2))
     shift = 11 * (n * d + d * (d + 1)) * np.finfo(float).eps / 2 * norm if first else 0.0
     shift = min(shift, 1e-8 * norm)
     while True:
@@ -101,7 +101,10 @@ def components(rows: DataFrame, d: int, n: int, whole: np.ndarray, rest: np.ndar
             q = _centred(x, whole, rest) @ inverse
             return q.T @ q
 
-        r = _factor(_summed(rows, d, part, (d, d)), n, first=k == 0) @ r
+        gram = _summed(rows, d, part, (d, d))
+        if not gram.any():
+            return np.zeros(d), np.eye(d)
+        r = _factor(gram, n, first=k == 0) @ r
     _, s, vt = np.linalg.svd(r)
     sign = np.sign(vt[np.arange(d), np.abs(vt).argmax(axis=1)])
     return s**2 / n, (vt * sign[:, None]).T
