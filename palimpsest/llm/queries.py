@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.inputs import spread, table
-from . import bpe, decontam, licenses, linededup, neardup, prefixtrie, quality, secrets, sharding, simhash, urlfilter, warc, whitening
+from . import bpe, decontam, licenses, linededup, neardup, prefixtrie, quality, secrets, sharding, simhash, suffixdedup, urlfilter, warc, whitening
 from .storage import fresh, new_path
 
 
@@ -83,6 +83,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, kept, size, spans = suffixdedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(size).alias("n_bytes"), (F.col(size) - F.octet_length(kept)).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -119,5 +124,5 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_sharding, op3_licenses, op4_simhash, op5_warc, op6_bpe, op7_decontamination, op8_line_dedup, op9_url_filter, op10_quality, op11_prefix_trie, op13_whitening)
+    f.__name__: f for f in (op1_secrets, op2_sharding, op3_licenses, op4_simhash, op5_warc, op6_bpe, op7_decontamination, op8_line_dedup, op9_url_filter, op10_quality, op11_prefix_trie, op12_suffix_dedup, op13_whitening)
 }
