@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.imaging import otsu_level
 
 def keep_components(components: DataFrame, least_width: int = 20, least_height: int = 10) -> DataFrame:
     return components.where((F.col("width") >= least_width) & (F.col("height") >= least_height))
@@ -108,19 +109,12 @@ def ink_table(images: DataFrame, page: str = "page") -> DataFrame:
     """``(page, row, col)`` of each pixel darker than the page's Otsu threshold, or as dark, of Spark's image struct in ``image``."""
     kind = images.schema[page].dataType.simpleString()
 
-    def level(g: np.ndarray) -> int:
-        n = np.bincount(g.ravel(), minlength=256).astype(float)
-        w0, s0 = n.cumsum(), (n * np.arange(256)).cumsum()
-        with np.errstate(divide="ignore", invalid="ignore"):
-            between = w0 * (w0[-1] - w0) * (s0 / w0 - (s0[-1] - s0) / (w0[-1] - w0)) ** 2
-        return int(np.nan_to_num(between).argmax())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, image in zip(b.column(0), b.column(1).to_pylist(), strict=True):
                 shape = (image["height"], image["width"], image["nChannels"])
                 g = grey(np.frombuffer(image["data"], np.uint8).reshape(shape))
-                rows, cols = np.nonzero(g <= level(g)) if g.min() < g.max() else (np.empty(0, int),) * 2
+                rows, cols = np.nonzero(g <= otsu_level(g)) if g.min() < g.max() else (np.empty(0, int),) * 2
                 yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(rows), b.schema.field(0).type), pa.array(rows, pa.int32()), pa.array(cols, pa.int32())], names=[page, "row", "col"])
 
     return images.select(page, "image").mapInArrow(run, f"`{page}` {kind}, row int, col int")

@@ -21,15 +21,16 @@ def foreign_characters(candidate: Column, allowed: str) -> Column:
     return F.array_sort(F.array_except(F.array_distinct(characters(candidate)), F.array(*(F.lit(c) for c in sorted(set(allowed))))))
 
 
-def lexicon_hits(audit: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
-    """``(key, original_hit, candidate_hit)`` for the lines of which either text has a listed word: one join for both, counted before the shuffle back."""
+def lexicon_hits(audit: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``(text_a, text_b, original_hit, candidate_hit)`` for the pairs of texts of which either has a listed word: one join for both, each pair once, counted before the shuffle back."""
     def sided(side: int, text: str) -> Column:
         return F.transform(F.array_distinct(tokens(F.col(text))), lambda w: F.struct(F.lit(side).alias("side"), w.alias("word")))
 
-    both = F.explode(F.concat(sided(0, "input_text"), sided(1, "candidate_text")))
-    words = audit.select(key, both.alias("w")).select(key, "w.side", "w.word")
+    pair = ["text_a", "text_b"]
+    both = F.explode(F.concat(sided(0, "text_a"), sided(1, "text_b")))
+    words = audit.select(F.col("input_text").alias("text_a"), F.col("candidate_text").alias("text_b")).distinct().select(*pair, both.alias("w")).select(*pair, "w.side", "w.word")
     hits = words.join(lexicon.select("word"), "word", "left_semi")
-    return hits.groupBy(key).agg(F.bool_or(F.col("side") == 0).alias("original_hit"), F.bool_or(F.col("side") == 1).alias("candidate_hit"))
+    return hits.groupBy(*pair).agg(F.bool_or(F.col("side") == 0).alias("original_hit"), F.bool_or(F.col("side") == 1).alias("candidate_hit"))
 
 
 def _listed(lexicon: DataFrame) -> list[str] | None:
@@ -44,14 +45,14 @@ def _any_of(column: str, words: list[str]) -> Column:
     return F.expr(f"exists({column}, w -> w in ({', '.join(quoted)}))") if words else F.lit(False)
 
 
-def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = MOST_RATIO, lexicon: DataFrame | None = None, key: str = "line_id") -> DataFrame:
+def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = MOST_RATIO, lexicon: DataFrame | None = None) -> DataFrame:
     """``audit`` with ``decision``, ``decision_reason``, ``reason_code`` and ``length_ratio``.
 
     In order: the candidate is empty or blank; its length is more than
     ``most_ratio`` times the original's, or less than its inverse; it has
     characters outside ``allowed``; the original has listed words and the
-    candidate none. ``key`` must be unique if a lexicon of over ``SMALL`` words is given. A missing text
-    counts as empty.
+    candidate none. A missing text counts as empty. Each row is judged by its
+    texts alone, with a lexicon of any size.
     """
     rows = audit.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("input_text", "candidate_text")})
     original, candidate = F.col("input_text"), F.col("candidate_text")
@@ -65,7 +66,7 @@ def validate(audit: DataFrame, allowed: str | None = None, most_ratio: float = M
     if lexicon is not None:
         words = _listed(lexicon)
         if words is None:
-            rows = rows.join(lexicon_hits(rows, lexicon, key), key, "left")
+            rows = rows.join(lexicon_hits(rows, lexicon), (original == F.col("text_a")) & (candidate == F.col("text_b")), "left").drop("text_a", "text_b")
         else:
             rows = rows.withColumn("original_hit", tokens(original)).withColumn("candidate_hit", tokens(candidate))
             rows = rows.withColumns({c: _any_of(c, words) for c in ("original_hit", "candidate_hit")})

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: What the operators rely on; sizes of partitions are the cluster's business.
 CONF = {
@@ -48,6 +48,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}/{name}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once to the shared folder and read from there by all that follows."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Spark's setting for the rows of a batch that goes to Python, its default, and what images take.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "32"
+
+
+def long_rows(spark: SparkSession) -> None:
+    """Send images to Python by few rows at a time, unless the session has its own number."""
+    key, default, rows = BATCH_ROWS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, rows)
+
+
 def session(app: str = "palimpsest", **conf: str) -> SparkSession:
     spark = SparkSession.builder.appName(app).config(map=CONF | conf).getOrCreate()
     importable(spark)

@@ -6,11 +6,21 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from palimpsest.functions import kernels
+from palimpsest.functions.strings import word_errors
 from palimpsest.operators import evaluate
 from palimpsest.sources import files
 
 
+def test_word_errors_of_very_many_words(spark):
+    """Past 63,231 distinct words a word's letter needs more than four hex digits."""
+    many = F.transform(F.sequence(F.lit(1), F.lit(63_231)), lambda i: F.concat(F.lit("w"), i.cast("string")))
+    row = spark.range(1).select(word_errors(many, F.array(F.lit("new"))).alias("a"), word_errors(F.concat(many, F.array(F.lit("x"))), F.array(F.lit("x"), F.lit("y"))).alias("b")).first()
+    assert (row.a, row.b) == (63_231, 63_231)
+
+
 def pairs(spark, rows):
     return spark.createDataFrame([(i, "s", p, r) for i, (p, r) in enumerate(rows)], "ord long, source_id string, prediction string, reference string")
 

@@ -81,4 +81,9 @@ def test_large_lexicon_gives_the_same(spark, monkeypatch):
     few = found()
     monkeypatch.setattr(validate, "SMALL", 1)
     assert found() == few and few[1][2] == "lexicon" and few[0][1] == "accepted"
+    same = rows.withColumn("line_id", F.when(rows.line_id > 2, 7)).union(rows.withColumn("line_id", F.lit(7).cast("long")))
+    judged = lambda: sorted(tuple(r) for r in validate.validate(same, lexicon=words).select(F.coalesce("line_id", F.lit(-1)), "input_text", "candidate_text", "decision").collect())
+    large = judged()
+    monkeypatch.setattr(validate, "SMALL", 100)
+    assert judged() == large and len(large) == 10 and validate.validate(same, lexicon=words).columns[:3] == rows.columns
     assert validate.validate(rows, lexicon=words.limit(0)).where("reason_code = 'lexicon'").count() == 0
