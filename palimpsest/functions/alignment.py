@@ -4,31 +4,54 @@ from __future__ import annotations
 
 import numpy as np
 
-FAR = 1 << 29
+FAR = np.float32(1e9)
+#: Classes of characters, by the last five bits of their code point: letters of one alphabet differ, their cases don't.
+CLASSES = 32
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.int32)
+def _marks(words: list[str]) -> np.ndarray:
+    """Each word's classes of characters as bits: one for a class that it has, another for one that it has twice or more."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.int32) % CLASSES
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    n = np.bincount(owner * CLASSES + codes, minlength=len(words) * CLASSES).reshape(-1, CLASSES)
+    bit = np.uint64(1) << np.arange(CLASSES, dtype=np.uint64)
+    return ((n > 0) * bit).sum(axis=1, dtype=np.uint64) | ((n > 1) * (bit << np.uint64(CLASSES))).sum(axis=1, dtype=np.uint64)
 
 
-def _cuts_within(rows: np.ndarray, ends: list[int], cols: np.ndarray, free: np.ndarray, band: int) -> tuple[int, list[int]]:
-    """Cost of the cheapest alignment that strays at most ``band`` from the diagonal, and the column at each of ``ends``.
+def word_cost(a: str, b: str) -> float:
+    """0 of equal words, else from 0.1 to 1 by the share of their marks that the other lacks."""
+    x, y = map(int, _marks([a, b]))
+    return 0.0 if a == b else 0.1 + 0.9 * (x ^ y).bit_count() / (x.bit_count() + y.bit_count())
 
-    Cells lie along the diagonal: place k of row i is column i + k - band. Of
-    each cell only the column is kept at which its way crossed the end before.
+
+def _cuts_within(heard: list[str], ends: list[int], words: list[str], band: int) -> tuple[float, list[int]]:
+    """Cost of the cheapest alignment of words that strays at most ``band`` from the diagonal, and the column at each of ``ends``; given up once it is sure to cost more than the band.
+
+    A word more or less costs 1. Of each cell only the column is kept at which
+    its way crossed the end before.
     """
-    m, n, width = len(rows), len(cols), 2 * band + 1
+    m, n, width = len(heard), len(words), 2 * band + 1
+    marks = _marks([*heard, *words])
+    sizes = np.bitwise_count(marks).astype(np.float32)
+    number = {w: k for k, w in enumerate(dict.fromkeys([*heard, *words]))}
+    ids = np.array([number[w] for w in [*heard, *words]])
+    around = lambda x, fill: np.concatenate([np.full(band + 1, fill, x.dtype), x, np.full(m + band + 2, fill, x.dtype)])
+    col_marks, col_sizes, col_ids = around(marks[m:], 0), around(sizes[m:], 1), around(ids[m:], -1)
     place = np.arange(width, dtype=np.int32)
-    padded = np.concatenate([np.full(band + 1, -1, np.int32), cols, np.full(m + band + 2, -1, np.int32)])
     column = place - band
-    cost = np.where((column >= 0) & (column <= n), column, FAR).astype(np.int32)
+    cost = np.where((column >= 0) & (column <= n), column, FAR).astype(np.float32)
     crossed = np.zeros(width, np.int32)
     kept: list[np.ndarray] = []
     stops = set(ends)
+    while 0 in stops and len(kept) < ends.count(0):
+        kept.append(crossed)
+        crossed = np.clip(column, 0, n).astype(np.int32)
     for i in range(1, m + 1):
         column = column + 1
+        at = slice(i, i + width)
+        unlike = np.bitwise_count(col_marks[at] ^ marks[i - 1]) / (col_sizes[at] + sizes[i - 1])
+        across = cost + np.where(col_ids[at] == ids[i - 1], 0, 0.1 + 0.9 * unlike).astype(np.float32)
         down = np.append(cost[1:], FAR) + 1
-        across = cost + (padded[i : i + width] != rows[i - 1])
         better = across <= down
         new = np.where(better, across, down)
         new[(column < 0) | (column > n)] = FAR
@@ -38,42 +61,42 @@ def _cuts_within(rows: np.ndarray, ends: list[int], cols: np.ndarray, free: np.n
         source = np.maximum.accumulate(np.where(level == least, place, 0))
         cost, crossed = np.minimum(least + place, FAR), from_[source]
         cost[(column < 0) | (column > n)] = FAR
-        if i in stops:
-            cost = np.where(free[np.clip(column, 0, n)], cost, FAR)
+        if band < max(m, n) and i % 16 == 0 and cost.min() > band:
+            return float(FAR), []
+        for _ in range(ends.count(i) if i in stops else 0):
             kept.append(crossed)
             crossed = np.clip(column, 0, n).astype(np.int32)
     at = n - m + band
     if not 0 <= at < width or cost[at] >= FAR:
-        return FAR, []
+        return float(FAR), []
     out, here = [], int(crossed[at]) if ends else 0
     for end, back in zip(ends[::-1], kept[::-1], strict=True):
         out.append(here)
         here = int(back[here - end + band])
-    return int(cost[at]), out[::-1]
+    return float(cost[at]), out[::-1]
 
 
 def cut_lines(recognised: list[str], text: str) -> list[str]:
-    """``text``, whose words are a blank apart, in as many parts as there are recognised lines, cut between words so that the edit distance to them is least.
+    """``text``, whose words are a blank apart, in as many parts as there are recognised lines, cut between words so that aligning the words costs least.
 
-    The band doubles until it holds the cost that was found in it; then no way
+    The band grows until it holds the cost that was found in it; then no way
     outside can be cheaper.
     """
     if not recognised:
         return []
-    heard = " ".join(recognised)
-    ends = list(np.cumsum([len(x) + 1 for x in recognised[:-1]]))
-    if heard == text:
+    lines, words = [[w for w in x.split(" ") if w] for x in recognised], [w for w in text.split(" ") if w]
+    ends = np.cumsum([len(x) for x in lines[:-1]]).astype(int).tolist()
+    heard = [w for x in lines for w in x]
+    if heard == words:
         cuts = ends
+    elif not heard or not words:
+        cuts = [0] * len(ends)
     else:
-        rows, cols = _codes(heard), _codes(text)
-        free = np.zeros(len(cols) + 1, bool)
-        free[[0, len(cols)]] = True
-        free[1:] |= cols == ord(" ")
-        most = max(len(rows), len(cols))
-        band = min(most, 32 + abs(len(rows) - len(cols)))
-        cost, cuts = _cuts_within(rows, ends, cols, free, band)
+        most = max(len(heard), len(words))
+        band = min(most, 8 + abs(len(heard) - len(words)))
+        cost, cuts = _cuts_within(heard, ends, words, band)
         while cost > band and band < most:
-            band = min(most, 2 * band)
-            cost, cuts = _cuts_within(rows, ends, cols, free, band)
-    edges = [0, *map(int, cuts), len(text)]
-    return [text[a:b].strip(" ") for a, b in zip(edges, edges[1:], strict=False)]
+            band = min(most, 4 * band)
+            cost, cuts = _cuts_within(heard, ends, words, band)
+    edges = [0, *cuts, len(words)]
+    return [" ".join(words[a:b]) for a, b in zip(edges, edges[1:], strict=False)]

@@ -59,6 +59,8 @@ def align_transcripts(lines: DataFrame, texts: DataFrame, page: str = "page", he
     kind = lines.schema[page].dataType.simpleString()
     by_page = lines.groupBy(page).agg(F.array_sort(F.collect_list(F.struct(F.col("line_id").cast("long").alias("line_id"), F.array_join(tokens(F.coalesce(F.col(heard), F.lit(""))), " ").alias("heard")))).alias("lines"))
     rows = by_page.join(texts.select(page, F.array_join(tokens(F.col("transcript")), " ").alias("whole")), page, "left").select(page, "lines", "whole")
+    # an alignment costs far more than its row's bytes say, so small partitions aren't put together
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), page)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
