@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import importable, small_batches
+from .storage import fresh, importable, small_batches
 
 #: What a worker remembers of the ids of pre-tokens before it starts afresh: so many bytes of tokens and ids; longer pre-tokens than ``REMEMBERED`` aren't.
 MEMORY, ENTRY, REMEMBERED = 48 << 20, 200, 256
@@ -128,7 +128,7 @@ class Tokenizer:
 
     def _added(self, rows: DataFrame, source: str, steps: list[tuple[str, Callable[[Codec, str | bytes | None], bytes]]]) -> DataFrame:
         """All columns of ``rows``, and one for each step, made by the codec from column ``source`` or from the step before."""
-        sent, at, names = self.sent, rows.columns.index(source), [c for c, _ in steps]
+        sent, at, names = self.sent, rows.columns.index(source), fresh(rows.columns, *(c for c, _ in steps))
         small_batches(rows.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +145,9 @@ class Tokenizer:
         """Every row and column of ``docs`` with ``ids_col``, the ids packed as little-endian unsigned 32-bit integers.
 
         Null and empty texts have none; repeated rows repeat theirs; texts are
-        encoded whole, however long. A column of that name must not be there.
+        encoded whole, however long. Where a column of that name is there, the
+        new one, which is the last, gets an underscore; so with ``decode`` and
+        ``round_trip``.
         """
         return self._added(_as_text(docs, text_col), text_col, [(ids_col, Codec.encode)])
 

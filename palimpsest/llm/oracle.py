@@ -94,12 +94,20 @@ def _url_filter() -> str:
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in fits) + " END"
     own = "CASE " + " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in fits) + " END"
     value = lambda name: f"""trim(replace(regexp_replace(regexp_extract(tag, '(?is)[\\s"'']{name}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)', 1), '^["'']|["'']$', '', 'g'), '&amp;', '&'))"""
-    return f"""WITH RECURSIVE tags_ AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\s[^>]*>')) AS tag FROM pages WHERE url LIKE '%://%' AND regexp_matches(html, '(?i)canonical|refresh')),
- refs_ AS (SELECT url, trim(CASE WHEN list_contains(regexp_split_to_array(lower({value("rel")}), '\\s+'), 'canonical') THEN {value("href")}
+    root = lambda u: f"concat(substr({u}, 1, instr({u}, '://') - 1), '://', {host(u)})"
+    found = lambda u: f"""CASE WHEN ref IS NULL OR ref = '' OR starts_with(ref, '#') THEN NULL WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref WHEN starts_with(ref, '//') THEN concat(substr({u}, 1, instr({u}, '://') - 1), ':', ref)
+ WHEN starts_with(ref, '/') THEN concat({root(u)}, ref) WHEN starts_with(ref, '?') THEN concat({root(u)}, {path(u)}, ref) WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+ ELSE concat({root(u)}, coalesce(nullif(regexp_extract({path(u)}, '(?s)^(.*/)', 1), ''), '/'), ref) END"""
+    # segments as lists of one, so that they fold into the list of those that stay
+    fold = "list_reduce(list_concat([list_value()::VARCHAR[]], list_transform(p[2:], lambda x: [x])), lambda done, x: CASE WHEN x[1] = '.' THEN done WHEN x[1] = '..' THEN done[1:len(done) - 1] ELSE list_concat(done, x) END)"
+    level = lambda rows, u, keep: f"""SELECT {keep}, CASE WHEN regexp_matches(pa, '/[.][.]?(/|$)') THEN concat(regexp_extract(u, '(?s)^(.*?://[^/?#]*)', 1), '/', array_to_string(CASE WHEN p[-1] IN ('.', '..') THEN list_concat({fold}, ['']) ELSE {fold} END, '/'), regexp_extract({rest("u")}, '(?s)^[^?#]*(.*)$', 1)) ELSE u END AS {u}
+ FROM (SELECT *, {path("u")} AS pa, string_split({path("u")}, '/') AS p FROM ({rows}))"""
+    return f"""WITH RECURSIVE found_ AS (SELECT url, regexp_extract(html, '(?is)<base\\s[^>]*>') AS tag, regexp_extract_all(html, '(?is)<(?:link|meta)\\s[^>]*>') AS tags FROM pages WHERE url LIKE '%://%' AND regexp_matches(html, '(?i)canonical|refresh')),
+ based_ AS ({level(f"SELECT url, tags, {found('url')} AS u FROM (SELECT url, tags, {value('href')} AS ref FROM found_)", "base", "url, tags")}),
+ tags_ AS (SELECT url, coalesce(base, url) AS base, unnest(tags) AS tag FROM based_),
+ refs_ AS (SELECT url, base, trim(CASE WHEN list_contains(regexp_split_to_array(lower({value("rel")}), '\\s+'), 'canonical') THEN {value("href")}
  WHEN lower({value("http-equiv")}) = 'refresh' THEN regexp_extract({value("content")}, '(?is)url\\s*=\\s*["'']?([^"'']+)', 1) END) AS ref FROM tags_),
- targets_ AS (SELECT url, CASE WHEN ref IS NULL OR ref = '' OR starts_with(ref, '#') THEN NULL WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref WHEN starts_with(ref, '//') THEN concat(substr(url, 1, instr(url, '://') - 1), ':', ref)
- WHEN starts_with(ref, '/') THEN concat(substr(url, 1, instr(url, '://') - 1), '://', {host("url")}, ref) WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
- ELSE concat(substr(url, 1, instr(url, '://') - 1), '://', {host("url")}, coalesce(nullif(regexp_extract({path("url")}, '(?s)^(.*/)', 1), ''), '/'), ref) END AS target FROM refs_),
+ targets_ AS ({level(f"SELECT url, {found('base')} AS u FROM refs_", "target", "url")}),
  links_ AS (SELECT DISTINCT {node("url")} AS a, {node("target")} AS b FROM targets_ WHERE target IS NOT NULL),
  both_ AS (SELECT a, b FROM links_ WHERE a <> b UNION SELECT b, a FROM links_ WHERE a <> b),
  reach_ AS (SELECT a AS node, a AS other FROM both_ UNION SELECT r.node, b FROM reach_ r JOIN both_ ON r.other = a),

@@ -195,14 +195,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(doc_id, fp, component_id)`` per row; ``component_id`` is the least id reachable over links.
 
     Null and empty texts have fingerprint zero and link like any other. Rows of
-    one id are rows of one document. A null id stays null and never names a
-    component unless no row of it has an id. Very long texts are hashed whole.
+    one id are rows of one document. A row without an id links others like any
+    row, and gets their least id; a component is null only if no row of it has
+    an id. Very long texts are hashed whole.
     """
     rows = materialize(fingerprints(docs, id_col, text_col, size), "fingerprints")
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    comps = connected_components(links(fps.where("rep is not null"), hot=hot), "a", "b")
-    label = fps.join(comps, fps.rep == comps.node, "left").select(F.col("fp").alias("of"), F.coalesce("component", "rep").alias("component_id"))
-    return rows.join(label, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    several = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z")
+    one_document = rows.join(several, "doc_id").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    comps = connected_components(links(fps.select("fp", F.col("fp").alias("rep")), hot=hot).union(one_document), "a", "b")
+    label = materialize(fps.join(comps, fps.fp == comps.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "labels")
+    ids = label.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("component_id"))
+    named = label.join(ids, F.col("component") == F.col("of")).select(F.col("fp").alias("of"), "component_id")
+    return rows.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
 def _text_key(text_col: str) -> Column:

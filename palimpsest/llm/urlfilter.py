@@ -78,26 +78,40 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.trim(F.replace(F.regexp_replace(raw, """^["']|["']$""", ""), F.lit("&amp;"), F.lit("&")))
 
 
+def _level(url: Column) -> Column:
+    """An absolute URL whose path has no ``.`` and ``..`` segments any more (RFC 3986, 5.2.4)."""
+    parts = F.split(path_of(url), "/")
+    fold = lambda done, s: F.when(s == ".", done).when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, s))
+    done = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), fold)
+    ended = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(done, F.lit(""))).otherwise(done)
+    made = F.concat(F.regexp_extract(url, "(?s)^(.*?://[^/?#]*)", 1), F.lit("/"), F.array_join(ended, "/"), F.regexp_extract(_after(url), "(?s)^[^?#]*(.*)$", 1))
+    return F.when(F.regexp_like(path_of(url), F.lit("/[.][.]?(/|$)")), made).otherwise(url)
+
+
 def _resolved(base: Column, ref: Column) -> Column:
-    """An absolute URL for a reference found at ``base``; null for one that names none."""
+    """An absolute URL for a reference found at ``base`` (RFC 3986, 5.2); null for one that names none."""
     scheme = F.substring_index(base, "://", 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
     folder = F.regexp_extract(path_of(base), "(?s)^(.*/)", 1)
-    return (
+    found = (
         F.when(ref.isNull() | (ref == "") | ref.startswith("#"), None)
         .when(F.regexp_like(ref, F.lit("^[A-Za-z][A-Za-z0-9+.-]*://")), ref)
         .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
         .when(ref.startswith("/"), F.concat(root, ref))
+        .when(ref.startswith("?"), F.concat(root, path_of(base), ref))
         .when(F.regexp_like(ref, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), None)
         .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), ref))
     )
+    return let(found, _level)
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)``: nodes of pages and of the targets of their canonical links and meta refreshes."""
+    """``(src, dst)``: nodes of pages and of the targets of their canonical links and meta refreshes, relative to the page or its ``<base>``."""
     html = F.col(html_col).cast("string")
     rows = pages.select(F.col(url_col).cast("string").alias("url"), html.alias("html")).where(F.col("url").contains("://") & F.regexp_like("html", F.lit("(?i)canonical|refresh")))
-    tags = rows.select("url", F.explode_outer(F.regexp_extract_all("html", F.lit("(?is)<(?:link|meta)\\s[^>]*>"), F.lit(0))).alias("tag"))
+    base = F.regexp_extract("html", "(?is)<base\\s[^>]*>", 0)
+    place = let(F.struct(F.col("url").alias("url"), _attribute(base, "href").alias("href")), lambda p: F.when(p["href"] == "", p["url"]).otherwise(F.coalesce(_resolved(p["url"], p["href"]), p["url"])))
+    tags = rows.withColumn("base", place).select("url", "base", F.explode_outer(F.regexp_extract_all("html", F.lit("(?is)<(?:link|meta)\\s[^>]*>"), F.lit(0))).alias("tag"))
 
     def target(tag: Column) -> Column:
         content = F.regexp_extract(_attribute(tag, "content"), """(?is)url\\s*=\\s*["']?([^"']+)""", 1)
@@ -105,7 +119,7 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
         return F.trim(F.when(canonical, _attribute(tag, "href")).when(F.lower(_attribute(tag, "http-equiv")) == "refresh", content))
 
     # bound step by step: as one expression it would be copied many times over
-    to = let(F.struct(F.col("url").alias("url"), let(F.col("tag"), target).alias("ref")), lambda p: node_of(_resolved(p["url"], p["ref"])))
+    to = let(F.struct(F.col("base").alias("base"), let(F.col("tag"), target).alias("ref")), lambda p: node_of(_resolved(p["base"], p["ref"])))
     found = tags.select(node_of(F.col("url")).alias("src"), to.alias("dst"))
     return found.where("dst is not null and src <> dst").distinct()
 

@@ -40,6 +40,10 @@ def fingerprint(text, size=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def bits(a, b):
+    return ((a ^ b) & (1 << 64) - 1).bit_count()
+
+
 def components(prints, most=3):
     """prints: list of (id, fingerprint); returns id -> least id reachable."""
     parent = list(range(len(prints)))

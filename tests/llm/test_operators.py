@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.llm import bpe, components, decontam, licenses, linededup, neardup, quality, queries, secrets, sharding, simhash, urlfilter, warc
+from palimpsest.llm import bpe, components, decontam, licenses, linededup, neardup, oracle, quality, queries, secrets, sharding, simhash, urlfilter, warc
 
 
 @pytest.fixture(scope="module")
@@ -282,6 +282,15 @@ def test_near_duplicates_edges(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, fp string")
     got = sorted((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(table).collect())
     assert got == [(0, None), (3, 3), (5, 3), (6, 6), (7, 6), (7, 6)]
+    # links through a row without an id, and rows of one id
+    base, other = fixtures.prose(rng, 60).split(" "), fixtures.prose(rng, 50)
+    fps = lambda t: int(np.int64(np.uint64(brute.fingerprint(t))))
+    chain = next(([" ".join(base), b, c] for k in range(60) for b in [" ".join(base[:k] + ["xx"] + base[k + 1 :])] for m in range(60) for c in [" ".join(base[:k] + ["xx"] + base[k + 1 : m] + ["yy"] + base[m + 1 :])]
+                  if brute.bits(fps(" ".join(base)), fps(b)) <= 3 and brute.bits(fps(b), fps(c)) <= 3 < brute.bits(fps(c), fps(" ".join(base)))), None)
+    assert chain
+    rows = [(9, chain[0]), (None, chain[1]), (8, chain[2]), (9, other)]
+    got = sorted((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 8), (8, 8), (9, 8), (9, 8)]
     assert simhash.near_duplicates(table.limit(0)).count() == 0
 
 
@@ -348,6 +357,14 @@ def test_warc_large_payloads_and_names(spark, tmp_path, monkeypatch):
 # 6
 
 
+def test_bpe_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "two words", "a", b"b")], "doc_id long, text string, ids string, decoded binary")
+    coder = queries.tokenizer(spark)
+    both = coder.round_trip(rows)
+    assert both.columns == ["doc_id", "text", "ids", "decoded", "ids_", "decoded_"] and bytes(both.first()["decoded_"]) == b"two words"
+    assert coder.decode(coder.encode(rows), "ids_").columns[-1] == "decoded_" and both.first()["ids"] == "a"
+
+
 def test_bpe_edges(spark, monkeypatch):
     enc, codec = brute.tiktoken_encoding(), queries.tokenizer(spark)
     texts = ["x" * 20_000, "ab " * 50_000, "", None, "é" * 5000, "x" * 20_000]
@@ -559,6 +576,28 @@ def test_redirect_equivalence(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_relative_links(spark, tmp_path):
+    """Queries, dot segments and <base>, as RFC 3986 resolves them; the SQL comes to the same."""
+    canonical = lambda to, more="": f'<head>{more}<link rel="canonical" href="{to}"></head>'
+    aliases = [
+        ("http://a.example.com/x/page?v=1", "?v=2", "http://a.example.com/x/page?v=2", ""), ("http://b.example.com/p/q/r", "../s", "http://b.example.com/p/s", ""), ("http://c.example.com/x/y", "./z", "http://c.example.com/x/z", ""),
+        ("http://d.example.com/1/2/3/4", "../../../../../up", "http://d.example.com/up", ""), ("http://e.example.com/a/b", "..", "http://e.example.com/", ""), ("http://f.example.com/a/b/c", ".", "http://f.example.com/a/b/", ""),
+        ("http://g.example.com/a", "http://g.example.com/b/./c/../d?x=../y#top", "http://g.example.com/b/d?x=../y", ""), ("http://h.example.com/a/b", "page", "http://h.example.com/deep/down/page", '<base href="/deep/down/">'),
+        ("http://i.example.com/a/b", "../page", "http://other.example.com/page", "<BASE target=_top href='http://other.example.com/one/two'>"), ("http://j.example.com?q", "x", "http://j.example.com/x", ""), ("http://k.example.com/a/..b/c", "d", "http://k.example.com/a/..b/d", ""),
+    ]
+    rows = [(2 * i, url, canonical(to, more)) for i, (url, to, _, more) in enumerate(aliases)] + [(2 * i + 1, of, '<meta http-equiv="refresh" content="0;url=http://bad.net/">') for i, (_, _, of, _) in enumerate(aliases)]
+    pages = spark.createDataFrame([*rows, (99, "http://a.example.com/x/", None)], "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict").collect())
+    assert [(i, v) for i, _, _, _, v in got] == [*((i, "block") for i in range(2 * len(aliases))), (99, "allow")]
+    duckdb = pytest.importorskip("duckdb")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    found = base.execute(oracle.SQL["op9_url_filter"])
+    at = [[c[0] for c in found.description].index(c) for c in ("page_id", "host", "path", "rule", "verdict")]
+    assert sorted(tuple(r[k] for k in at) for r in found.fetchall()) == [(i, h, p, r, v) for i, h, p, r, v in got]
+
+
 def test_url_edges(spark):
     """Ties of rule length go to the first rule; extra columns, repeated rows and very long URLs are no trouble."""
     rules = (urlfilter.Rule("allow", "a.org", "/x"), urlfilter.Rule("block", "a.org", "/x"), urlfilter.Rule("block", "b.org", "/"))
