@@ -2,12 +2,13 @@
 
 Not here: op4, op7 and op10 (XXH64 fingerprints and their components, windows
 by fingerprint, expectation-maximisation), op6 (BPE) and the pipeline, which
-ends in it. Tests hold those against brute force.
+ends in it; op12 (every window of every text takes minutes on the whole table)
+and op13 (eigenvectors). Tests hold those against brute force.
 """
 
 from __future__ import annotations
 
-from . import licenses, linededup, secrets, sharding, urlfilter
+from . import licenses, linededup, prefixtrie, secrets, sharding, urlfilter
 
 
 def _text(s: str) -> str:
@@ -116,6 +117,27 @@ def _url_filter() -> str:
 SELECT page_id, host, path, {rule} AS rule, coalesce({own}, CASE WHEN blocked AND NOT coalesce(allowed, false) THEN 'block' END, 'allow') AS verdict FROM urls_ u LEFT JOIN judged_ j ON j.node = u.node"""
 
 
+def _prefix_trie() -> str:
+    """A prefix is its texts, joined with their lengths; a node's sums are those of all nodes whose smallest member begins with it."""
+    t = prefixtrie
+    bits = "list_reduce(list_prepend(xor(c, y), list_transform(range(8), lambda z: CAST(0 AS BIGINT))), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, y: {bits}), 4294967295)"
+    return f"""WITH own_ AS (SELECT conv_id, r, t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, t) AS pos FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)),
+ sizes_ AS (SELECT conv_id, count(*) AS n, CASE WHEN conv_id % {t.FAMILY} = 0 THEN 0 ELSE {crc} % {t.SHARED} END AS h FROM own_ GROUP BY conv_id),
+ convs_ AS (SELECT s.conv_id, s.h, s.conv_id - s.conv_id % {t.FAMILY} AS base, least(s.h, coalesce(b.n, 0)) AS taken, least(s.h, coalesce(b.n, 0)) + greatest(s.n - s.h, 0) AS len FROM sizes_ s LEFT JOIN sizes_ b ON b.conv_id = s.conv_id - s.conv_id % {t.FAMILY}),
+ turns_ AS (SELECT conv_id, pos - h + taken AS pos, r, t FROM own_ JOIN convs_ USING (conv_id) WHERE pos > h UNION ALL SELECT c.conv_id, pos, r, t FROM convs_ c JOIN own_ o ON o.conv_id = c.base AND pos <= taken),
+ prefixes_ AS (SELECT conv_id, pos AS d, strlen(t) AS bytes, md5(string_agg(concat(length(r), ':', length(t), ':', r, t), '') OVER (PARTITION BY conv_id ORDER BY pos)) AS k FROM turns_ UNION ALL SELECT conv_id, 0, 0, '' FROM convs_),
+ nodes_ AS (SELECT d, k, min(conv_id) AS c, count(*) AS n, any_value(bytes) AS bytes FROM prefixes_ GROUP BY d, k),
+ parents_ AS (SELECT n.d, n.k, p.d AS pd, p.k AS pk FROM nodes_ n JOIN prefixes_ p ON p.conv_id = n.c AND p.d = n.d - 1),
+ kids_ AS (SELECT pd AS d, pk AS k, count(*) AS kids FROM parents_ GROUP BY pd, pk),
+ known_ AS (SELECT n.*, coalesce(kids, 0) AS kids FROM nodes_ n LEFT JOIN kids_ USING (d, k)),
+ sums_ AS (SELECT p.d, p.k, count(*) FILTER (n.kids = 0) AS n_leaves, CAST(sum((n.n - 1) * n.bytes) AS BIGINT) AS saved FROM known_ n JOIN prefixes_ p ON p.conv_id = n.c AND p.d <= n.d GROUP BY p.d, p.k),
+ ends_ AS (SELECT d, k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends FROM prefixes_ JOIN convs_ USING (conv_id) WHERE d = len GROUP BY d, k)
+SELECT n.c AS conv_id, n.d AS depth, q.c AS parent_conv_id, n.n AS n_convs, n.kids AS n_children, n_leaves, saved AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM known_ n JOIN sums_ USING (d, k) LEFT JOIN ends_ USING (d, k) LEFT JOIN parents_ p USING (d, k) LEFT JOIN nodes_ q ON q.d = p.pd AND q.k = p.pk"""
+
+
 SQL: dict[str, str] = {
     "op1_secrets": _secrets(), "op2_sharding": _sharding(), "op3_licenses": _licenses(), "op5_warc": _warc(), "op8_line_dedup": _line_dedup(), "op9_url_filter": _url_filter(),
+    "op11_prefix_trie": _prefix_trie(),
 }

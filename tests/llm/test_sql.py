@@ -7,7 +7,7 @@ from palimpsest.llm import oracle, queries
 def test_query_equals_its_sql(spark, sf, name):
     duckdb = pytest.importorskip("duckdb")
     base = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         base.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     found = base.execute(oracle.SQL[name])
     columns = [c[0] for c in found.description]
