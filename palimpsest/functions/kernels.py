@@ -9,6 +9,7 @@ import numpy as np
 
 #: Cells of the tables of costs that are held at once.
 CELLS = 8_000_000
+FAR = 1 << 29
 
 
 def _affixes(a: str, b: str) -> tuple[int, int]:
@@ -27,7 +28,8 @@ def substitutions(predicted: list[str], reference: list[str], errors: list[int])
     length that differ at as many places as their distance have no other way
     than place by place. Of the rest the common beginning and end, where the way
     holds matches alone, are left out, and the tables are filled for many at
-    once, by anti-diagonals.
+    once, by anti-diagonals. A pair whose table alone would be too large is
+    gone through row by row, no farther from the diagonal than its distance.
     """
     found: list[list[tuple[str, str]]] = [[] for _ in predicted]
     hard = []
@@ -39,7 +41,9 @@ def substitutions(predicted: list[str], reference: list[str], errors: list[int])
                 continue
         head, tail = _affixes(p, r)
         p, r = p[head : len(p) - tail], r[head : len(r) - tail]
-        if p and r:
+        if p and r and (len(p) + 1) * (len(r) + 1) > CELLS:
+            found[k] = _long_way(p, r, e)
+        elif p and r:
             hard.append((max(len(p), len(r)), k, p, r))
     hard.sort(key=lambda x: x[0])
     while hard:
@@ -83,6 +87,51 @@ def _ways(predicted: list[str], reference: list[str]) -> list[list[tuple[str, st
     return out
 
 
+def _long_way(predicted: str, reference: str, errors: int) -> list[tuple[str, str]]:
+    """As ``_ways``, of one long pair: a band about the diagonal as wide as the distance allows, of which every so-manieth row is kept and the rows between are made again on the way back."""
+    p, r = (np.frombuffer(t.encode("utf-32-le"), np.int32) for t in (predicted, reference))
+    m, n, band = len(p), len(r), errors
+    width = 2 * band + 1
+    place = np.arange(width, dtype=np.int32)
+    padded = np.concatenate([np.full(band + 1, -1, np.int32), r, np.full(m + band + 2, -1, np.int32)])
+
+    def below(row: np.ndarray, i: int) -> np.ndarray:
+        """Row i from row i - 1; place k is column i + k - band."""
+        new = np.minimum(np.append(row[1:], FAR) + 1, row + (padded[i : i + width] != p[i - 1]))
+        column = place + (i - band)
+        new[(column < 0) | (column > n)] = FAR
+        new = np.minimum(np.minimum.accumulate(new - place) + place, FAR)
+        new[(column < 0) | (column > n)] = FAR
+        return new
+
+    first = np.where((place >= band) & (place - band <= n), place - band, FAR).astype(np.int32)
+    step = max(1, int(m**0.5))
+    marks, row = [first], first
+    for i in range(1, m + 1):
+        row = below(row, i)
+        if i % step == 0:
+            marks.append(row)
+    out, i, j = [], m, n
+    while i and j:
+        base = (i - 1) // step
+        rows = [marks[base]]
+        for k in range(base * step + 1, i + 1):
+            rows.append(below(rows[-1], k))
+        at = lambda i, j: rows[i - base * step][j - i + band] if 0 <= j - i + band < width else FAR  # noqa: E731, B023
+        while j and i > base * step:
+            here = at(i, j)
+            if p[i - 1] == r[j - 1]:
+                i, j = i - 1, j - 1
+            elif here == at(i - 1, j - 1) + 1:
+                out.append((predicted[i - 1], reference[j - 1]))
+                i, j = i - 1, j - 1
+            elif here == at(i - 1, j) + 1:
+                i -= 1
+            else:
+                j -= 1
+    return out
+
+
 def log_add(a: float, b: float) -> float:
     top, low = (a, b) if a > b else (b, a)
     return top if low == -math.inf else top + math.log1p(math.exp(low - top))

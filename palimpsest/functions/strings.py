@@ -71,8 +71,8 @@ def word_errors(predicted: Column, reference: Column) -> Column:
 
     def spelled(words: Column, known: Column) -> Column:
         few = F.array_join(F.transform(words, lambda w: F.get(letters, F.array_position(known, w).cast("int") - 1)), "")
-        # from U+0100 on, and above the surrogates once below them is full
-        code = lambda w: bound(F.array_position(known, w), lambda at: at + F.when(at > 0xD6FF, 0x900).otherwise(0xFF))
+        # from U+10000 on, beyond surrogates and byte order marks
+        code = lambda w: F.array_position(known, w) + 0xFFFF
         many = F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(code(w)), 8, "0")), "UTF-32")), "")
         return F.when(F.size(known) <= LETTERS, few).otherwise(many)
 

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import free, stored
+
 REQUIRED = ("source_id", "page_id", "image_path", "dpi", "split")
-#: Ranges into which an order is cut to number its rows.
-PARTS = 128
 LINE_FIELDS = ("source_id", "page_id", "line_id", "bbox", "image_path", "transcript")
 
 
@@ -28,28 +28,28 @@ def page_range(pages: Column, first: int | None = None, last: int | None = None)
     return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
 
-def _bounds(rows: DataFrame, order: str, parts: int) -> list:
-    """At most ``parts - 1`` values that cut ``order`` into ranges of like size, from a sample of about 20 values for each. Only the ranges' sizes depend on it."""
-    n = rows.count()
-    some = sorted(r[0] for r in rows.select(order).where(F.col(order).isNotNull()).sample(min(1.0, 20 * parts / max(1, n)), 42).collect())
-    return sorted({some[k * len(some) // parts] for k in range(1, parts)}) if some else []
-
-
-def numbered(rows: DataFrame, group: str, order: str, name: str, parts: int = PARTS) -> DataFrame:
+def numbered(rows: DataFrame, group: str, order: str, name: str, parts: int | None = None) -> DataFrame:
     """``rows`` with their place (from zero) in the ``order`` of their ``group``, however much of the table one group holds.
 
-    Each range of ``order`` in a group is sorted for itself, and starts where
-    the group's earlier ranges end; of these there is one row for each group
-    and range. A null is a group, and comes first in the order.
+    Rows are dealt out by ranges of group and order, as many as Spark's
+    shuffle has partitions or ``parts``, and written once; then each range is
+    numbered for itself, and starts where the group's earlier ranges end. A null
+    is a group, and comes first in the order; equal rows are numbered in any
+    order. New columns that the table already has by name get an underscore.
     """
-    bounds = _bounds(rows, order, parts)
-    part = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= F.col(order))) if bounds else F.lit(0)
-    placed = rows.withColumn("_group", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))).withColumn("_part", F.when(F.col(order).isNull(), 0).otherwise(part))
-    sizes = placed.groupBy("_group", "_part").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_group", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    ranked = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_group", "_part").orderBy(order)))
-    return ranked.join(starts, ["_group", "_part"]).withColumn(name, (F.col("_start") + F.col("_row") - 1).cast("int")).drop("_group", "_part", "_row", "_start")
+    part, row, start, of, at = free(rows.columns, "part", "row", "start", "of_group", "of_part")
+    keys = [F.col(group).asc_nulls_first(), F.col(order).asc_nulls_first(), F.col(part)]
+    # equal rows may lie in several ranges: the number that they come with tells them apart
+    told = rows.withColumn(part, F.monotonically_increasing_id())
+    dealt = told.repartitionByRange(parts, *keys) if parts else told.repartitionByRange(*keys)
+    kept = stored(dealt.withColumn(part, F.spark_partition_id()), "ranges")
+    sizes = kept.groupBy(F.col(group).alias(of), F.col(part).alias(at)).agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.partitionBy(of).orderBy(at)) - F.col("size")
+    # a group of several ranges fills all but its first and last: there are fewer of these rows than ranges
+    starts = sizes.select(of, at, before.alias(start)).where(F.col(start) > 0)
+    ranked = kept.withColumn(row, F.row_number().over(Window.partitionBy(group, part).orderBy(F.col(order).asc_nulls_first())))
+    met = ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col(of)) & (F.col(part) == F.col(at)), "left")
+    return met.withColumn(name, (F.coalesce(start, F.lit(0)) + F.col(row) - 1).cast("int")).drop(part, row, start, of, at)
 
 
 def build(images: DataFrame, dpi: int = 300, order: str = "image_path") -> DataFrame:

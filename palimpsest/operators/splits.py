@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 DIGITS = 3
 
 
@@ -30,7 +32,8 @@ def quotas(n: Column, train: float, val: float) -> tuple[Column, Column]:
 def ranked(rows: DataFrame, seed: int, keys: list[str]) -> DataFrame:
     """``rows`` with ``rank`` (from 1) in the hash's order and ``n``, the number of rows."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
-    placed = rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, DIGITS))
+    # written, as the sizes and the rows both read it
+    placed = stored(rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, DIGITS)), "ranked")
     sizes = placed.groupBy("_bucket").agg(F.count("*").alias("size"))
     # 16 ** DIGITS rows at most
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,6 +48,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}/{name}"
 
 
+def free(taken: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that none in ``taken`` has, whatever the case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written once to the shared folder and read from there by all that follows."""
     path = new_path(df.sparkSession, name)

@@ -24,9 +24,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, path: str, default: float = 1.0) -> DataFrame:
-    """``word [score]`` lines of a file or folder. Lines are numbered by file, then place, so that the last entry of a word wins."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
-    return lexicon.from_lines(rows.select(F.struct("file", "at").alias("line_no"), "value"), default)
+    """``word [score]`` lines of a file or folder, a large file in as many splits as Spark makes of it.
+
+    Lines are in order of file, then split, then place in it, so that the last
+    entry of a word wins.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
+    return lexicon.from_lines(spark.read.text(path).select(at.alias("line_no"), "value"), default)
 
 
 def write_lexicon(words: DataFrame, path: str) -> None:

@@ -5,20 +5,44 @@ from collections import Counter
 from datetime import datetime
 
 import pytest
-
 from pyspark.sql import functions as F
 
-from palimpsest.functions import kernels
-from palimpsest.functions.strings import word_errors
+from palimpsest.functions import kernels, strings
 from palimpsest.operators import evaluate
 from palimpsest.sources import files
 
 
-def test_word_errors_of_very_many_words(spark):
-    """Past 63,231 distinct words a word's letter needs more than four hex digits."""
-    many = F.transform(F.sequence(F.lit(1), F.lit(63_231)), lambda i: F.concat(F.lit("w"), i.cast("string")))
-    row = spark.range(1).select(word_errors(many, F.array(F.lit("new"))).alias("a"), word_errors(F.concat(many, F.array(F.lit("x"))), F.array(F.lit("x"), F.lit("y"))).alias("b")).first()
-    assert (row.a, row.b) == (63_231, 63_231)
+@pytest.mark.parametrize("seed", range(10))
+def test_long_pairs_go_the_same_way(seed):
+    """Row by row in a band, and by whole tables: the same substitutions."""
+    rng = random.Random(seed)
+    a = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 120)))
+    b = "".join(rng.choice(["", c, "x", c + "d"]) if rng.random() < 0.3 else c for c in a) or "y"
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    assert kernels._long_way(a, b, row[-1]) == kernels._ways([a], [b])[0]
+
+
+def test_very_long_pair():
+    rng = random.Random(4)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(30_000))
+    b = a[:10_000].replace("a", "x", 40) + a[10_050:20_000] + "insert" + a[20_000:].replace("b", "y", 25)
+    at, pos, x, y = kernels.substitutions([a], [b], [40 + 50 + 6 + 25])
+    assert list(zip(x, y, strict=True)).count(("a", "x")) + list(zip(x, y, strict=True)).count(("b", "y")) == len(x) == 65 and set(at) == {0} and pos == list(range(65))
+
+
+def test_words_as_letters_beyond_the_first_thousand(spark, monkeypatch):
+    """Each word of a pair of many has a letter of its own, and the distance is that of few."""
+    made = spark.range(1, 200_000).select(F.decode(F.unhex(F.lpad(F.hex(F.col("id") + 0xFFFF), 8, "0")), "UTF-32").alias("c"))
+    assert made.distinct().count() == 199_999 and made.where("length(c) <> 1").count() == 0
+    rng = random.Random(6)
+    rows = spark.createDataFrame([([f"w{rng.randrange(9)}" for _ in range(rng.randrange(12))], [f"w{rng.randrange(9)}" for _ in range(rng.randrange(12))]) for _ in range(60)], "p array<string>, r array<string>")
+    monkeypatch.setattr(strings, "LETTERS", 1)
+    for row in rows.select("p", "r", strings.word_errors(F.col("p"), F.col("r")).alias("n")).collect():
+        assert row.n == distance(row.p, row.r)
 
 
 def pairs(spark, rows):
