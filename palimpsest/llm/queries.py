@@ -104,8 +104,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents less repeated lines; one that has lost lines and has no word left is all repeats and goes."""
     out, taken = linededup.remove_repeats(docs)
-    return _counted(out.drop(taken))
+    left = out.where((F.col(taken) == 0) | F.regexp_like("text", F.lit("\\S")))
+    return _counted(left.drop(taken))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
