@@ -156,17 +156,45 @@ def _test(f: Filter):
     return name, lambda v: v is not None and test(v, value)
 
 
+class _Ahead:
+    """A file read forwards in steps that are kept: small members that follow each other cost one request for many, and only a jump past what is held seeks."""
+
+    def __init__(self, file):
+        self.file, self.at, self.low, self.held = file, 0, 0, b""
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, most: int, least: int = 1) -> bytes:
+        """Up to ``most`` bytes, at least ``least`` of them unless the file ends."""
+        out = b""
+        while len(out) < least:
+            inside = self.at - self.low
+            part = self.held[inside : inside + most - len(out)] if 0 <= inside < len(self.held) else b""
+            if not part:
+                if self.file.tell() != self.at:
+                    self.file.seek(self.at)
+                part = self.file.read(STEP)
+                self.low, self.held = self.at - len(out), out + part
+                part = part[: most - len(out)]
+                if not part:
+                    break
+            out += part
+            self.at += len(part)
+        return out
+
+
 class _Gzip:
     """Members of a gzip file, one at a time; ``head`` inflates no more than it must."""
 
     def __init__(self, file, size: int):
-        self.file, self.size, self.at = file, size, 0
+        self.file, self.size, self.at = _Ahead(file), size, 0
 
     def start(self) -> bool:
         if self.at >= self.size:
             return False
         self.file.seek(self.at)
-        self.raw, self.out, self.length = self.file.read(STEP), b"", None
+        self.raw, self.out, self.length = self.file.read(STEP, 64), b"", None
         if self.raw[:2] != b"\x1f\x8b":
             raise ValueError(f"no gzip member at byte {self.at}")
         if self.raw[3] & 4 and self.raw[12:14] == b"sl":

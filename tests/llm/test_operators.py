@@ -354,6 +354,33 @@ def test_warc_large_payloads_and_names(spark, tmp_path, monkeypatch):
     assert {int(k.rpartition(":")[2]): (r.payload_length, r.payload_digest, r.record_type, r.refers_to and int(r.refers_to.rpartition(":")[2])) for k, r in back.items()} == want
 
 
+def test_warc_reads_small_members_once(tmp_path, monkeypatch):
+    """Bytes asked of the file are about those it has, and a payload that the header lets pass is jumped over."""
+    import gzip
+    import io
+
+    monkeypatch.setattr(warc, "STEP", 1000)
+    member = lambda head, body: gzip.compress((head + "\r\n\r\n").encode() + body)
+    files = b"".join(member(f"WARC/1.0\r\nX: {k}", bytes([k % 256]) * (k * 37 % 300)) for k in range(300))
+
+    class Counted(io.BytesIO):
+        asked = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.asked += len(out)
+            return out
+
+    file = Counted(files)
+    records, seen = warc._Gzip(file, len(files)), []
+    while records.start():
+        head = records.head()
+        seen.append(int(head.rpartition(b" ")[2]))
+        assert records.rest().partition(b"\r\n\r\n")[2] == bytes([seen[-1] % 256]) * (seen[-1] * 37 % 300)
+        records.next()
+    assert seen == list(range(300)) and file.asked < 1.1 * len(files)
+
+
 # 6
 
 
