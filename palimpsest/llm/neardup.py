@@ -1,13 +1,18 @@
-"""Near-duplicates of a Jaccard similarity of 0.8 or more over five-word shingles.
-
-Two texts are held against each other if they meet at an anchor and their
-64-bit SimHashes over the set of shingles differ in at most ``RADIUS`` bits;
-the similarity then is computed exactly. Blocks of a 64-bit fingerprint can't
-give anchors here: at a similarity of 0.8 about 10 of 64 bits differ, and
-blocks short enough to stay within their radius are shared by a fixed part of
-all pairs. So an anchor is the least of the shingles under ``ROWS`` hash
-functions, and there are ``BANDS`` of them: at a similarity s two texts share
-one with a chance of 1 - (1 - s ** ROWS) ** BANDS, 0.9998 at 0.8.
+"""Near-duplicates of a Jaccard similarity of 0.8 or more, by anchor points of a covering code over a long SimHash.
+
+Fingerprint: ``WORDS`` 64-bit SimHashes over the set of five-word shingles,
+each under a hash of its own. At a similarity of 0.8 about 15 in 100 bits
+differ, ten of 64: far beyond the three for which ``simhash`` covers one word.
+So the same two blocks of 31 bits are taken from every word. A text is at home
+at the Hamming(31, 26) code word within radius 1 of each block and is
+replicated to those within radius 2; two texts are held against each other
+where one meets the other's home. Of two at 0.8 a block does so with a chance
+of 0.08, of two unrelated ones with 1 in two million; over all blocks a pair
+at 0.8 is missed with a chance of 0.0002, a nearer one with less. Pairs that
+met and differ in at most ``RADIUS`` of 64 further bits are compared exactly.
+
+The words are used up in rounds; between them linked texts become one group,
+and an anchor where only one group meets is done.
 """
 
 from __future__ import annotations
@@ -19,19 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import maybe
+from .bitmap import BUCKET_BITS, BUCKETS, among, marked, maybe
 from .bpe import slices
 from .components import connected_components
-from .simhash import keep_rows, keyed, shingle_hashes, simhash, words_of
+from .simhash import BLOCK as CODE
+from .simhash import SHIFTS, code_words, keep_rows, keyed, shingle_hashes, simhash, simhashes, syndrome, words_of
 from .storage import importable, materialize, small_batches
 
-SHINGLE, BANDS, ROWS, RADIUS = 5, 12, 3, 24
+SHINGLE, WORDS, RADIUS = 5, 52, 24
+#: Words of the first round, whose links make most later meetings needless, and homes that a later round enters into the bitmap.
+FIRST, HOMES = 2, BUCKETS * BUCKET_BITS // 16
 #: Texts at one anchor beyond which its pairs are dealt out over tasks, and texts in a dealt block.
 HOT, BLOCK = 64, 512
 
-_RNG = np.random.default_rng(42)
-_XOR, _TIMES = (_RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
-
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     """The XXH64 of each different shingle, in order; fewer words make one shingle."""
@@ -44,27 +49,23 @@ def set_key(shingles: np.ndarray) -> bytes:
     return xxh128_digest(shingles.tobytes(), 42)
 
 
-def anchors(shingles: np.ndarray) -> list[int]:
-    from xxhash import xxh64_intdigest
-
-    if not len(shingles):
-        return []
-    least = np.array([((shingles ^ x) * (t | np.uint64(1))).min() for x, t in zip(_XOR, _TIMES, strict=True)])
-    return [xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
+def blocks(shingles: np.ndarray) -> np.ndarray:
+    """The blocks of 31 bits of every word of the long SimHash, two a word."""
+    long = simhashes(shingles, WORDS)
+    return np.stack([long >> np.uint64(shift) & np.uint64((1 << CODE) - 1) for shift in SHIFTS], axis=1).ravel().astype(np.int32)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """``(doc_id, key, node, fp, n, anchors)`` of rows ``(doc_id, key, text)``; ``node`` is a hash of the set of ``n`` shingles."""
+    """``(doc_id, key, node, fp, n, blocks)`` of rows ``(doc_id, key, text)``; ``node`` is a hash of the set of ``n`` shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingle_set(t.as_py()) for t in b.column(2).cast(pa.binary())]
             fps = np.array([simhash(s) for s in sets], np.uint64).view(np.int64)
-            met = [np.array(anchors(s), np.uint64).view(np.int64) for s in sets]
-            cols = [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(fps), pa.array([len(s) for s in sets], pa.int32()), pa.array(met, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "key", "node", "fp", "n", "anchors"])
+            cols = [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(fps), pa.array([len(s) for s in sets], pa.int32()), pa.array([blocks(s) for s in sets], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "key", "node", "fp", "n", "blocks"])
 
-    return rows.mapInArrow(run, "doc_id long, key binary, node binary, fp long, n int, anchors array<long>")
+    return rows.mapInArrow(run, "doc_id long, key binary, node binary, fp long, n int, blocks array<int>")
 
 
 def sets_of(rows: DataFrame) -> DataFrame:
@@ -80,14 +81,15 @@ def sets_of(rows: DataFrame) -> DataFrame:
 
 
 def _forest(t: pa.Table) -> pa.Table:
-    """Edges of a spanning forest of the similar texts of two dealt blocks, or within one."""
+    """Edges that connect the similar texts of two dealt blocks, or within one, to a forest of components."""
     node, fp, own = t["node"].to_pylist(), t["fp"].to_numpy(), t["own"].to_numpy()
     sets = [np.asarray(s.values) for s in t["shingles"]]
     n = np.array([len(s) for s in sets])
-    tree, edges, one = np.arange(len(node)), [], t["lo"][0] == t["hi"][0]
+    number = {c: i for i, c in enumerate(dict.fromkeys(t["comp"].to_pylist()))}
+    tree, edges, one = np.array([number[c] for c in t["comp"].to_pylist()]), [], t["lo"][0] == t["hi"][0]
     for i in range(len(node) - 1):
         j = np.arange(i + 1, len(node))
-        near = (np.bitwise_count((fp[j] ^ fp[i]).view(np.uint64)) <= RADIUS) & (5 * np.minimum(n[j], n[i]) >= 4 * np.maximum(n[j], n[i])) & (one | (own[j] != own[i]))
+        near = (np.bitwise_count((fp[j] ^ fp[i]).view(np.uint64)) <= RADIUS) & (5 * np.minimum(n[j], n[i]) >= 4 * np.maximum(n[j], n[i])) & (one | (own[j] != own[i])) & (tree[j] != tree[i])
         for k in j[near].tolist():
             if tree[k] != tree[i] and 9 * len(np.intersect1d(sets[i], sets[k], assume_unique=True)) >= 4 * (n[i] + n[k]):
                 edges.append((node[i], node[k]))
@@ -96,34 +98,68 @@ def _forest(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
-def links(nodes: DataFrame, rows: DataFrame, hot: int = HOT, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: nodes of a similarity of 0.8 or more, enough to connect all of them.
-
-    ``nodes`` holds distinct ``node`` with ``key``, the hash of a text of it in
-    ``rows``. At an anchor of up to ``hot`` nodes every pair is compared as a
-    row. Beyond that, its nodes are dealt into blocks and each pair of blocks
-    returns a spanning forest of its links.
-    """
-    met = nodes.select("node", "key", "fp", "n", F.explode("anchors").alias("anchor"))
-    shared = materialize(met.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "shared_anchors")
-    members = materialize(met.join(shared, "anchor"), "anchored")
-    calm = members.where(F.col("times") <= hot).select("anchor", "node", "fp", "n")
-    other = calm.toDF("anchor", "b", "fp2", "n2")
+def anchors(nodes: DataFrame, first: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """Homes ``anchor``, and homes and replicas ``(anchor, home, ...)`` with the columns of ``nodes`` but the blocks, of ``words`` words from ``first`` on. An anchor's number names its block too."""
+    own = [c for c in nodes.columns if c != "blocks"]
+    some = nodes.select(*own, F.posexplode(F.slice("blocks", 2 * first + 1, 2 * words)).alias("i", "v"))
+    at = some.select(*own, F.call_function("shiftleft", (F.col("i") + 2 * first).cast("long"), F.lit(CODE)).bitwiseOR(F.col("v").cast("long")).alias("v"), syndrome(F.col("v")).alias("s"))
+    near = F.element_at(code_words(), F.col("s") + 1)
+    every = at.select(*own, "v", F.posexplode(near).alias("j", "flips"))
+    return at.select(F.col("v").bitwiseXOR(F.element_at(near, 1)).alias("anchor")), every.select(F.col("v").bitwiseXOR(F.col("flips")).alias("anchor"), (F.col("j") == 0).alias("home"), *own)
+
+
+def _round(nodes: DataFrame, rows: DataFrame, first: int, words: int, hot: int, block: int) -> DataFrame:
+    """``(a, b)``: similar nodes of different components that meet at an anchor of these words, enough to connect the components."""
+    homes, every = anchors(nodes, first, words)
+    near = among(every.select("anchor", F.xxhash64("comp").alias("tag")), homes, "anchor")  # a replica at nobody's home meets nothing
+    mixed = near.groupBy("anchor").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).where("x <> y").select("anchor")
+    mixed = materialize(mixed, "shared_anchors")
+    members = materialize(among(every, mixed, "anchor").join(mixed, "anchor"), "anchored")
+    many = materialize(members.groupBy("anchor").agg(F.count("*").alias("times"), F.bit_xor(F.xxhash64("node")).alias("all")).where(F.col("times") > hot), "hot_anchors")
+    once = many.groupBy("times", "all").agg(F.min("anchor").alias("anchor"))  # the same nodes are compared at one anchor
+    calm, crowd = members.join(many, "anchor", "left_anti"), members.join(once, "anchor")
+    other = calm.select(F.col("anchor").alias("at"), *(F.col(c).alias(f"{c}2") for c in ("node", "comp", "fp", "n")))
     alike = (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= RADIUS) & (5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2"))
-    pairs = materialize(calm.join(other, "anchor").where((F.col("node") < F.col("b")) & alike).select(F.col("node").alias("a"), "b").distinct(), "near_pairs")
-    crowd = members.where(F.col("times") > hot)
+    met = calm.where("home").join(other, (F.col("anchor") == F.col("at")) & (F.col("comp") != F.col("comp2")) & alike)
+    pairs = materialize(met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "near_pairs")
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
     keys = materialize(members.join(asked, "node", "left_semi").select("key").distinct(), "asked_texts")
     sets = materialize(sets_of(maybe(rows.select("key", "text"), keys)), "shingle_sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     found = both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
-    if crowd.isEmpty():
+    if many.isEmpty():
         return found
     k = F.ceil(F.col("times") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), k).cast("int")
-    dealt = crowd.join(sets, "node").select("anchor", "node", "fp", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
-    blocks = dealt.select("anchor", "node", "fp", "shingles", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    return found.union(blocks.groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary"))
+    dealt = crowd.join(sets, "node").select("anchor", "node", "comp", "fp", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
+    dealt = dealt.select("anchor", "node", "comp", "fp", "shingles", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    return found.union(dealt.groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary"))
+
+
+def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``nodes`` with ``comp``, the least node within two edges: nodes of one ``comp`` are connected, and of a dense group nearly all have the same. Only nodes that may have an edge are shuffled."""
+    both = edges.union(edges.select("b", "a")).toDF("of", "to")
+    near = both.groupBy("of").agg(F.least("of", F.min("to")).alias("least"))
+    comps = materialize(both.join(near.toDF("to", "component"), "to").groupBy("of").agg(F.min("component").alias("component")), "near_components")
+    split, there = marked(nodes, comps, F.col("node"), F.col("of"))
+    alone = split.where(~F.col(there)).select(*nodes.columns, F.col("node").alias("comp"))
+    return alone.union(split.where(F.col(there)).join(comps, F.col("node") == F.col("of"), "left").select(*nodes.columns, F.coalesce("component", "node").alias("comp")))
+
+
+def links(nodes: DataFrame, rows: DataFrame, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """``(a, b)``: nodes of a similarity of 0.8 or more, enough to connect all of them that meet.
+
+    ``nodes`` holds distinct ``node`` with ``key``, the hash of a text of it in
+    ``rows``. At an anchor of up to ``hot`` homes and replicas every pair of
+    different components is compared as a row. Beyond that, its nodes are
+    dealt into blocks and each pair of blocks returns a spanning forest.
+    """
+    step = max(1, HOMES // max(1, 2 * nodes.count()))
+    found = _round(nodes.withColumn("comp", F.col("node")), rows, 0, FIRST, hot, block)
+    for first in range(FIRST, WORDS, step):
+        found = materialize(found, "near_links")
+        found = found.union(_round(labelled(nodes, found), rows, first, min(step, WORDS - first), hot, block))
+    return found
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, block: int = BLOCK) -> DataFrame:
@@ -136,8 +172,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col).where("doc_id is not null")
     found = materialize(sketches(rows), "sketches")
-    same = found.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), *(F.first(c).alias(c) for c in ("fp", "n", "anchors")))
-    nodes = materialize(same.select("node", "least", F.col("least.key").alias("key"), "fp", "n", "anchors"), "distinct")
+    same = found.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), *(F.first(c).alias(c) for c in ("fp", "n", "blocks")))
+    nodes = materialize(same.select("node", "least", F.col("least.key").alias("key"), "fp", "n", "blocks"), "distinct")
     comps = connected_components(links(nodes, rows, hot, block), "a", "b").toDF("of", "component")
     label = nodes.join(comps, F.col("node") == F.col("of"), "left").select(F.coalesce("component", "node").alias("component"), "least")
     return keep_rows(docs, found, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)

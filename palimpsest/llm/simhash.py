@@ -31,6 +31,7 @@ REST, WIDTHS = BITS - BLOCK, (8, 6, 4)
 
 _LANES = np.uint64(0x0101010101010101)
 _STEPS = np.arange(8, dtype=np.uint64)[:, None]
+_MIX = tuple((np.uint64(a), np.uint64(b)) for a, b in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -66,6 +67,21 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
+def simhashes(hashes: np.ndarray, words: int) -> np.ndarray:
+    """``words`` SimHashes of 64 bits, each over the hashes mixed once more under a number of its own (the finalizer of SplitMix64)."""
+    own = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.zeros((8, words, 8), np.int64)  # by place in a byte, word and byte
+    for at in range(0, len(hashes), 255):
+        z = hashes[at : at + 255, None] + own
+        for shift, times in _MIX:
+            z = (z ^ z >> shift) * times
+        z ^= z >> np.uint64(31)
+        for step in range(8):
+            counts[step] += (z >> np.uint64(step) & _LANES).sum(axis=0).view(np.uint8).reshape(words, 8)
+    bits = (counts * 2 > len(hashes)).transpose(1, 2, 0).reshape(words, 64)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, carry: str | None = None) -> DataFrame:
     """``(doc_id, fp)`` of each row and the binary column ``carry``, ``fp`` as a signed long. Null text counts as empty: fingerprint zero."""
     more = [carry] if carry else []
@@ -85,7 +101,7 @@ def _block(shift: int) -> Column:
     return F.shiftrightunsigned("fp", shift).bitwiseAND((1 << BLOCK) - 1)
 
 
-def _syndrome(v: Column) -> Column:
+def syndrome(v: Column) -> Column:
     """XOR of the places (1 to 31) of the set bits: zero for a code word, else the place whose flip gives one."""
     out = F.lit(0)
     for k in range(5):
@@ -99,11 +115,18 @@ def _flip(p: Column) -> Column:
     return F.when(p > 0, F.call_function("shiftleft", F.lit(1).cast("long"), p - 1)).otherwise(F.lit(0).cast("long"))
 
 
+def code_words() -> Column:
+    """By syndrome, the bits to flip in a block for its home and for each other code word within radius 2 of it."""
+    bit = lambda p: 1 << p - 1
+    near = [[0], *([bit(s), *(bit(p) | bit(p ^ s) for p in range(1, BLOCK + 1) if p < p ^ s)] for s in range(1, BLOCK + 1))]
+    return F.array(*(F.array(*(F.lit(m).cast("long") for m in flips)) for flips in near))
+
+
 def anchors(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Homes and replicas ``(anchor, fp, rep)`` of distinct fingerprints; an anchor's number names its block too."""
     homes, copies = [], []
     for b, shift in enumerate(SHIFTS):
-        at = fps.withColumn("v", _block(shift)).withColumn("s", _syndrome(F.col("v")))
+        at = fps.withColumn("v", _block(shift)).withColumn("s", syndrome(F.col("v")))
         key = lambda c, b=b: (c * 2 + b).cast("long")
         home = F.col("v").bitwiseXOR(_flip(F.col("s")))
         homes.append(at.select(key(home).alias("anchor"), "fp", "rep"))

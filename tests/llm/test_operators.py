@@ -1,5 +1,7 @@
 import base64
+import functools
 import hashlib
+import operator
 import random
 import textwrap
 
@@ -275,6 +277,52 @@ def test_near_duplicates_by_jaccard(spark):
     assert neardup.keep_one(table.limit(0)).count() == 0
 
 
+def test_near_duplicates_meet_at_code_words(spark):
+    """Each pair of similar texts has one block of one word within a bit of the other's, all other blocks are chance: the covering code has to find it, in any round."""
+    rng, words = np.random.default_rng(61), random.Random(61)
+    rows, nodes, want = [], [], set()
+    for i in range(60):
+        text = fixtures.prose(words, 80)
+        own = rng.integers(0, 1 << 31, (2, 2 * neardup.WORDS), np.int64)
+        at = (7 * i) % (2 * neardup.WORDS)
+        own[1, at] = own[0, at] ^ (1 << i % 31 if i % 4 else 0)
+        pair = []
+        for k, t in enumerate((text, text + " tail")):
+            s = neardup.shingle_set(t.encode())
+            rows.append((f"{i} {k}".encode(), t))
+            nodes.append((neardup.set_key(s), rows[-1][0], 0, len(s), own[k].tolist()))
+            pair.append(nodes[-1][0])
+        want.add(tuple(sorted(pair)))
+    table = spark.createDataFrame(nodes, "node binary, key binary, fp long, n int, blocks array<int>")
+    homes, every = neardup.anchors(table.select("node", "blocks"), 0, neardup.WORDS)
+    at_home = sorted((r.anchor >> 31, r.anchor & (1 << 31) - 1) for r in homes.collect())
+    syndrome = lambda v: functools.reduce(operator.xor, (p for p in range(1, 32) if v >> p - 1 & 1), 0)
+    assert all(syndrome(v) == 0 for _, v in at_home) and len(at_home) == 120 * 2 * neardup.WORDS
+    some = {(bytes(r.node), r.anchor >> 31): r for r in every.groupBy("node", "anchor").agg(F.max("home").alias("home")).collect() if r.home}
+    blocks = {n[0]: n[4] for n in nodes}
+    assert all((r.anchor & (1 << 31) - 1 ^ blocks[n][i]).bit_count() <= 1 for (n, i), r in some.items())
+    copies = [(bytes(r.node), r.anchor) for r in every.where("not home").collect()]
+    assert len(copies) == len(set(copies)) and all((a & (1 << 31) - 1 ^ blocks[n][a >> 31]).bit_count() == 2 and syndrome(a & (1 << 31) - 1) == 0 for n, a in copies)
+    assert sum(bool(syndrome(v)) for b in blocks.values() for v in b) * 15 == len(copies)
+    got = {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in neardup.links(table, spark.createDataFrame(rows, "key binary, text string")).collect()}
+    assert got == want
+
+
+def test_long_simhash():
+    rng = np.random.default_rng(62)
+    for n in (0, 1, 2, 255, 256, 700):
+        hashes = rng.integers(0, 1 << 64, n, np.uint64)
+        long = simhash.simhashes(hashes, 3)
+        for w in range(3):
+            mixed = []
+            for h in hashes.tolist():
+                z = h + (w + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+                z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+                z = (z ^ z >> 27) * 0x94D049BB133111EB & (1 << 64) - 1
+                mixed.append(z ^ z >> 31)
+            assert int(long[w]) == sum(1 << b for b in range(64) if 2 * sum(z >> b & 1 for z in mixed) > n)
+
+
 def test_near_duplicates_edges(spark):
     rng = random.Random(51)
     long = fixtures.prose(rng, 400_000)
