@@ -7,21 +7,26 @@ So the same two blocks of 31 bits are taken from every word. A text is at home
 at the Hamming(31, 26) code word within radius 1 of each block and is
 replicated to those within radius 2; two texts are held against each other
 where one meets the other's home. Of two at 0.8 a block does so with a chance
-of 0.08, of two unrelated ones with 1 in two million; over all blocks a pair
-at 0.8 is missed with a chance of 0.0002, a nearer one with less. Pairs that
-met and differ in at most ``RADIUS`` of 64 further bits are compared exactly.
+of 0.08, of two unrelated ones with 1 in two million: that is too often where
+texts are many, as such meetings grow with their square. So an anchor is a
+code word and a tag, the least of a text's shingles under one of ``TAGS``
+hashes. Each block goes with two tags and each tag with 26 blocks; two texts at
+0.8 share a tag with a chance of 0.8, unrelated ones as good as never. Over
+all a pair at 0.8 is missed with a chance of 0.00005, a nearer one with less.
+Pairs that met and differ in at most ``RADIUS`` of 64 further bits are compared
+exactly.
 
 The words are used up in rounds; between them linked texts become one group,
-and an anchor where only one group meets is done.
+and a tag or an anchor where only one group meets is done.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import BUCKET_BITS, BUCKETS, among, marked, maybe
@@ -31,11 +36,16 @@ from .simhash import BLOCK as CODE
 from .simhash import SHIFTS, code_words, keep_rows, keyed, shingle_hashes, simhash, simhashes, syndrome, words_of
 from .storage import importable, materialize, small_batches
 
-SHINGLE, WORDS, RADIUS = 5, 52, 24
+SHINGLE, WORDS, RADIUS, TAGS = 5, 52, 24, 8
+#: A block goes with the tag of its number (modulo TAGS) and with the one so far behind it.
+SECOND_TAG = 3
 #: Words of the first round, whose links make most later meetings needless, and homes that a later round enters into the bitmap.
-FIRST, HOMES = 2, BUCKETS * BUCKET_BITS // 16
-#: Texts at one anchor beyond which its pairs are dealt out over tasks, and texts in a dealt block.
-HOT, BLOCK = 64, 512
+FIRST, HOMES = 1, BUCKETS * BUCKET_BITS // 16
+#: Texts at one anchor or tag beyond which its pairs are dealt out over tasks, texts in a dealt block, and blocks up to which a tag is dealt as a whole.
+HOT, BLOCK, DENSE = 64, 512, 16
+
+_RNG = np.random.default_rng(42)
+_XOR, _TIMES = (_RNG.integers(0, 1 << 64, (TAGS, 1), np.uint64) for _ in range(2))
 
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -55,42 +65,73 @@ def blocks(shingles: np.ndarray) -> np.ndarray:
     return np.stack([long >> np.uint64(shift) & np.uint64((1 << CODE) - 1) for shift in SHIFTS], axis=1).ravel().astype(np.int32)
 
 
+def least(shingles: np.ndarray) -> np.ndarray:
+    """The least of the shingles under each of the hashes; none of no shingles."""
+    if not len(shingles):
+        return np.empty(0, np.int64)
+    return ((shingles ^ _XOR) * (_TIMES | np.uint64(1))).min(axis=1).view(np.int64)
+
+
 def sketches(rows: DataFrame) -> DataFrame:
-    """``(doc_id, key, node, fp, n, blocks)`` of rows ``(doc_id, key, text)``; ``node`` is a hash of the set of ``n`` shingles."""
+    """``(doc_id, key, node, fp, n, tags)`` of rows ``(doc_id, key, text)``; ``node`` is a hash of the set of ``n`` shingles, ``tags`` its least ones, by number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingle_set(t.as_py()) for t in b.column(2).cast(pa.binary())]
             fps = np.array([simhash(s) for s in sets], np.uint64).view(np.int64)
-            cols = [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(fps), pa.array([len(s) for s in sets], pa.int32()), pa.array([blocks(s) for s in sets], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "key", "node", "fp", "n", "blocks"])
+            cols = [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(fps), pa.array([len(s) for s in sets], pa.int32()), pa.array([least(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "key", "node", "fp", "n", "least"])
 
-    return rows.mapInArrow(run, "doc_id long, key binary, node binary, fp long, n int, blocks array<int>")
+    found = rows.mapInArrow(run, "doc_id long, key binary, node binary, fp long, n int, least array<long>")
+    return found.select("doc_id", "key", "node", "fp", "n", F.transform("least", lambda x, i: F.struct(i.alias("number"), x.alias("tag"))).alias("tags"))
 
 
-def sets_of(rows: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of rows ``(key, text)``, once each."""
+def _by_set(rows: DataFrame, name: str, kind: str, of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``(node, name)`` of rows ``(key, text)``, once each: what ``of`` makes of the set of shingles."""
+    inner = {"int": pa.int32(), "long": pa.int64()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in slices([b], 64):
                 sets = [shingle_set(t.as_py()) for t in part.column(1).cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([of(s) for s in sets], pa.list_(inner))], names=["node", name])
+
+    return rows.mapInArrow(run, f"node binary, {name} array<{kind}>").dropDuplicates(["node"])
+
+
+def sets_of(rows: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of rows ``(key, text)``, once each."""
+    return _by_set(rows, "shingles", "long", lambda s: s.view(np.int64))
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """``(node, blocks)`` of rows ``(key, text)``, once each."""
+    return _by_set(rows, "blocks", "int", blocks)
+
 
-    return rows.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
+def _homes(values: np.ndarray) -> np.ndarray:
+    """The code words within radius 1 of blocks."""
+    at = sum((np.bitwise_count(values & sum(1 << p - 1 for p in range(1, CODE + 1) if p >> k & 1)).astype(np.int64) & 1) << k for k in range(5))
+    return np.where(at > 0, values ^ 1 << np.maximum(at - 1, 0), values)
 
 
 def _forest(t: pa.Table) -> pa.Table:
-    """Edges that connect the similar texts of two dealt blocks, or within one, to a forest of components."""
+    """Edges that connect the similar texts of two dealt blocks, or within one, to a forest of components. With ``blocks`` only texts of which one meets the other's home are held against each other."""
     node, fp, own = t["node"].to_pylist(), t["fp"].to_numpy(), t["own"].to_numpy()
     sets = [np.asarray(s.values) for s in t["shingles"]]
     n = np.array([len(s) for s in sets])
     number = {c: i for i, c in enumerate(dict.fromkeys(t["comp"].to_pylist()))}
     tree, edges, one = np.array([number[c] for c in t["comp"].to_pylist()]), [], t["lo"][0] == t["hi"][0]
+    if met := "blocks" in t.column_names:
+        values = np.array(t["blocks"].to_pylist(), np.int64)
+        home = _homes(values)
     for i in range(len(node) - 1):
         j = np.arange(i + 1, len(node))
         near = (np.bitwise_count((fp[j] ^ fp[i]).view(np.uint64)) <= RADIUS) & (5 * np.minimum(n[j], n[i]) >= 4 * np.maximum(n[j], n[i])) & (one | (own[j] != own[i])) & (tree[j] != tree[i])
-        for k in j[near].tolist():
+        j = j[near]
+        if met:
+            j = j[((np.bitwise_count(values[j] ^ home[i]) <= 2) | (np.bitwise_count(home[j] ^ values[i]) <= 2)).any(axis=1)]
+        for k in j.tolist():
             if tree[k] != tree[i] and 9 * len(np.intersect1d(sets[i], sets[k], assume_unique=True)) >= 4 * (n[i] + n[k]):
                 edges.append((node[i], node[k]))
                 tree[tree == tree[k]] = tree[i]
@@ -98,14 +139,39 @@ def _forest(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
+def _goes(tag: Column, block: Column) -> Column:
+    return (tag == block % TAGS) | (tag == (block + SECOND_TAG) % TAGS)
+
+
 def anchors(nodes: DataFrame, first: int, words: int) -> tuple[DataFrame, DataFrame]:
-    """Homes ``anchor``, and homes and replicas ``(anchor, home, ...)`` with the columns of ``nodes`` but the blocks, of ``words`` words from ``first`` on. An anchor's number names its block too."""
-    own = [c for c in nodes.columns if c != "blocks"]
-    some = nodes.select(*own, F.posexplode(F.slice("blocks", 2 * first + 1, 2 * words)).alias("i", "v"))
-    at = some.select(*own, F.call_function("shiftleft", (F.col("i") + 2 * first).cast("long"), F.lit(CODE)).bitwiseOR(F.col("v").cast("long")).alias("v"), syndrome(F.col("v")).alias("s"))
+    """Homes ``(anchor, ...)``, and homes and replicas ``(anchor, home, ...)``, with the other columns of ``nodes``, of ``words`` words from ``first`` on.
+
+    An anchor's number names its block too. If ``nodes`` have ``tags``, a block
+    is at an anchor for each tag that it goes with, a hash of both numbers.
+    """
+    own = [c for c in nodes.columns if c not in ("blocks", "tags")]
+    tags = ["tags"] if "tags" in nodes.columns else []
+    some = nodes.select(*own, *tags, F.posexplode(F.slice("blocks", 2 * first + 1, 2 * words)).alias("i", "v")).withColumn("i", F.col("i") + 2 * first)
+    anchor = lambda v: v
+    if tags:
+        goes = lambda t: _goes(t["number"], F.col("i"))
+        some = some.select(*own, "i", "v", F.explode(F.filter("tags", goes)).alias("t")).select(*own, "i", "v", "t.tag")
+        anchor = lambda v: F.xxhash64(v, "tag")
+        tags = ["tag"]
+    at = some.select(*own, *tags, F.call_function("shiftleft", F.col("i").cast("long"), F.lit(CODE)).bitwiseOR(F.col("v").cast("long")).alias("v"), syndrome(F.col("v")).alias("s"))
     near = F.element_at(code_words(), F.col("s") + 1)
-    every = at.select(*own, "v", F.posexplode(near).alias("j", "flips"))
-    return at.select(F.col("v").bitwiseXOR(F.element_at(near, 1)).alias("anchor")), every.select(F.col("v").bitwiseXOR(F.col("flips")).alias("anchor"), (F.col("j") == 0).alias("home"), *own)
+    every = at.select(*own, *tags, "v", F.posexplode(near).alias("j", "flips"))
+    return at.select(anchor(F.col("v").bitwiseXOR(F.element_at(near, 1))).alias("anchor"), *own), every.select(anchor(F.col("v").bitwiseXOR(F.col("flips"))).alias("anchor"), (F.col("j") == 0).alias("home"), *own)
+
+
+def mixed_tags(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with those of their ``tags`` that a node of another ``comp`` has too, and the ``times`` each occurs; those with none left go, and only the others, as good as, are shuffled."""
+    each = nodes.select("node", F.xxhash64("comp").alias("of_comp"), F.explode("tags").alias("t")).select("node", "of_comp", "t.number", "t.tag")
+    mixed = each.groupBy("tag").agg(F.count("*").alias("times"), F.min("of_comp").alias("x"), F.max("of_comp").alias("y")).where("x <> y").select("tag", "times")
+    mixed = materialize(mixed, "shared_tags")
+    kept = among(each, mixed, "tag").join(mixed, "tag")
+    tags = materialize(kept.groupBy("node").agg(F.collect_list(F.struct("number", "tag", "times")).alias("tags")), "tags")  # TAGS at most
+    return materialize(maybe(nodes.drop("tags"), tags, F.col("node"), F.col("node")).join(tags, "node"), "tagged")
 
 
 def _round(nodes: DataFrame, rows: DataFrame, first: int, words: int, hot: int, block: int) -> DataFrame:
@@ -123,24 +189,44 @@ def _round(nodes: DataFrame, rows: DataFrame, first: int, words: int, hot: int,
     met = calm.where("home").join(other, (F.col("anchor") == F.col("at")) & (F.col("comp") != F.col("comp2")) & alike)
     pairs = materialize(met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "near_pairs")
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
-    keys = materialize(members.join(asked, "node", "left_semi").select("key").distinct(), "asked_texts")
+    asked = materialize(asked, "asked_nodes")
+    named = maybe(nodes.select("node", "key"), asked, F.col("node"), F.col("node"))
+    keys = materialize(named.join(asked, "node", "left_semi").select("key").distinct(), "asked_texts")
     sets = materialize(sets_of(maybe(rows.select("key", "text"), keys)), "shingle_sets")
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     found = both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
-    if many.isEmpty():
-        return found
+    return found if many.isEmpty() else found.union(_dealt(crowd.join(sets, "node"), block))
+
+
+def _dealt(crowd: DataFrame, block: int) -> DataFrame:
+    """``(a, b)``: edges of the spanning forests of every two blocks of about ``block`` rows of an anchor."""
+    columns = [c for c in ("anchor", "node", "comp", "fp", "shingles", "blocks") if c in crowd.columns]
     k = F.ceil(F.col("times") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), k).cast("int")
-    dealt = crowd.join(sets, "node").select("anchor", "node", "comp", "fp", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
-    dealt = dealt.select("anchor", "node", "comp", "fp", "shingles", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    return found.union(dealt.groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary"))
+    dealt = crowd.select(*columns, own.alias("own"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
+    dealt = dealt.select(*columns, "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    return dealt.groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary")
+
+
+def _crowded(times: Column, hot: int, block: int) -> Column:
+    """Whether the texts of a tag meet in tasks; otherwise each is a row at its anchors."""
+    return (times > hot) & (times <= DENSE * block)
+
+
+def _dense(nodes: DataFrame, rows: DataFrame, hot: int, block: int) -> DataFrame:
+    """``(a, b)``: similar nodes that meet at an anchor of a crowded tag, of any word, enough to connect them."""
+    tags = nodes.select("node", "key", "comp", "fp", "blocks", F.explode("tags").alias("t")).where(_crowded(F.col("t.times"), hot, block))
+    own = F.filter("blocks", lambda v, i: _goes(F.col("t.number"), i))
+    crowd = materialize(tags.select("node", "key", "comp", "fp", own.alias("blocks"), F.col("t.tag").alias("anchor"), "t.times"), "crowded_tags")
+    if crowd.isEmpty():
+        return crowd.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    sets = materialize(sets_of(maybe(rows.select("key", "text"), crowd.select("key"))), "shingle_sets")
+    return _dealt(crowd.join(sets, "node"), block)
 
 
 def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` with ``comp``, the least node within two edges: nodes of one ``comp`` are connected, and of a dense group nearly all have the same. Only nodes that may have an edge are shuffled."""
-    both = edges.union(edges.select("b", "a")).toDF("of", "to")
-    near = both.groupBy("of").agg(F.least("of", F.min("to")).alias("least"))
-    comps = materialize(both.join(near.toDF("to", "component"), "to").groupBy("of").agg(F.min("component").alias("component")), "near_components")
+    """``nodes`` with ``comp``, the least node that edges reach. Only nodes that may have an edge are shuffled."""
+    comps = materialize(connected_components(edges, "a", "b").toDF("of", "component"), "near_components")
     split, there = marked(nodes, comps, F.col("node"), F.col("of"))
     alone = split.where(~F.col(there)).select(*nodes.columns, F.col("node").alias("comp"))
     return alone.union(split.where(F.col(there)).join(comps, F.col("node") == F.col("of"), "left").select(*nodes.columns, F.coalesce("component", "node").alias("comp")))
@@ -150,15 +236,30 @@ def links(nodes: DataFrame, rows: DataFrame, hot: int = HOT, block: int = BLOCK)
     """``(a, b)``: nodes of a similarity of 0.8 or more, enough to connect all of them that meet.
 
     ``nodes`` holds distinct ``node`` with ``key``, the hash of a text of it in
-    ``rows``. At an anchor of up to ``hot`` homes and replicas every pair of
-    different components is compared as a row. Beyond that, its nodes are
-    dealt into blocks and each pair of blocks returns a spanning forest.
+    ``rows``, and may hold ``tags``; without them code words alone are anchors.
+    At an anchor of up to ``hot`` homes and replicas every pair of different
+    components is compared as a row. Beyond that, its nodes are dealt into
+    blocks and each pair of blocks returns a spanning forest. The texts of a
+    tag of more than ``hot`` and up to ``DENSE`` blocks are dealt at once and
+    meet at its anchors inside the tasks: one text there would be a row at
+    each of hundreds of anchors.
     """
-    step = max(1, HOMES // max(1, 2 * nodes.count()))
-    found = _round(nodes.withColumn("comp", F.col("node")), rows, 0, FIRST, hot, block)
-    for first in range(FIRST, WORDS, step):
-        found = materialize(found, "near_links")
-        found = found.union(_round(labelled(nodes, found), rows, first, min(step, WORDS - first), hot, block))
+    now, tagged = nodes.withColumn("comp", F.col("node")), "tags" in nodes.columns
+    found, first, step = None, 0, FIRST
+    if tagged:
+        found = materialize(_dense(now, rows, hot, block), "near_links")
+        now = mixed_tags(labelled(nodes, found))
+        calm = lambda t: ~_crowded(t["times"], hot, block)
+    while first < WORDS:
+        if tagged:
+            now = now.withColumn("tags", F.filter("tags", calm)).where(F.size("tags") > 0)
+        more = materialize(_round(now, rows, first, min(step, WORDS - first), hot, block), "near_links")
+        found = more if found is None else found.union(more)
+        first += step
+        if first < WORDS:
+            now = labelled(nodes, found)
+            now = mixed_tags(now) if tagged else now
+            step = max(1, HOMES // (max(1, now.count()) * (4 if tagged else 2)))
     return found
 
 
@@ -172,8 +273,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col).where("doc_id is not null")
     found = materialize(sketches(rows), "sketches")
-    same = found.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), *(F.first(c).alias(c) for c in ("fp", "n", "blocks")))
-    nodes = materialize(same.select("node", "least", F.col("least.key").alias("key"), "fp", "n", "blocks"), "distinct")
-    comps = connected_components(links(nodes, rows, hot, block), "a", "b").toDF("of", "component")
+    same = found.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), *(F.first(c).alias(c) for c in ("fp", "n", "tags")))
+    nodes = materialize(same.select("node", "least", F.col("least.key").alias("key"), "fp", "n", "tags"), "distinct")
+    some = mixed_tags(nodes.select("node", "key", "fp", "n", "tags", F.col("node").alias("comp"))).drop("comp")
+    # a text that shares no tag meets nothing and needs no blocks
+    some = materialize(some.join(blocks_of(maybe(rows.select("key", "text"), some.select("key"))), "node"), "sketched")
+    comps = connected_components(links(some, rows, hot, block), "a", "b").toDF("of", "component")
     label = nodes.join(comps, F.col("node") == F.col("of"), "left").select(F.coalesce("component", "node").alias("component"), "least")
     return keep_rows(docs, found, label.groupBy("component").agg(F.min("least").alias("least")).select("least.*"), id_col, text_col)

@@ -308,6 +308,49 @@ def test_near_duplicates_meet_at_code_words(spark):
     assert got == want
 
 
+def test_near_duplicates_meet_under_tags(spark):
+    """Code words alone bring unrelated texts together, more with the square of their number; with tags only texts that share a least shingle meet, as rows or, of a crowded tag, in tasks."""
+    words, texts = random.Random(67), []
+    for _ in range(5):
+        base = fixtures.prose(words, 60).split()
+        texts += [base, *([*base[:k], "new", *base[k + 1 :]] for k in (7, 20, 45)), [*base[:3], "x", *base[4:12], "y", *base[13:25], "z", *base[26:]], base[:40]]
+    sets = [neardup.shingle_set(" ".join(t).encode()) for t in texts]
+    keys, tags, values = [neardup.set_key(s) for s in sets], [neardup.least(s).tolist() for s in sets], [neardup.blocks(s).tolist() for s in sets]
+    rows = [(f"{i}".encode(), " ".join(t)) for i, t in enumerate(texts)]
+    nodes = [(keys[i], rows[i][0], int(np.uint64(simhash.simhash(s)).view(np.int64)), len(s), values[i], list(enumerate(tags[i])), keys[i]) for i, s in enumerate(sets)]
+    kind = "node binary, key binary, fp long, n int, blocks array<int>, tags array<struct<number: int, tag: long>>, comp binary"
+    table = neardup.mixed_tags(spark.createDataFrame(nodes, kind)).drop("comp")
+    shared = {i: [(k, t) for k, t in enumerate(tags[i]) if sum(t == other[k] for other in tags) > 1] for i in range(len(sets))}
+    assert {bytes(r.node): sorted((t.number, t.tag) for t in r.tags) for r in table.collect()} == {keys[i]: t for i, t in shared.items() if t}
+
+    parity = lambda v: functools.reduce(operator.xor, (p for p in range(1, 32) if v >> p - 1 & 1), 0)
+    home = lambda v: v ^ (1 << parity(v) - 1 if parity(v) else 0)
+    goes = lambda k, b: k in (b % neardup.TAGS, (b + neardup.SECOND_TAG) % neardup.TAGS)
+    near = lambda v, w: min((home(v) ^ w).bit_count(), (home(w) ^ v).bit_count()) <= 2
+    meet = lambda i, j: any(tags[i][k] == tags[j][k] and goes(k, b) and near(values[i][b], values[j][b]) for k in range(neardup.TAGS) for b in range(2 * neardup.WORDS))
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (len(sets[i]) + len(sets[j])) and meet(i, j)}
+    assert len(want) == 15  # each text with one changed word and its base
+
+    def joined(edges):
+        least = {i: i for i in range(len(sets))}
+        for _ in sets:
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    number, text_rows = {k: i for i, k in enumerate(keys)}, spark.createDataFrame(rows, "key binary, text string")
+    for hot, block in ((64, 512), (2, 3)):
+        got = {tuple(sorted((number[bytes(r.a)], number[bytes(r.b)]))) for r in neardup.links(table, text_rows, hot, block).collect()}
+        assert all(9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (len(sets[i]) + len(sets[j])) for i, j in got)
+        assert joined(got) == joined(want)
+    # texts at the same code words that share no tag are at no common anchor
+    crowd = [(f"{i}".encode(), values[0], [(k, 100 * i + k) for k in range(neardup.TAGS)]) for i in range(40)]
+    crowd = spark.createDataFrame(crowd, "node binary, blocks array<int>, tags array<struct<number: int, tag: long>>")
+    every = neardup.anchors(crowd, 0, neardup.WORDS)[1]
+    assert every.groupBy("anchor").agg(F.countDistinct("node").alias("nodes")).where("nodes > 1").count() == 0
+    assert every.where("home").count() == 40 * 2 * neardup.WORDS * 2
+
+
 def test_long_simhash():
     rng = np.random.default_rng(62)
     for n in (0, 1, 2, 255, 256, 700):
