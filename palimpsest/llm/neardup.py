@@ -16,8 +16,11 @@ all a pair at 0.8 is missed with a chance of 0.00005, a nearer one with less.
 Pairs that met and differ in at most ``RADIUS`` of 64 further bits are compared
 exactly.
 
-The words are used up in rounds; between them linked texts become one group,
-and a tag or an anchor where only one group meets is done.
+The texts of a tag meet at once: of a calm tag as pairs of rows, of a crowded
+one in tasks, by their blocks alone; shingles are asked for where texts met.
+Only tags of very many texts, and texts without tags, are rows at their
+anchors. For these the words are used up in rounds; between them linked texts
+become one group, and a tag or an anchor where only one group meets is done.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +45,10 @@ SHINGLE, WORDS, RADIUS, TAGS = 5, 52, 24, 8
 SECOND_TAG = 3
 #: Words of the first round, whose links make most later meetings needless, and homes that a later round enters into the bitmap.
 FIRST, HOMES = 1, BUCKETS * BUCKET_BITS // 16
+#: Pairs whose blocks a task compares at once.
+CELLS = 1 << 16
 #: Texts at one anchor or tag beyond which its pairs are dealt out over tasks, texts in a dealt block, and blocks up to which a tag is dealt as a whole.
+#: Beyond these a tag's texts are rows at its anchors.
 HOT, BLOCK, DENSE = 64, 512, 16
 
 _RNG = np.random.default_rng(42)
@@ -115,6 +122,26 @@ def _homes(values: np.ndarray) -> np.ndarray:
     return np.where(at > 0, values ^ 1 << np.maximum(at - 1, 0), values)
 
 
+def _candidates(t: pa.Table) -> pa.Table:
+    """Pairs of two dealt blocks of a tag, or within one, that meet at an anchor and whose further bits are near; if they are more than the texts, one row without a pair."""
+    node, fp, n, own = t["node"], *(t[c].to_numpy() for c in ("fp", "n", "own"))
+    lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
+    a, b = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+    near = (np.bitwise_count((fp[a, None] ^ fp[b]).view(np.uint64)) <= RADIUS) & (5 * np.minimum(n[a, None], n[b]) >= 4 * np.maximum(n[a, None], n[b]))
+    i, j = np.nonzero(np.triu(near, 1) if lo == hi else near)
+    i, j = a[i], b[j]
+    values = pc.list_flatten(t["blocks"]).to_numpy().reshape(len(own), -1)
+    home = _homes(values)
+    met = [((np.bitwise_count(values[y] ^ home[x]) <= 2) | (np.bitwise_count(home[y] ^ values[x]) <= 2)).any(axis=1) for x, y in zip(*(np.array_split(k, len(k) // CELLS + 1) for k in (i, j)), strict=True)]
+    met = np.concatenate(met)
+    i, j = i[met], j[met]
+    if len(i) > len(own):
+        i = j = np.array([None])
+    pairs = [node.take(pa.array(k, pa.int64())).cast(pa.binary()).combine_chunks() for k in (i, j)]
+    one = [t[c].slice(0, 1).take(pa.array(np.zeros(len(i), int))) for c in ("anchor", "lo", "hi")]
+    return pa.table([*one, *pairs], names=["anchor", "lo", "hi", "a", "b"])
+
+
 def _forest(t: pa.Table) -> pa.Table:
     """Edges that connect the similar texts of two dealt blocks, or within one, to a forest of components. With ``blocks`` only texts of which one meets the other's home are held against each other."""
     node, fp, own = t["node"].to_pylist(), t["fp"].to_numpy(), t["own"].to_numpy()
@@ -185,43 +212,87 @@ def _round(nodes: DataFrame, rows: DataFrame, first: int, words: int, hot: int,
     once = many.groupBy("times", "all").agg(F.min("anchor").alias("anchor"))  # the same nodes are compared at one anchor
     calm, crowd = members.join(many, "anchor", "left_anti"), members.join(once, "anchor")
     other = calm.select(F.col("anchor").alias("at"), *(F.col(c).alias(f"{c}2") for c in ("node", "comp", "fp", "n")))
-    alike = (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= RADIUS) & (5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2"))
-    met = calm.where("home").join(other, (F.col("anchor") == F.col("at")) & (F.col("comp") != F.col("comp2")) & alike)
+    met = calm.where("home").join(other, (F.col("anchor") == F.col("at")) & (F.col("comp") != F.col("comp2")) & _near())
     pairs = materialize(met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "near_pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")).distinct()
-    asked = materialize(asked, "asked_nodes")
+    sets = _asked_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowd.select("node")), nodes, rows)
+    found = _similar(pairs, sets)
+    return found if many.isEmpty() else found.union(_dealt(_blocked(crowd.join(sets, "node"), block)))
+
+
+def _near() -> Column:
+    """Whether the further bits of two nodes are near and their sizes allow the similarity."""
+    return (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= RADIUS) & (5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2"))
+
+
+def _asked_sets(asked: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of the ``asked`` nodes, once each, from their texts."""
+    asked = materialize(asked.distinct(), "asked_nodes")
     named = maybe(nodes.select("node", "key"), asked, F.col("node"), F.col("node"))
     keys = materialize(named.join(asked, "node", "left_semi").select("key").distinct(), "asked_texts")
-    sets = materialize(sets_of(maybe(rows.select("key", "text"), keys)), "shingle_sets")
+    return materialize(sets_of(maybe(rows.select("key", "text"), keys)), "shingle_sets")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    found = both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
-    return found if many.isEmpty() else found.union(_dealt(crowd.join(sets, "node"), block))
+    return both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def _dealt(crowd: DataFrame, block: int) -> DataFrame:
-    """``(a, b)``: edges of the spanning forests of every two blocks of about ``block`` rows of an anchor."""
-    columns = [c for c in ("anchor", "node", "comp", "fp", "shingles", "blocks") if c in crowd.columns]
+def _blocked(crowd: DataFrame, block: int) -> DataFrame:
+    """``crowd`` with ``own``, the block of a row of its anchor's ``times``, of about ``block`` rows each, once for every pair of blocks ``lo`` and ``hi`` that it belongs to."""
     k = F.ceil(F.col("times") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), k).cast("int")
-    dealt = crowd.select(*columns, own.alias("own"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other"))
-    dealt = dealt.select(*columns, "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    return dealt.groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary")
+    dealt = crowd.withColumn("own", F.pmod(F.xxhash64("node"), k).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
+    return dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "times")
+
+
+def _dealt(blocked: DataFrame) -> DataFrame:
+    """``(a, b)``: edges of the spanning forests of every two blocks of an anchor."""
+    columns = [c for c in ("anchor", "node", "comp", "fp", "shingles", "blocks", "own", "lo", "hi") if c in blocked.columns]
+    return blocked.select(*columns).groupBy("anchor", "lo", "hi").applyInArrow(_forest, "a binary, b binary")
+
+
+def _calm(times: Column, hot: int) -> Column:
+    """Whether the texts of a tag meet as pairs of rows."""
+    return times <= hot
 
 
 def _crowded(times: Column, hot: int, block: int) -> Column:
-    """Whether the texts of a tag meet in tasks; otherwise each is a row at its anchors."""
+    """Whether the texts of a tag meet in tasks."""
     return (times > hot) & (times <= DENSE * block)
 
 
-def _dense(nodes: DataFrame, rows: DataFrame, hot: int, block: int) -> DataFrame:
-    """``(a, b)``: similar nodes that meet at an anchor of a crowded tag, of any word, enough to connect them."""
-    tags = nodes.select("node", "key", "comp", "fp", "blocks", F.explode("tags").alias("t")).where(_crowded(F.col("t.times"), hot, block))
+def _home(v: Column) -> Column:
+    """The code word within radius 1 of a block."""
+    flips = F.array(*(F.lit(1 << p - 1 if p else 0) for p in range(CODE + 1)))
+    return v.bitwiseXOR(F.element_at(flips, syndrome(v) + 1))
+
+
+def _under_tags(nodes: DataFrame, rows: DataFrame, hot: int, block: int) -> DataFrame:
+    """``(a, b)``: similar nodes that meet at an anchor of a calm or crowded tag, of any word, enough to connect them.
+
+    What meets is told from further bits and blocks alone. Where more pairs of
+    two dealt blocks meet than there are texts in them (near copies), these go
+    out again with their shingles and a spanning forest comes back.
+    """
     own = F.filter("blocks", lambda v, i: _goes(F.col("t.number"), i))
-    crowd = materialize(tags.select("node", "key", "comp", "fp", own.alias("blocks"), F.col("t.tag").alias("anchor"), "t.times"), "crowded_tags")
+    each = nodes.select("node", "fp", "n", "blocks", F.explode("tags").alias("t")).select("node", "fp", "n", F.col("t.tag").alias("anchor"), "t.number", "t.times", own.alias("blocks"))
+    calm = each.where(_calm(F.col("times"), hot)).drop("times").withColumn("homes", F.transform("blocks", _home))
+    other = calm.select(*(F.col(c).alias(f"{c}2") for c in calm.columns))
+    within = lambda x, y: F.exists(F.zip_with(x, y, lambda v, w: F.bit_count(v.bitwiseXOR(w)) <= 2), lambda x: x)
+    same = (F.col("anchor") == F.col("anchor2")) & (F.col("number") == F.col("number2")) & (F.col("node") < F.col("node2"))
+    pairs = calm.join(other, same & _near()).where(within("blocks", "homes2") | within("homes", "blocks2")).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    crowd = materialize(each.where(_crowded(F.col("times"), hot, block)).drop("number"), "crowded_tags")
     if crowd.isEmpty():
-        return crowd.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    sets = materialize(sets_of(maybe(rows.select("key", "text"), crowd.select("key"))), "shingle_sets")
-    return _dealt(crowd.join(sets, "node"), block)
+        pairs = materialize(pairs.distinct(), "near_pairs")
+        return _similar(pairs, _asked_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), nodes, rows))
+    blocked = _blocked(crowd, block)
+    met = materialize(blocked.groupBy("anchor", "lo", "hi").applyInArrow(_candidates, "anchor long, lo int, hi int, a binary, b binary"), "met_in_tasks")
+    some = met.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = materialize(pairs.union(some).distinct(), "near_pairs")
+    full = met.where("a is null").select("anchor", "lo", "hi")
+    dense = materialize(blocked.join(full, ["anchor", "lo", "hi"], "left_semi").drop("n"), "dense_blocks")
+    sets = _asked_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(dense.select("node")), nodes, rows)
+    found = _similar(pairs, sets)
+    return found if dense.isEmpty() else found.union(_dealt(dense.withColumn("comp", F.col("node")).join(sets, "node")))
 
 
 def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -237,29 +308,31 @@ def links(nodes: DataFrame, rows: DataFrame, hot: int = HOT, block: int = BLOCK)
 
     ``nodes`` holds distinct ``node`` with ``key``, the hash of a text of it in
     ``rows``, and may hold ``tags``; without them code words alone are anchors.
-    At an anchor of up to ``hot`` homes and replicas every pair of different
-    components is compared as a row. Beyond that, its nodes are dealt into
-    blocks and each pair of blocks returns a spanning forest. The texts of a
-    tag of more than ``hot`` and up to ``DENSE`` blocks are dealt at once and
-    meet at its anchors inside the tasks: one text there would be a row at
-    each of hundreds of anchors.
+    The texts of a tag of up to ``DENSE`` blocks meet at once, however many
+    tags there are; only those of larger ones are rows at their anchors, word by
+    word. At an anchor of up to ``hot`` homes and replicas every pair of
+    different components is compared as a row. Beyond that, its nodes are dealt
+    into blocks and each pair of blocks returns a spanning forest.
     """
     now, tagged = nodes.withColumn("comp", F.col("node")), "tags" in nodes.columns
     found, first, step = None, 0, FIRST
     if tagged:
-        found = materialize(_dense(now, rows, hot, block), "near_links")
+        found = materialize(_under_tags(nodes, rows, hot, block), "near_links")
+        huge = lambda t: ~(_calm(t["times"], hot) | _crowded(t["times"], hot, block))
+        nodes = materialize(nodes.withColumn("tags", F.filter("tags", huge)).where(F.size("tags") > 0), "huge_tags")
+        if nodes.isEmpty():
+            return found
         now = mixed_tags(labelled(nodes, found))
-        calm = lambda t: ~_crowded(t["times"], hot, block)
     while first < WORDS:
-        if tagged:
-            now = now.withColumn("tags", F.filter("tags", calm)).where(F.size("tags") > 0)
         more = materialize(_round(now, rows, first, min(step, WORDS - first), hot, block), "near_links")
         found = more if found is None else found.union(more)
         first += step
         if first < WORDS:
             now = labelled(nodes, found)
             now = mixed_tags(now) if tagged else now
-            step = max(1, HOMES // (max(1, now.count()) * (4 if tagged else 2)))
+            # homes a word: two of a node without tags; a tag goes with two blocks of TAGS
+            homes = now.agg(F.coalesce(F.sum(F.size("tags")), F.lit(0))).first()[0] * 4 // TAGS if tagged else 2 * now.count()
+            step = max(1, HOMES // max(1, homes))
     return found
 
 

@@ -351,6 +351,28 @@ def test_near_duplicates_meet_under_tags(spark):
     assert every.where("home").count() == 40 * 2 * neardup.WORDS * 2
 
 
+def test_near_duplicates_without_rounds(spark, monkeypatch):
+    """Words were used up in rounds whose number grew with the texts; now those of calm and crowded tags meet at once. Only larger tags take rounds, and by any way the same texts stay."""
+    words, docs = random.Random(71), []
+    for i in range(30):
+        base = fixtures.prose(words, 60).split()
+        docs += [(100 * i, base), (100 * i + 1, [*base[:20], "new", *base[21:]])]
+    base = fixtures.prose(words, 80).split()
+    docs += [(9000 + k, [*base[:k], "other", *base[k + 1 :]]) for k in range(0, 80, 5)]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    want = sorted([*(100 * i for i in range(30)), 9000])
+    rounds, one = [], neardup._round
+    monkeypatch.setattr(neardup, "_round", lambda *a: rounds.append(a) or one(*a))
+    monkeypatch.setattr(neardup, "HOMES", 1)  # a word a round
+    for hot, block in ((64, 512), (2, 5)):
+        assert sorted(r.doc_id for r in neardup.keep_one(table, hot=hot, block=block).collect()) == want
+    assert not rounds
+    monkeypatch.setattr(neardup, "HOMES", 1 << 20)
+    monkeypatch.setattr(neardup, "DENSE", 0)  # of any more than two texts
+    assert sorted(r.doc_id for r in neardup.keep_one(table, hot=2, block=5).collect()) == want
+    assert len(rounds) == 2
+
+
 def test_long_simhash():
     rng = np.random.default_rng(62)
     for n in (0, 1, 2, 255, 256, 700):
