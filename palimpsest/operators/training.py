@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.alignment import cut_lines
+from ..functions.alignment import cut_texts
 from ..functions.strings import characters, tokens
 from . import evaluate
 
 
+#: Bytes of texts that are aligned at once.
+TOGETHER = 1 << 25
+
+
+def by_size(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch whose texts, in the third column, have up to ``most`` bytes, or are one."""
+    sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
+    first, total = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > first and total + n > most:
+            yield b.slice(first, k - first)
+            first, total = k, 0
+        total += n
+    if b.num_rows:
+        yield b.slice(first)
+
+
 def split_lines(pages: DataFrame, lines: DataFrame, keys: tuple[str, ...] = ("source_id", "page_id")) -> DataFrame:
     """``(split, pages, lines, sources)``: pages and lines of each split, and its source ids in order; a page without lines counts.
 
@@ -64,9 +83,14 @@ def align_transcripts(lines: DataFrame, texts: DataFrame, page: str = "page", he
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(b.num_rows):
-                own, whole = b.column(1)[k].as_py(), b.column(2)[k].as_py()
-                cut = [None] * len(own) if whole is None else cut_lines([x["heard"] for x in own], whole)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([k] * len(own))), pa.array([x["line_id"] for x in own], pa.int64()), pa.array(cut, pa.string())], names=[page, "line_id", "transcript"])
+            # texts of like sizes are aligned at once: the more there are, the less each costs
+            for some in by_size(b, TOGETHER):
+                lines, whole = some.column(1).to_pylist(), some.column(2).to_pylist()
+                there = [k for k, t in enumerate(whole) if t is not None]
+                cut: list[list] = [[None] * len(own) for own in lines]
+                for k, parts in zip(there, cut_texts([[x["heard"] for x in lines[k]] for k in there], [whole[k] for k in there]), strict=True):
+                    cut[k] = parts
+                page_of = pa.array(np.repeat(np.arange(len(lines)), [len(own) for own in lines]))
+                yield pa.RecordBatch.from_arrays([some.column(0).take(page_of), pa.array([x["line_id"] for own in lines for x in own], pa.int64()), pa.array([t for own in cut for t in own], pa.string())], names=[page, "line_id", "transcript"])
 
     return rows.mapInArrow(run, f"`{page}` {kind}, line_id long, transcript string")

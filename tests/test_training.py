@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.functions import alignment
 from palimpsest.functions.alignment import cut_lines, word_cost
 from palimpsest.operators import models, training
 from palimpsest.plans import inputs
@@ -96,3 +97,24 @@ def test_model_is_built_once_per_process(spark):
     payload = models._Payload(b"abc")
     build = lambda raw: built.append(raw) or (lambda s: s)
     assert models._built(build, "digest", payload) is models._built(build, "digest", models._Payload(b"abc")) and built == [b"abc"]
+
+
+def test_texts_are_aligned_at_once():
+    """Text by text, a word took some twenty calls of numpy, and the table was as wide as the whole cost; now texts share the calls and only words more or less widen it."""
+    rng = random.Random(5)
+    common = ["on", "or", "the", "in", *("".join(rng.choice("abcdenrst") for _ in range(6)) for _ in range(300))]
+    whole, heard = [], []
+    for n in (1, 7, 30, 400, 400, 900, 0, 2500):
+        words = [rng.choice(common) for _ in range(n)]
+        whole.append(" ".join(words))
+        heard.append([" ".join(words[k : k + 12]).translate(str.maketrans("nr", "rn")).replace(" the ", " ") for k in range(0, n, 12)])
+    one_by_one = [alignment.cut_lines(h, w) for h, w in zip(heard, whole, strict=True)]
+    calls, within = [], alignment._cuts_within
+    alignment._cuts_within = lambda pairs, *a: calls.append(sum(p.width * len(p.heard) for p in pairs)) or within(pairs, *a)
+    try:
+        assert alignment.cut_texts(heard, whole) == one_by_one
+        assert sum(calls) < 2500 * 2500 // 2
+    finally:
+        alignment._cuts_within = within
+    got = alignment.cut_texts([["lost words here", ""], [], ["a"]], ["quite another text of it all", "no lines", ""])
+    assert got[1:] == [[], [""]] and " ".join(got[0]).split() == "quite another text of it all".split()
