@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import stem, tokens
 from ..operators import confidence, correct, decode, evaluate, gate, layout, lexicon, manifest, service, splits, validate
-from ..session import importable, new_path
+from ..session import importable, new_path, stored
 from ..sources import files
 from . import inputs
 
@@ -406,12 +406,13 @@ def benchmark_report(spark, sf):
     """Written as JSON and read back: the rates, and the rare characters with what their scores come from."""
     pairs = inputs.pairs(spark, sf)
     path = new_path(spark, "report")
-    files.write_report(evaluate.report_frame(spark, evaluate.report(pairs, ["doc_id", "line_id"], "ckpt", {"decoder": "greedy"}, "test", rare=40)), path)
+    found = stored(evaluate.counted(pairs, ["doc_id", "line_id"]), "counted")
+    files.write_report(evaluate.report_frame(spark, evaluate.report(pairs, ["doc_id", "line_id"], "ckpt", {"decoder": "greedy"}, "test", rare=40, found=found)), path)
     back = spark.read.text(path, wholetext=True)
     field = lambda name, kind: F.get_json_object("value", f"$.{name}").cast(kind)
     listed = F.map_keys(F.from_json(F.get_json_object("value", "$.rare_char_metrics"), "map<string,struct<precision:double,recall:double,f1:double>>"))
     head = back.select(field("num_lines", "long").alias("num_lines"), *(F.round(field(n, "double"), 6).alias(n) for n in ("cer", "wer", "exact_match")), listed.alias("listed"))
-    counts = evaluate.char_counts(pairs).where("in_reference between 1 and 39").select("ch", F.concat_ws(":", "ch", "tp", "fp", "fn").alias("c"))
+    counts = found.where("in_reference between 1 and 39").select("ch", F.concat_ws(":", "ch", "tp", "fp", "fn").alias("c"))
     named = head.select(F.explode("listed").alias("ch")).join(counts, "ch").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ch", "c"))), lambda x: x["c"]), " ").alias("rare"))
     return head.drop("listed").join(named)
 
