@@ -154,7 +154,7 @@ def line_crops(spark, sf):
     boxes = layout.lines(ink, pages.withColumns({"x": F.lit(0), "y": F.lit(0)}), least_width=3)
     path = new_path(spark, "crops")
     png.write_crops(raster.crops(raster.images_of(ink, pages), boxes).withColumn("source_id", F.lit("s")), path)
-    back = png.read_images(spark, path)
+    back = png.read_crops(spark, path)
     name = F.regexp_extract("path", "[^/]*$", 0).alias("image_path")
     return back.select(name, "height", "width", (F.col("width") * F.col("height") - F.length(F.regexp_replace(F.hex("pixels"), "(00)", "")) / 2).cast("long").alias("dark"), "error")
 

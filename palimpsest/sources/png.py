@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..operators import layout, manifest
 from ..session import long_rows
@@ -23,6 +23,8 @@ from ..session import long_rows
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 MOST_PIXELS = 1 << 28
+#: Folders among which line crops are dealt, and how many of them, and of their files, are read at once.
+FOLDERS, TOGETHER = 1024, 16
 
 
 def to_png(grey: np.ndarray) -> bytes:
@@ -151,26 +153,34 @@ class Written(WriterCommitMessage):
     files: int
 
 
+def _opened(path: str):
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{posixpath.abspath(path)}")
+
+
 class CropWriter(DataSourceWriter):
     def __init__(self, path: str):
         self.path = path
 
     def _place(self):
-        from pyarrow.fs import FileSystem
-
-        fs, at = FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{posixpath.abspath(self.path)}")
+        fs, at = _opened(self.path)
         fs.create_dir(at, recursive=True)
         return fs, at
 
     def write(self, iterator: Iterator) -> Written:
         """Each file is written under a hidden name of this attempt and then renamed: it is there whole or not at all, and a repeated task writes the same again."""
         fs, at = self._place()
-        attempt, n = uuid.uuid4().hex, 0
+        attempt, n, made = uuid.uuid4().hex, 0, set()
         for row in iterator:
-            hidden = posixpath.join(at, f".{row.image_path}.{attempt}")
+            folder = posixpath.join(at, f"part={zlib.crc32(row.image_path.encode()) % FOLDERS:03x}")
+            if folder not in made:
+                fs.create_dir(folder, recursive=True)
+                made.add(folder)
+            hidden = posixpath.join(folder, f".{row.image_path}.{attempt}")
             with fs.open_output_stream(hidden) as out:
                 out.write(row.content)
-            fs.move(hidden, posixpath.join(at, row.image_path))
+            fs.move(hidden, posixpath.join(folder, row.image_path))
             n += 1
         return Written(n)
 
@@ -184,7 +194,7 @@ class CropWriter(DataSourceWriter):
 
 
 class CropFiles(DataSource):
-    """``df.write.format("line_crops").save(folder)`` of ``(image_path, content)``: a file each."""
+    """``df.write.format("line_crops").save(folder)`` of ``(image_path, content)``: a file each, in one of ``FOLDERS`` folders by its name."""
 
     @classmethod
     def name(cls) -> str:
@@ -197,6 +207,59 @@ class CropFiles(DataSource):
         return CropWriter(self.options["path"])
 
 
+@dataclass
+class Folders(InputPartition):
+    names: list[str]
+
+
+class CropReader(DataSourceReader):
+    """Lists the folders on the driver and their files where they are read: no process holds the names of all files."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self) -> list[Folders]:
+        from pyarrow.fs import FileSelector, FileType
+
+        fs, at = _opened(self.path)
+        names = sorted(f.base_name for f in fs.get_file_info(FileSelector(at)) if f.type == FileType.Directory)
+        return [Folders(names[k : k + TOGETHER]) for k in range(0, len(names), TOGETHER)] or [Folders([])]
+
+    def read(self, partition: Folders) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSelector, FileType
+
+        fs, at = _opened(self.path)
+        for folder in partition.names:
+            files = [f for f in fs.get_file_info(FileSelector(posixpath.join(at, folder))) if f.type == FileType.File and f.size and f.base_name[0] not in "._"]
+            for k in range(0, len(files), TOGETHER):
+                some, contents = files[k : k + TOGETHER], []
+                for f in some:
+                    with fs.open_input_stream(f.path) as source:
+                        contents.append(source.read())
+                paths = [posixpath.join(self.path, folder, f.base_name) for f in some]
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["path", "content"])
+
+
+class CropFolders(DataSource):
+    """``spark.read.format("line_crop_files").load(folder)``: ``(path, content)`` of each file that ``line_crops`` wrote there."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "line_crop_files"
+
+    def schema(self) -> str:
+        return "path string, content binary"
+
+    def reader(self, schema: object) -> CropReader:
+        return CropReader(self.options["path"])
+
+
+def read_crops(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``read_images``, of a folder that ``write_crops`` wrote, however many crops it holds: Spark's own scan keeps every file's name, size and place on the driver."""
+    spark.dataSource.register(CropFolders)
+    return decode(spark.read.format("line_crop_files").load(folder))
+
+
 def write_crops(crops: DataFrame, folder: str, page: str = "page") -> None:
     """Line crops ``(source_id, page, line_id, height, width, pixels)`` as files named by source, page and line; one without pixels has no file."""
     spark = crops.sparkSession
@@ -206,4 +269,4 @@ def write_crops(crops: DataFrame, folder: str, page: str = "page") -> None:
     some.select(name.alias("image_path"), encode("height", "width", "pixels").alias("content")).write.format("line_crops").mode("append").save(folder)
 
 
-__all__ = ["CropFiles", "decode", "encode", "from_png", "pa", "read_images", "to_png", "write_crops"]
+__all__ = ["CropFiles", "CropFolders", "decode", "encode", "from_png", "pa", "read_crops", "read_images", "to_png", "write_crops"]

@@ -297,6 +297,23 @@ def test_crops_to_files_and_back(spark, tmp_path):
     assert (tmp_path / "crops" / "_SUCCESS").read_text() == "2\n" and not [p for p in (tmp_path / "crops").iterdir() if p.name.endswith("png") and p.name.startswith(".book")]
 
 
+def test_crops_are_listed_where_they_are_read(spark, tmp_path):
+    """Spark's scan kept the name, size and place of every crop on the driver; now it gets the folders' names alone, however many crops there are."""
+    grey = noise(3, 20, 20)
+    boxes = spark.createDataFrame([(0, k, k % 10, k % 7, 5, 6) for k in range(300)], "page long, line_id int, x int, y int, w int, h int")
+    folder = str(tmp_path / "crops")
+    png.write_crops(raster.crops(images(spark, grey), boxes).withColumn("source_id", F.lit("book")), folder)
+    parts = png.CropReader(folder).partitions()
+    names = [n for p in parts for n in p.names]
+    assert len(names) == len(set(names)) <= png.FOLDERS and all(n.startswith("part=") for n in names) and max(len(p.names) for p in parts) <= png.TOGETHER
+    (tmp_path / "crops" / names[0] / ".half").write_bytes(b"x")
+    got, want = ({r.path.rsplit("/", 1)[1]: (r.height, r.width, bytes(r.pixels), r.error) for r in read(spark, folder).collect()} for read in (png.read_crops, png.read_images))
+    assert got == want and len(got) == 300
+    empty = str(tmp_path / "none")
+    png.write_crops(raster.crops(images(spark, grey), boxes.limit(0)).withColumn("source_id", F.lit("book")), empty)
+    assert png.read_crops(spark, empty).count() == 0
+
+
 def test_tensors(spark):
     row = raster.tensors(images(spark, np.array([[0, 51], [255, 102]], np.uint8))).first()
     assert [[round(v, 3) for v in c] for c in row["columns"]] == [[0.0, 1.0], [0.2, 0.4]]
